@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import simhash
+from veilframe.llm import packing, sharding, simhash
 from veilframe.llm.common import table
+from veilframe.llm.sharding_sql import sharding_sql
+
+SHARDS = 40
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +19,20 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_sharding": op2_sharding,
+    "op3_packing": op3_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_sharding": sharding_sql(SHARDS, sharding.SLOT_PARTS),
+}
