@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import packing, sharding, simhash
-from veilframe.llm.common import table
+from veilframe.llm import packing, quality, sharding, simhash, toxicity
+from veilframe.llm.common import held_out, table
 from veilframe.llm.sharding_sql import sharding_sql
 
 SHARDS = 40
@@ -27,10 +27,24 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), keep=~out)
+    return toxicity.scores(docs, model).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.scores(docs, quality.fit(docs))
+    return scored.select("doc_id", "weak_label", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
 }
 
 ORACLES: dict[str, str] = {
