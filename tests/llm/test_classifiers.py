@@ -104,7 +104,7 @@ def junk(i):
 
 def test_quality_without_labels(spark):
     rows = [(i, prose(int(RNG.integers(5, 200))) if i % 5 else junk(i // 5)) for i in range(1000)]
-    rows += [(2000, "Call +1 (252) 555-8630 or 38.211.12.42 4366089147969128."), (2001, None), (2002, ""), (None, "  \n"), (2003, "word " * 100_000)]
+    rows += [(2000, "Call kaloter misan +1 (252) 555-8630 or pelvu 38.211.12.42 dortersan 4366089147969128."), (2001, None), (2002, ""), (None, "  \n"), (2003, "word " * 100_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("weak_label", F.lit(0))
     model = quality.fit(docs)
     got = {r.doc_id: r for r in quality.scores(docs, model).collect()}
