@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import packing, quality, sharding, simhash, toxicity
-from veilframe.llm.common import held_out, table
+from veilframe.llm import langid, packing, quality, sharding, simhash, toxicity
+from veilframe.llm.common import cut, held_out, table
 from veilframe.llm.sharding_sql import sharding_sql
 
 SHARDS = 40
@@ -39,12 +39,19 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "weak_label", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    found = cut(langid.predict(docs, langid.fit(docs.where(~out & F.col("text").isNotNull()))))
+    return langid.calibrated(found, found.where(~out)).select("doc_id", out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op9_langid": op9_langid,
 }
 
 ORACLES: dict[str, str] = {
