@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import langid, packing, quality, sharding, simhash, toxicity
-from veilframe.llm.common import cut, held_out, table
+from veilframe.llm import langid, packing, quality, sharding, simhash, toxicity, warc
+from veilframe.llm.common import cut, held_out, shared_dir, table
 from veilframe.llm.sharding_sql import sharding_sql
 
 SHARDS = 40
@@ -45,6 +46,13 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.calibrated(found, found.where(~out)).select("doc_id", out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.read_archives(spark, path, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
@@ -52,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op9_langid": op9_langid,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
