@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import langid, packing, quality, sharding, simhash, toxicity, warc
+from veilframe.llm import langid, packing, quality, search, sharding, simhash, toxicity, warc
 from veilframe.llm.common import cut, held_out, shared_dir, table
 from veilframe.llm.sharding_sql import sharding_sql
 
 SHARDS = 40
+#: How much more than is safe a half of a vantage-point tree is pruned.
+ANN_FACTOR = 1.2
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +42,22 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "weak_label", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(search.usable(F.col("embedding")))
+    return rows.select("vec_id", F.transform("embedding", lambda x: x.cast("double") + 0.0).alias("v"))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = vectors(spark, sf_dir).select("vec_id", F.transform("v", lambda x: F.floor(1024 * x).cast("double")).alias("v"))
+    found = search.exact_top_k(whole, F.col("vec_id") % 100 == 0, 10)
+    return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+
+
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    some = vectors(spark, sf_dir).where(F.exists("v", lambda x: x != 0))
+    return search.approximate_top_k(some, F.col("vec_id") % 20 == 0, 20, ANN_FACTOR)
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
     found = cut(langid.predict(docs, langid.fit(docs.where(~out & F.col("text").isNotNull()))))
@@ -59,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op7_topk": op7_topk,
+    "op8_ann": op8_ann,
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
 }
