@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import langid, packing, quality, search, sharding, simhash, toxicity, warc
+from veilframe.llm import langid, packing, quality, search, sentencepiece_ids, sharding, simhash, toxicity, warc
 from veilframe.llm.common import cut, held_out, shared_dir, table
 from veilframe.llm.sharding_sql import sharding_sql
 
 SHARDS = 40
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: How much more than is safe a half of a vantage-point tree is pruned.
 ANN_FACTOR = 1.2
 
@@ -42,6 +43,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "weak_label", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = MODEL_FILE) -> DataFrame:
+    """Ids of every text, and the checksum of what they decode to."""
+    pieces = sentencepiece_ids.load(model_file)
+    back = sentencepiece_ids.decode(sentencepiece_ids.encode(table(spark, sf_dir, "documents"), pieces), pieces)
+    return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(search.usable(F.col("embedding")))
     return rows.select("vec_id", F.transform("embedding", lambda x: x.cast("double") + 0.0).alias("v"))
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_topk": op7_topk,
     "op8_ann": op8_ann,
     "op9_langid": op9_langid,
