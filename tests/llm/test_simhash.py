@@ -70,7 +70,7 @@ def test_crowded_cells_lose_no_link(spark, radius, monkeypatch):
             x ^= 1 << int(b)
         fps.add(x)
     fps = sorted(fps)
-    edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), radius)
+    edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), radius, radius)
     got = {r.node: r.root for r in connected_components(edges).collect()}
     root = list(range(len(fps)))
 
@@ -87,6 +87,26 @@ def test_crowded_cells_lose_no_link(spark, radius, monkeypatch):
     assert [got.get(f, f) for f in fps] == [fps[find(i)] for i in range(len(fps))]
 
 
+def test_two_parts_catch_similar_texts(spark):
+    """Of pairs with a share of 0.8 equal five-word shingles nearly all are linked, of unlike texts none."""
+    rng = np.random.default_rng(2)
+    rows, pairs = [], []
+    for i in range(0, 400, 2):
+        base = [f"w{x}" for x in rng.integers(0, 3000, 400)]
+        near = base.copy()
+        for at in rng.choice(400, 6, replace=False):
+            near[at] = "other"
+        shingles = [{tuple(w[j : j + 5]) for j in range(396)} for w in (base, near)]
+        assert len(shingles[0] & shingles[1]) / len(shingles[0] | shingles[1]) >= 0.8
+        rows += [(i, " ".join(base)), (i + 1, " ".join(near))]
+        pairs.append((i, i + 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, simhash.WORDS, simhash.RADIUS, simhash.LIMIT, simhash.PARTS).collect()}
+    assert sum(got[b] == a for a, b in pairs) >= 0.95 * len(pairs)
+    assert all(c in (d, d - 1) for d, c in got.items())
+    assert simhash.fingerprint("a b c", 3, 2)[0] == simhash.fingerprint("a b c", 3)[0]
+
+
 def test_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 500), (301, 300)], "u long, v long")
     got = {r.node: r.root for r in connected_components(edges).collect()}
