@@ -3,7 +3,7 @@
 Equal vectors are one node that keeps its smallest ids, as many as a result can use. Nodes and query
 vectors are dealt to the nearest of a few pivots, cells are cut into shards and blocks of bounded size,
 and a block meets a shard only if their cells' covering radii allow a result. Each shard carries its
-own tree. For cells and vantage-point trees the inner product becomes a distance: rows get the
+own tree; a task takes a block through several shards, each pruned by what the ones before gave. For cells and vantage-point trees the inner product becomes a distance: rows get the
 coordinate sqrt(M^2 - |x|^2), M the largest norm, and queries a zero.
 """
 
@@ -23,8 +23,8 @@ from veilframe.llm.common import cut
 
 #: Vectors that give a first bound of each query's k-th distance, and those of them that are pivots.
 SAMPLE, PIVOTS = 1024, 32
-#: Nodes of a shard and queries of a block, about.
-SHARD, BLOCK = 8192, 1024
+#: Nodes of a shard and queries of a block, about, and shards that a block is taken through in one task.
+SHARD, BLOCK, SHARDS_AT_ONCE = 8192, 1024, 8
 
 
 def usable(vector: Column) -> Column:
@@ -41,6 +41,12 @@ def _matrix(lists: pa.Array | list, width: int) -> np.ndarray:
     return out
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """In 32 bits where that is exact."""
+    half = x.astype(np.float32)
+    return half if (half == x).all() else x
+
+
 def _lift(x: np.ndarray, most: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(most**2 - (x**2).sum(1), 0))[:, None]], 1)
 
@@ -49,7 +55,7 @@ def _flat(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, np.zeros((len(x), 1))], 1)
 
 
-def _neighbours(vectors: DataFrame, is_query: Column, k: int, factor: float, search: Callable[[object, np.ndarray, np.ndarray, np.ndarray, int], tuple], build: Callable[[np.ndarray, float], object]) -> DataFrame:
+def _neighbours(vectors: DataFrame, is_query: Column, k: int, factor: float, build: Callable[[np.ndarray, float], object], prepare: Callable[[np.ndarray, np.ndarray], tuple[object, np.ndarray]], search: Callable[[object, np.ndarray, object, trees.Best, np.ndarray, int], None]) -> DataFrame:
     """``query_id, rank, vec_id, score`` from ``vectors(vec_id, v)``."""
     vectors = cut(vectors.where("vec_id is not null").distinct())
     by_v = Window.partitionBy("v").orderBy("vec_id")
@@ -87,38 +93,61 @@ def _neighbours(vectors: DataFrame, is_query: Column, k: int, factor: float, sea
     slack = 1e-6 * (1 + most)
     allowed = [(q["cell"], r["cell"]) for q in blocks for r in cells if (gaps[q["cell"], r["cell"]] - q["d"] - r["d"] - slack) * factor <= q["far"] + slack]
 
-    def part(found: list, size: int) -> Column:
-        """The part of its cell that a vector is in: cells are cut into parts of about ``size``."""
-        parts = F.create_map(*[F.lit(int(x)) for r in found for x in (r["cell"], -(-r["n"] // size))])
-        return F.pmod(F.xxhash64("v"), parts[F.col("cell")]).cast("int")
+    if not allowed:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+    def by_cell(values: dict[int, int]) -> Column:
+        return F.create_map(*[F.lit(int(x)) for pair in values.items() for x in pair])  # at most PIVOTS cells
+
+    def part(values: dict[int, int]) -> Column:
+        """The part of its cell that a vector is in."""
+        return F.pmod(F.xxhash64("v"), by_cell(values)[F.col("cell")]).cast("int")
+
+    shard_parts = {r["cell"]: -(-r["n"] // SHARD) for r in cells}
+    block_parts = {q["cell"]: -(-q["n"] // BLOCK) for q in blocks}
+    before, total = {}, 0
+    for cell, n in shard_parts.items():
+        before[cell], total = total, total + n
+    team = F.floor((by_cell(before)[F.col("cell")] + F.col("part")) / SHARDS_AT_ONCE).cast("int")
 
     def index(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("first", kind="stable")
         x = _matrix(list(pdf["v"]), width)
-        blob = pickle.dumps((build(x, most), [np.asarray(i) for i in pdf["ids"]]), protocol=5)
+        blob = pickle.dumps((build(x, most), _narrow(x), [np.asarray(i) for i in pdf["ids"]]), protocol=5)
         return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "part": pdf["part"].iloc[:1], "blob": [blob]})
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("qkey")
-        blob = pickle.dumps((pdf["qkey"].to_numpy(), _matrix(list(pdf["v"]), width), pdf["far"].to_numpy()), protocol=5)
+        blob = pickle.dumps((pdf["qkey"].to_numpy(), _narrow(_matrix(list(pdf["v"]), width)), pdf["far"].to_numpy()), protocol=5)
         return pd.DataFrame({"qcell": pdf["cell"].iloc[:1], "qpart": pdf["part"].iloc[:1], "qblob": [blob]})
 
-    if not allowed:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shards = cut(nodes.withColumn("part", part(cells, SHARD)).withColumn("first", F.col("ids")[0]).groupBy("cell", "part").applyInPandas(index, "cell int, part int, blob binary"))
-    asked = cut(keys_.withColumn("part", part(blocks, BLOCK)).groupBy("cell", "part").applyInPandas(gather, "qcell int, qpart int, qblob binary"))
+    shards = cut(nodes.withColumn("part", part(shard_parts)).withColumn("first", F.col("ids")[0]).groupBy("cell", "part").applyInPandas(index, "cell int, part int, blob binary"))
+    asked = cut(keys_.withColumn("part", part(block_parts)).groupBy("cell", "part").applyInPandas(gather, "qcell int, qpart int, qblob binary"))
     table = vectors.sparkSession.createDataFrame(allowed, "qcell int, cell int")  # at most PIVOTS squared rows
-    pairs = asked.select("qcell", "qpart").join(F.broadcast(table), "qcell").join(shards.select("cell", "part"), "cell")
-    pairs = pairs.join(shards, ["cell", "part"]).join(asked, ["qcell", "qpart"])
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree, ids = pickle.loads(pdf["blob"].iloc[0])
-        qkeys, x, far = pickle.loads(pdf["qblob"].iloc[0])
-        q, row, score = search(tree, x, far, np.array([i[0] for i in ids], np.int64), k + 1)
+    sent = shards.withColumn("team", team).join(F.broadcast(table), "cell")
+    sent = sent.withColumn("qpart", F.explode(F.sequence(F.lit(0), by_cell(block_parts)[F.col("qcell")] - 1)))
+    asked = asked.withColumn("team", F.explode(F.sequence(F.lit(0), F.lit((total - 1) // SHARDS_AT_ONCE))))
+
+    def meet(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        if ours.empty or theirs.empty:
+            return pd.DataFrame({"qkey": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+        qkeys, x, far = pickle.loads(theirs["qblob"].iloc[0])
+        x = x.astype(float)
+        ready, floor = prepare(x, far)
+        best = trees.Best(len(x), k + 1, floor)
+        rows, ids = [], []
+        for blob in ours.sort_values(["cell", "part"])["blob"]:
+            built, y, own = pickle.loads(blob)
+            search(built, y.astype(float), ready, best, np.array([i[0] for i in own], np.int64), len(ids))
+            rows.append(y)
+            ids += own
+        q, row = best.found()
+        score = (x[q] * np.concatenate(rows).astype(float)[row]).sum(1)  # summed alike wherever a vector stands
         times = np.array([ids[r].size for r in row], np.int64)
         return pd.DataFrame({"qkey": np.repeat(qkeys[q], times), "vec_id": np.concatenate([ids[r] for r in row]) if row.size else np.empty(0, np.int64), "score": np.repeat(score, times)})
 
-    met = pairs.groupBy("qcell", "qpart", "cell", "part").applyInPandas(meet, "qkey long, vec_id long, score double")
+    key = ["qcell", "qpart", "team"]
+    met = sent.select(*key, "cell", "part", "blob").groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(meet, "qkey long, vec_id long, score double")
     ranked = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
     best = met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k + 1).drop("rank")
     mine = queries.join(keys, "v").select(F.col("vec_id").alias("query_id"), "qkey")
@@ -127,12 +156,6 @@ def _neighbours(vectors: DataFrame, is_query: Column, k: int, factor: float, sea
     return found.select("query_id", "rank", "vec_id", "score")
 
 
-def _winners(best: trees.Best, x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, row and inner product, summed alike wherever a vector stands."""
-    q, row = best.found()
-    return q, row, (x[q] * rows[row]).sum(1)
-
-
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """The ``k`` rows of largest inner product with each query, itself aside; ties to the smaller id.
 
@@ -144,24 +167,29 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     def build(x: np.ndarray, most: float) -> trees.CoverTree:
         return trees.CoverTree(x)
 
-    def search(tree: trees.CoverTree, x: np.ndarray, far: np.ndarray, ties: np.ndarray, keep: int) -> tuple:
-        best = trees.Best(len(x), keep, np.full(len(x), -np.inf))
-        trees.dual_search(trees.CoverTree(x), tree, best, ties)
-        return _winners(best, x, tree.x)
+    def prepare(x: np.ndarray, far: np.ndarray) -> tuple:
+        return trees.CoverTree(x), np.full(len(x), -np.inf)
+
+    def search(tree: trees.CoverTree, y: np.ndarray, ready: trees.CoverTree, best: trees.Best, ties: np.ndarray, base: int) -> None:
+        tree.x = y
+        trees.dual_search(ready, tree, best, ties, base)
 
-    return _neighbours(vectors, is_query, k, 1.0, search, build)
+    return _neighbours(vectors, is_query, k, 1.0, build, prepare, search)
 
 
 def approximate_top_k(vectors: DataFrame, is_query: Column, k: int, factor: float) -> DataFrame:
     """As ``exact_top_k``, by a vantage-point tree for each shard; a ``factor`` above one prunes more than is safe."""
 
-    def build(x: np.ndarray, most: float) -> tuple:
-        return trees.VantageTree(_lift(x, most)), x
+    def build(x: np.ndarray, most: float) -> trees.VantageTree:
+        tree = trees.VantageTree(_lift(x, most))
+        tree.most = most
+        return tree
+
+    def prepare(x: np.ndarray, far: np.ndarray) -> tuple:
+        return _flat(x), -far * (1 + 1e-9) - 1e-9
 
-    def search(built: tuple, x: np.ndarray, far: np.ndarray, ties: np.ndarray, keep: int) -> tuple:
-        tree, rows = built
-        best = trees.Best(len(x), keep, -far * (1 + 1e-9) - 1e-9)
-        trees.vantage_search(tree, _flat(x), best, ties, factor)
-        return _winners(best, x, rows)
+    def search(tree: trees.VantageTree, y: np.ndarray, ready: np.ndarray, best: trees.Best, ties: np.ndarray, base: int) -> None:
+        tree.x = _lift(y, tree.most)
+        trees.vantage_search(tree, ready, best, ties, factor, base)
 
-    return _neighbours(vectors, is_query, k, factor, search, build)
+    return _neighbours(vectors, is_query, k, factor, build, prepare, search)

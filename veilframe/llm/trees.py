@@ -89,9 +89,13 @@ class CoverTree:
         self.children, self.spans = [np.array(c, np.int64) for c in children], spans
         self.norm = np.sqrt((x[self.center] ** 2).sum(1))
 
+    def __getstate__(self) -> dict:
+        """Without the points, which are kept once, beside the tree."""
+        return self.__dict__ | {"x": None}
 
-def dual_search(queries: CoverTree, data: CoverTree, best: Best, ties: np.ndarray, slack: float = 1e-9) -> None:
-    """Into ``best`` the largest inner products of every query.
+
+def dual_search(queries: CoverTree, data: CoverTree, best: Best, ties: np.ndarray, base: int = 0, slack: float = 1e-9) -> None:
+    """Into ``best`` the largest inner products of every query; rows are numbered from ``base``.
 
     A pair of nodes is left out if even its closest pair of points could not reach the worst k-th score in
     the query node: <q, x> <= <cq, cx> + rq |cx| + rx |cq| + rq rx.
@@ -131,7 +135,7 @@ def dual_search(queries: CoverTree, data: CoverTree, best: Best, ties: np.ndarra
         at, step = 0, 4
         while at < order.size and b[order[at]] >= best.floor[mine].min():
             rows = np.concatenate([data.points[slice(*data.spans[n])] for n in leaves_[order[at : at + step]]])
-            best.add(mine, x @ data.x[rows].T, rows, ties[rows])
+            best.add(mine, x @ data.x[rows].T, rows + base, ties[rows])
             at, step = at + step, min(32, step * 2)
 
     stack = [(0, np.array([0]))]
@@ -191,9 +195,13 @@ class VantageTree:
                 self.leaf.append(part)
             self.child[me] = tuple(pair)
 
+    def __getstate__(self) -> dict:
+        """Without the points, which are kept once, beside the tree."""
+        return self.__dict__ | {"x": None}
+
 
-def vantage_search(tree: VantageTree, queries: np.ndarray, best: Best, ties: np.ndarray, factor: float, slack: float = 1e-9) -> None:
-    """Into ``best`` the nearest points, scored by their negative distance.
+def vantage_search(tree: VantageTree, queries: np.ndarray, best: Best, ties: np.ndarray, factor: float, base: int = 0, slack: float = 1e-9) -> None:
+    """Into ``best`` the nearest points, scored by their negative distance; rows are numbered from ``base``.
 
     A half is left out if ``factor`` times the distance from the query to its border exceeds the k-th
     distance so far. By the triangle inequality a factor of one leaves out nothing that counts.
@@ -207,7 +215,7 @@ def vantage_search(tree: VantageTree, queries: np.ndarray, best: Best, ties: np.
             rows = tree.leaf[n]
             if rows.size:
                 d2 = (queries[q] ** 2).sum(1)[:, None] + (tree.x[rows] ** 2).sum(1) - 2 * queries[q] @ tree.x[rows].T
-                best.add(q, -np.sqrt(np.maximum(d2, 0)), rows, ties[rows])
+                best.add(q, -np.sqrt(np.maximum(d2, 0)), rows + base, ties[rows])
             return
         d = np.sqrt(((queries[q] - tree.x[v]) ** 2).sum(1))
         gap = d - tree.limit[n]
