@@ -23,6 +23,8 @@ from veilframe.llm.components import connected_components
 
 #: A popcount vector of more fingerprints crowds its cells: they are split into chunks of about so many, and every two chunks meet.
 CROWD = 256
+#: Parts that the members of a component are dealt into when they learn its smallest id; only fingerprints with a link are.
+SALTS = 32
 #: Pairs compared at a time in a task.
 PAIRS_AT_ONCE = 2_000_000
 
@@ -200,9 +202,10 @@ def near_duplicates(docs: DataFrame, words: int, radius: int, limit: int | None
     own = cut(fingerprints(docs, words, parts, id_col=id_col, text_col=text_col))
     nodes = cut(own.groupBy(*names).agg(F.min("id").alias("first")).withColumn("node", _node(names)))
     roots = connected_components(links(nodes.select(*names), radius, radius if limit is None else limit, parts))
-    rooted = nodes.join(roots, "node", "left").select(*names, "first", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(least, "root").select(*names, "component_id")
+    linked = cut(nodes.select("node", "first").join(roots, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")))
+    least = linked.groupBy("root").agg(F.min("first").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    classes = nodes.join(linked.join(least, ["root", "salt"]).select("node", "component_id"), "node", "left")
+    classes = classes.select(*names, F.coalesce("component_id", "first").alias("component_id"))
     return own.join(classes, names).select(F.col("id").alias(id_col), *names, "component_id")
 
 
