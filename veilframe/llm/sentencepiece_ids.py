@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Units kept with their ids in each Python worker, and ids passed on at a time.
+#: Units kept with their ids in each Python worker, twice so many with those of the last change, and ids passed on at a time.
 CACHE, FLUSH = 200_000, 1 << 20
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -37,16 +37,42 @@ class Pieces:
     fallback: float = 0.0
     prefixes: frozenset = frozenset()
     units: bool = True
+    pairs: frozenset = frozenset()
     _memo: dict = field(default_factory=dict, repr=False)
+    _old: dict = field(default_factory=dict, repr=False)
+    _ends: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.ids), default=1)
         self.fallback = min((s for s in self.scores.values() if s > -1e8), default=0.0) - 10
         self.prefixes = frozenset(p[:n] for p in self.ids for n in range(1, len(p)))
+        self.pairs = frozenset(p[i : i + 2] for p in self.ids for i in range(len(p) - 1))
         self.units = not any(MARK in p.lstrip(MARK) for p in self.ids)  # then no piece runs on into the next word
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_memo": {}}
+        return self.__dict__ | {"_memo": {}, "_old": {}, "_ends": {}}
+
+    def ends(self) -> dict[str, list]:
+        """The pieces as a tree read from their last letter: letter -> score if a piece begins here, and the letters before it."""
+        if not self._ends:
+            root: list = [None, {}]
+            for piece, score in self.scores.items():
+                node = root
+                for char in reversed(piece):
+                    node = node[1].setdefault(char, [None, {}])
+                node[0] = score
+            self._ends.update(root[1])
+        return self._ends
+
+    def parts(self, text: str) -> list[str]:
+        """The text cut between letters that no piece has side by side: every path has a boundary there."""
+        pairs, out, first = self.pairs, [], 0
+        for i in range(1, len(text)):
+            if text[i - 1 : i + 1] not in pairs:
+                out.append(text[first:i])
+                first = i
+        out.append(text[first:])
+        return out
 
     def outside(self, char: str) -> tuple[int, ...]:
         return tuple(self.bytes_[b] for b in char.encode("utf-8", "surrogatepass")) if self.bytes_ else (self.unk,)
@@ -73,30 +99,36 @@ def load(path: str) -> Pieces:
 
 def stream(chunks: Iterable[str], pieces: Pieces) -> Iterator[list[int]]:
     """Ids of a text with marks for spaces, given in chunks; each list is final. Of equal sums the longer last piece wins."""
-    ids, scores, longest, fallback, prefixes = pieces.ids, pieces.scores, pieces.longest, pieces.fallback, pieces.prefixes
-    get = scores.get
+    ids, longest, fallback, prefixes, ends = pieces.ids, pieces.longest, pieces.fallback, pieces.prefixes, pieces.ends()
     window, best, back = "", [0.0], [0]  # of the text after the last final boundary
 
     def path(end: int) -> list[int]:
-        out: list[tuple[int, ...]] = []
+        out: list[int] = []
         while end:
             start = back[end]
             piece = window[start:end]
-            out.append((ids[piece],) if piece in ids else pieces.outside(piece))
+            if (i := ids.get(piece)) is not None:
+                out.append(i)
+            else:
+                out += reversed(pieces.outside(piece))
             end = start
-        return [i for p in reversed(out) for i in p]
+        out.reverse()
+        return out
 
-    check = 2 * longest
+    check, end = 2 * longest, 0
     for chunk in chunks:
-        for char in chunk:
-            window += char
-            end = len(window)
-            top, at = best[end - 1] + fallback, end - 1
-            for start in range(end - longest if end > longest else 0, end):
-                if (score := get(window[start:end])) is not None and ((s := best[start] + score) > top or (s == top and start <= at)):
-                    top, at = s, start
-            best.append(top)
-            back.append(at)
+        for first in range(0, len(chunk), longest):
+            window += chunk[first : first + longest]
+            for end in range(end + 1, len(window) + 1):
+                at = start = end - 1
+                top, before = best[at] + fallback, ends
+                while start >= 0 and (node := before.get(window[start])):
+                    score, before = node
+                    if score is not None and (s := best[start] + score) >= top:
+                        top, at = s, start
+                    start -= 1
+                best.append(top)
+                back.append(at)
             if end >= check:
                 # boundaries from which a piece can still start or run on; their best paths go back until they meet
                 open_ = {end, *(i for i in range(max(0, end - longest), end) if window[i:] in prefixes)}
@@ -109,6 +141,7 @@ def stream(chunks: Iterable[str], pieces: Pieces) -> Iterator[list[int]]:
                     yield path(met)
                     window, gone = window[met:], best[met]
                     best, back = [b - gone for b in best[met:]], [b - met if b > met else 0 for b in back[met:]]
+                    end -= met
                 check = 2 * max(longest, len(window))
     if window:
         yield path(len(window))
@@ -121,12 +154,16 @@ def encode_text(text: str, pieces: Pieces) -> bytes:
     memo = pieces._memo
 
     def unit(u: str) -> bytes:
-        if (own := memo.get(u)) is None:
+        if (own := memo.get(u)) is not None:
+            return own
+        if (own := pieces._old.get(u)) is None:
+            parts = (u,) if u[1:].isalpha() else pieces.parts(u)
+            own = b"".join(map(unit, parts)) if len(parts) > 1 else array("i", [i for ids in stream((u,), pieces) for i in ids]).tobytes()
+        if len(u) <= 64:
             if len(memo) >= CACHE:
+                pieces._old = memo.copy()
                 memo.clear()
-            own = array("i", [i for part in stream((u,), pieces) for i in part]).tobytes()
-            if len(u) <= 64:
-                memo[u] = own
+            memo[u] = own
         return own
 
     if not pieces.units:
