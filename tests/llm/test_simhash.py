@@ -120,3 +120,29 @@ def test_empty_and_keep_one(spark):
     text = " ".join(f"word{i}" for i in range(100))
     df = spark.createDataFrame([(5, text, "a"), (3, text.upper(), "b"), (3, text.upper(), "b"), (9, "quite another text", None)], "doc_id long, text string, __keep string")
     assert sorted((r.doc_id, r["__keep"]) for r in simhash.keep_one(df).collect()) == [(3, "b"), (9, None)]
+
+
+def altered(rng, n, cuts):
+    """A text of n words and one with ``cuts`` words changed, and their share of equal five-word shingles."""
+    base = [f"w{x}" for x in rng.integers(0, 100_000, n)]
+    near = base.copy()
+    for at in cuts:
+        near[at] = f"x{rng.integers(1 << 40)}"
+    a, b = ({tuple(w[j : j + 5]) for j in range(n - 4)} for w in (base, near))
+    return " ".join(base), " ".join(near), len(a & b) / len(a | b)
+
+
+def kept_pairs(spark, pairs):
+    rows = [(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)]
+    left = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(2 * i in left for i in range(len(pairs)))
+    return sum(2 * i + 1 in left for i in range(len(pairs)))
+
+
+def test_pairs_just_above_the_share_lose_one(spark):
+    rng, pairs = np.random.default_rng(5), []
+    for _ in range(300):
+        a, b, share = altered(rng, 366, range(20, 340, 40))
+        assert 0.8 <= share < 0.802
+        pairs.append((a, b))
+    assert kept_pairs(spark, pairs) == 0

@@ -131,11 +131,14 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _forest(limit: int, parts: int):
-    """Exact check of the lists' pairs; yields an edge from each linked fingerprint to its root in the list."""
+def _forest(limit: int, parts: int, named: bool = False):
+    """Exact check of the lists' pairs; yields an edge from each linked fingerprint to its root in the list.
+
+    ``named``: the first list is of the nodes that the fingerprints belong to, and edges join those.
+    """
 
     def edges(flat: list[np.ndarray], no: np.ndarray) -> pa.RecordBatch:
-        bits = [f.view(np.uint64) for f in flat]
+        bits = [f.view(np.uint64) for f in flat[named:]]
         links, k = [(np.empty(0, np.int64),) * 2], 1
         i = np.arange(no.size - 1)
         while (i := i[i + k < no.size]).size and (i := i[no[i] == no[i + k]]).size:
@@ -147,6 +150,8 @@ def _forest(limit: int, parts: int):
             k += 1
         root = _roots(no.size, *(np.concatenate(x) for x in zip(*links)))
         own = np.flatnonzero(root != np.arange(no.size))
+        if named:
+            return pa.RecordBatch.from_arrays([pa.array(flat[0][own]), pa.array(flat[0][root[own]])], names=["u", "v"])
         cols = [pa.array(f[x]) for x in (own, root[own]) for f in flat]
         return pa.RecordBatch.from_arrays(cols, names=[f"{side}{p}" for side in "uv" for p in range(parts)])
 
@@ -209,19 +214,197 @@ def near_duplicates(docs: DataFrame, words: int, radius: int, limit: int | None
     return own.join(classes, names).select(F.col("id").alias(id_col), *names, "component_id")
 
 
-#: Near-duplicates of a corpus: five-word shingles, 128 bits. A share of 0.8 equal shingles makes a cosine of 0.89
-#: and so 15 % differing bits, give or take 3 %; up to 18 % are taken.
+#: Near-duplicates by 128-bit fingerprints alone: a share of 0.8 equal shingles makes a cosine of 0.89 and so 15 %
+#: differing bits, give or take 3 %; up to 18 % are taken. ``keep_one`` does not rest on these, but checks shingles.
 WORDS, PARTS, RADIUS, LIMIT = 5, 2, 8, 23
+#: Least share of equal shingles, of all different ones of two texts: near-duplicates of a corpus.
+SHARE = (4, 5)
+#: Bands of so many least hashes that propose pairs; at a share of 0.8 a pair has no band in common with probability 3e-6.
+BANDS, ROWS = 32, 5
+#: 64-bit parts of the fingerprint over different shingles, and the bits a proposed pair may differ by. A share of 0.8
+#: makes at most 15.2 % differing bits on average: 38.8 of 256, deviation 5.7; the limit is five deviations above.
+SET_PARTS, SET_LIMIT = 4, 68
+#: Most shingles of a chunk of a component that is checked at a time.
+SHINGLES = 1 << 19
+_FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_ROW = ["__row_key_1", "__row_key_2"]
+
+
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """Ascending XXH64 hashes of a text's different word shingles, words as in ``fingerprint``."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not w:
+        return np.empty(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    shingles = map(b" ".join, zip(*(w[i:] for i in range(words)))) if len(w) >= words else [b" ".join(w)]
+    return np.unique(np.fromiter((digest(s, 42) for s in shingles), np.uint64))
+
+
+def _set_fingerprint(h: np.ndarray) -> list[int]:
+    out = []
+    for _ in range(SET_PARTS):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, h.size, 65_536):
+            ones += np.unpackbits(h[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(int(np.packbits((2 * ones > h.size).astype(np.uint8), bitorder="little").view(np.int64)[0]))
+        h = _mix(h)
+    return out
+
+
+def _bands(h: np.ndarray) -> np.ndarray:
+    """One hash of each band of least hashes; none for an empty set."""
+    if not h.size:
+        return np.empty(0, np.int64)
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for at in range(0, h.size, 2048):
+        np.minimum(least, (_FACTORS[:, None] * h[None, at : at + 2048]).min(1), out=least)
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) ^ column)
+    return key.view(np.int64)
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two shingle sets share ``SHARE`` of their union, exactly."""
+    both = a.size + b.size
+    if SHARE[1] * min(a.size, b.size) < SHARE[0] * max(a.size, b.size):
+        return False
+    joint = np.sort(np.concatenate([a, b]), kind="stable")
+    return (SHARE[0] + SHARE[1]) * int((joint[1:] == joint[:-1]).sum()) >= SHARE[0] * both
+
+
+def _described(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, size, fps, bands = [], [], [], []
+            for t in b.column(3):
+                h = shingle_set(t.as_py(), words)
+                node.append(xxhash.xxh64_intdigest(h.tobytes(), 7))
+                size.append(h.size)
+                fps.append(_set_fingerprint(h))
+                bands.append(_bands(h))
+            fps = np.array(fps, np.int64).reshape(-1, SET_PARTS)
+            ends = np.cumsum([0, *map(len, bands)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *bands])))
+            cols = [pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(size, pa.int64()), *(pa.array(fps[:, i].copy()) for i in range(SET_PARTS)), lists]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *cols], names=[*_ROW, "id", "node", "size", *_names(SET_PARTS), "bands"])
+
+    return run
+
 
+def _sets(words: int, kept: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = pa.array([shingle_set(t.as_py(), words).tobytes() for t in b.column(0)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], sets], names=[*kept, "shingles"])
+
+    return run
+
+
+def _check_group(node: np.ndarray, own: np.ndarray, bits: list[np.ndarray], shingles: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Checked links that join a group's members as far as pairs of SHARE do; of two chunks, only pairs across them."""
+    i, j = np.triu_indices(node.size, 1)
+    if own.min() != own.max():
+        across = own[i] != own[j]
+        i, j = i[across], j[across]
+    far = np.zeros(i.size, np.int64)
+    for b in bits:
+        far += np.bitwise_count(b[i] ^ b[j])
+    order = np.argsort(far, kind="stable")
+    order = order[far[order] <= SET_LIMIT]
+    root, out = list(range(node.size)), []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        if (a := find(x)) != (b := find(y)) and similar(shingles[x], shingles[y]):
+            root[a] = b
+            out.append((int(node[x]), int(node[y])))
+    return out
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of rows ``root, a, b, own, node, fp, ..., shingles`` that come sorted by group."""
+    held: list[tuple] = []
+    now = None
+
+    def settle() -> list[tuple[int, int]]:
+        if len(held) < 2:
+            return []
+        cols = list(zip(*held))
+        return _check_group(np.array(cols[1]), np.array(cols[0]), [np.array(c, np.int64).view(np.uint64) for c in cols[2:-1]], cols[-1])
 
-def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, limit: int = LIMIT, parts: int = PARTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the smallest id of each component, with all its columns; repeated rows of it go.
+    def out(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
-    Rows without an id that are linked to no row with one are a component's only members: one of them stays.
+    for batch in batches:
+        edges = []
+        numbers = [c.to_pylist() for c in batch.columns[:-1]]
+        for at, row in enumerate(zip(*numbers)):
+            if row[:3] != now:
+                edges += settle()
+                held.clear()
+                now = row[:3]
+            held.append((*row[3:], np.frombuffer(batch.column(batch.num_columns - 1)[at].as_py(), np.uint64)))
+        yield out(edges)
+    yield out(settle())
+
+
+def _dealt(rows: DataFrame, chunks: Column) -> DataFrame:
+    """Rows with the chunk ``own`` of their node and each pair ``a, b`` of chunks that it belongs to."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (chunks - 1).cast("int"))))
+    return rows.select("*", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+
+
+def proposed(nodes: DataFrame) -> DataFrame:
+    """Edges ``u, v`` that join nodes with a band in common and fingerprints within ``SET_LIMIT`` bits, through chains.
+
+    A band of over ``CROWD`` nodes is dealt out in chunks, each pair of chunks a group of its own.
+    """
+    names = _names(SET_PARTS)
+    cells = nodes.select("node", *names, F.explode("bands").alias("band"))
+    crowded = cells.groupBy("band").count().where(F.col("count") > CROWD)
+    dealt = _dealt(cells.join(crowded, "band", "left"), F.coalesce(F.ceil(F.col("count") / CROWD), F.lit(1)))
+    groups = dealt.groupBy("band", "a", "b").agg(*[F.collect_list(n).alias(n) for n in ["node", *names]])
+    return groups.where(F.size("node") > 1).select("node", *names).mapInArrow(_forest(SET_LIMIT, SET_PARTS, named=True), "u long, v long")
+
+
+def checked_links(keyed: DataFrame, nodes: DataFrame, words: int, text_col: str) -> DataFrame:
+    """Edges ``u, v`` between nodes of ``SHARE`` equal shingles, through chains; every edge is checked on the shingles.
+
+    Bands and fingerprints propose; what they join is gathered with its shingles, in pairs of chunks
+    of about ``CROWD`` nodes or ``SHINGLES`` shingles, and all close pairs not yet joined are checked.
+    """
+    members = cut(nodes.select("node", "size", *_names(SET_PARTS), *[F.col(f"best.{r}").alias(r) for r in _ROW]).join(connected_components(proposed(nodes)), "node"))
+    parts = members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / CROWD, F.sum("size") / SHINGLES)).alias("chunks")).where("chunks > 1")
+    dealt = members.join(F.broadcast(parts), "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    kept = ["root", "chunks", "node", *_names(SET_PARTS)]
+    texts = keyed.select(*_ROW, F.col(text_col).alias("text")).join(dealt, _ROW).select("text", *kept)
+    sets = texts.mapInArrow(_sets(words, kept), T.StructType([*texts.schema.fields[1:], T.StructField("shingles", T.BinaryType())]))
+    groups = _dealt(sets, F.col("chunks")).select("root", "a", "b", "own", "node", *_names(SET_PARTS), "shingles")
+    return groups.repartition("root", "a", "b").sortWithinPartitions("root", "a", "b").mapInArrow(_checked, "u long, v long")
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each group of near-duplicates, with all its columns; repeated rows of it go.
+
+    Near-duplicates share ``SHARE`` of their different shingles, themselves or through others. Texts of equal
+    shingles are one node. A row without an id stays only where its group has no row with one; rows of one id, or
+    of none, that are not near-duplicates all stay.
     """
-    found = near_duplicates(docs, words, radius, limit, parts, id_col, text_col)
-    keep = found.select(F.col("component_id").alias("__keep")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["__keep"]), "left_semi").dropDuplicates([id_col])
+    keyed = docs.withColumns({_ROW[0]: F.xxhash64(text_col, id_col), _ROW[1]: F.xxhash64(F.lit(1), id_col, text_col)})
+    rows = keyed.select(*_ROW, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    more = T.StructType([T.StructField(n, T.LongType()) for n in ["node", "size", *_names(SET_PARTS)]] + [T.StructField("bands", T.ArrayType(T.LongType()))])
+    own = rows.mapInArrow(_described(words), T.StructType([*rows.schema.fields[:3], *more.fields]))
+    best = F.struct(F.col("id").isNull().alias("none"), "id", *_ROW)
+    nodes = cut(own.groupBy("node").agg(F.min(best).alias("best"), *[F.min(n).alias(n) for n in ["size", *_names(SET_PARTS)]], F.first("bands").alias("bands")))
+    found = connected_components(checked_links(keyed, nodes, words, text_col))
+    whole = nodes.select("node", "best").join(found, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
+    keep = whole.select(*[F.col(f"best.{r}").alias(r) for r in _ROW])
+    return keyed.join(keep, _ROW, "left_semi").dropDuplicates(_ROW).drop(*_ROW)
 
 
 def hex_fingerprint(fp: Column) -> Column:
