@@ -146,3 +146,15 @@ def test_pairs_just_above_the_share_lose_one(spark):
         assert 0.8 <= share < 0.802
         pairs.append((a, b))
     assert kept_pairs(spark, pairs) == 0
+
+
+def test_pairs_below_the_share_both_stay(spark):
+    rng, pairs = np.random.default_rng(6), []
+    for n, step in ((366, 36), (366, 26), (366, 20), (366, 18)):
+        for _ in range(50):
+            a, b, share = altered(rng, n, range(20, 340, step))
+            assert 0.6 <= share < 0.8
+            pairs.append((a, b))
+    line = "the same line comes again "
+    pairs += [(line * 300 + f"one{i} a{i} b{i}", line * 300 + f"two{i} c{i} d{i}") for i in range(1)]  # few different shingles
+    assert kept_pairs(spark, pairs) == len(pairs)
