@@ -158,3 +158,10 @@ def test_pairs_below_the_share_both_stay(spark):
     line = "the same line comes again "
     pairs += [(line * 300 + f"one{i} a{i} b{i}", line * 300 + f"two{i} c{i} d{i}") for i in range(1)]  # few different shingles
     assert kept_pairs(spark, pairs) == len(pairs)
+
+
+def test_null_and_repeated_ids_stay_apart(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2].upper()), (1, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]), (8, texts[4]), (None, texts[5]), (None, texts[5])]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, texts[0]), (0, texts[1]), (1, texts[2]), (7, texts[3]), (7, texts[4]), (0, texts[5])])
