@@ -89,3 +89,12 @@ def test_rare_counts_cut_off_and_empty(spark):
     odd = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
     assert [r.lang_pred for r in langid.predict(odd, empty).collect()] == ["und"]
     assert langid.predict(odd.limit(0), small).count() == 0
+
+
+def test_no_language_is_cut_off_by_default(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_NGRAMS", 12, raising=False)
+    monkeypatch.setattr(langid.fit, "__defaults__", tuple(12 if d == 1 << 23 else d for d in langid.fit.__defaults__))
+    df = spark.createDataFrame([("a", "xyxyxyxyxyxy " * 50), ("b", "rarely said")], "lang string, text string")
+    assert langid.fit(df).langs == ("a", "b")
+    hot = spark.createDataFrame([("a", "xyz " * 3000)], "lang string, text string")
+    assert sum(g.size for g in langid.fit(hot, max_ngrams=3).grams[-1:]) <= 3

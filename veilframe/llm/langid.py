@@ -23,8 +23,6 @@ ORDER = 4
 BLOCK = 1 << 20
 #: n-grams kept in a task before they are passed on.
 FLUSH = 1 << 21
-#: Most n-grams of a model, all languages together. Beyond it the rarest counts are cut off, as is usual for such models.
-MAX_NGRAMS = 1 << 23
 EDGE, SPACE = 1, 32
 
 _LETTERS = np.zeros(1 << 16, np.uint16)
@@ -216,14 +214,15 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     return Model(langs, tuple(grams_), tuple(prob), tuple(contexts), tuple(backs), np.full(len(langs), np.log2(1 / vocab)))
 
 
-def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_ngrams: int = MAX_NGRAMS) -> Model:
-    """A model of all rows with text and language. Only the n-gram table, bounded by ``max_ngrams``, meets the driver."""
+def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_ngrams: int | None = None) -> Model:
+    """A model of all rows with text and language, whose n-gram table meets the driver.
+
+    Nothing is cut off unless ``max_ngrams`` is given; then the rarest counts are, over all languages together.
+    """
     found = cut(count_ngrams(docs, lang_col, text_col))
-    rare, by_count = 0, None
-    total = found.count()
-    if total > max_ngrams:
-        by_count = found.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy("n").collect()
-        for r in by_count:
+    rare, total = 0, 0 if max_ngrams is None else found.count()
+    if max_ngrams is not None and total > max_ngrams:
+        for r in found.groupBy("n").count().orderBy("n").collect():
             if total <= max_ngrams:
                 break
             rare, total = r["n"], total - r["count"]
@@ -239,7 +238,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     null text, one without a letter, or where no language was learned. Score: the share of
     exp(-sharpness * entropy) among the languages.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most ``max_ngrams`` n-grams
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
