@@ -49,21 +49,31 @@ def test_swap_penalty_spares_neutral_mentions(data):
     assert gap(fair) < gap(plain) / 5
 
 
-def test_swaps():
-    assert list(toxicity.swaps("Women talk. no term", {"k": ("women", "men", "people")})) == [("women", "men"), ("women", "people")]
+def test_swaps_change_what_the_text_really_gains_and_loses():
+    kinds = {"k": ("women", "men", "people")}
+    feats = lambda t: {f for w in set(toxicity.WORD.findall(t.lower())) for f in toxicity.word_features(w)}
+    for text in ("Women talk. no term", "women talk. Women and men", "womenfolk say women", "men and people; men. mentor", "women women", ""):
+        want = []
+        for at, s in enumerate(parts := text.lower().split(".")):
+            for term in sorted(set(toxicity.WORD.findall(s)) & set(kinds["k"])):
+                for other in sorted(set(kinds["k"]) - {term}):
+                    swapped = toxicity.re.sub(rf"\b{term}\b", other, s)
+                    after = feats(".".join([*parts[:at], swapped, *parts[at + 1 :]]))
+                    want.append((sorted(after - feats(text)), sorted(feats(text) - after)))
+        assert list(toxicity.swaps(text, kinds)) == want, text
     assert list(toxicity.swaps("", toxicity.IDENTITY_TERMS)) == []
 
 
 def test_solver_matches_plain_gradient_descent():
     sets = [np.array([0]), np.array([0, 1]), np.array([1]), np.array([], int)]
     y, n = np.array([1.0, 1, 0, 0]), np.array([3.0, 1, 2, 5])
-    d = [(np.array([1.0, -1.0]), 2)]
-    w, b = toxicity._solve(sets, y, n, 2, d, 0.05, ridge=0.01, steps=4000)
+    d = np.array([1.0, -1.0])
+    w, b = toxicity._solve(sets, y, n, 2, {(1, -2): 2}, 0.05, ridge=0.01, steps=4000)
     x = np.array([[1, 0], [1, 1], [0, 1], [0, 0]], float)
     v, c = np.zeros(2), 0.0
     for _ in range(60000):
         r = n / n.sum() * (1 / (1 + np.exp(-(x @ v + c))) - y)
-        v -= 0.3 * (x.T @ r + 0.02 * v + 0.1 * d[0][0] * (d[0][0] @ v))
+        v -= 0.3 * (x.T @ r + 0.02 * v + 0.1 * d * (d @ v))
         c -= 0.3 * r.sum()
     assert np.allclose([*w, b], [*v, c], atol=0.02)
 
@@ -115,6 +125,16 @@ def test_quality_without_labels(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d, r in got.items() if r.score >= 0.5}
 
 
+def test_repeated_ids_keep_their_own_votes(spark):
+    """Rows that share an id, or have none, train the scorer as rows of their own do."""
+    rows = [(i, prose(int(RNG.integers(40, 200))) if i % 4 else junk(i // 4)) for i in range(400)]
+    own = quality.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    for shared in ([(i % 2, t) for i, t in rows], [(None, t) for _, t in rows]):
+        model = quality.fit(spark.createDataFrame(shared, "doc_id long, text string"))
+        assert np.allclose(model.labels.chance, own.labels.chance)
+        assert np.allclose(model.weights, own.weights, atol=1e-2) and abs(model.bias - own.bias) < 1e-2
+
+
 def test_quality_empty_and_one_class(spark):
     schema = "doc_id long, text string"
     assert quality.scores(spark.createDataFrame([], schema), quality.fit(spark.createDataFrame([], schema))).count() == 0

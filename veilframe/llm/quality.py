@@ -30,7 +30,7 @@ FUNCTION_WORDS = frozenset(
 LABELLERS = ("symbols", "letters", "capitals", "marks", "bare_words", "repeated_words", "variety", "compression", "function_words", "repeated_lines")
 BAD, GOOD, NONE = 0, 1, 2
 BUCKETS = 4096
-#: Rows of each class that the scorer is trained on, at most: those with the smallest hash of their id.
+#: Rows of each class that the scorer is trained on, at most: those with the smallest hash of id and text.
 TRAIN_ROWS = 2_500
 
 BARE = re.compile(rb"(?<!\S)[^\sa-z0-9\x80-\xff]+(?!\S)")
@@ -168,15 +168,17 @@ class Model:
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Label model from the votes on all rows; scorer from at most ``rows`` rows of either posterior class.
 
+    Rows are told apart by id and text; equal ones count each for the label model and once for the scorer.
     Without rows, or where all of them fall to one class, the scorer is a constant.
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pattern(*measures(_raw(t.as_py()))) for t in b.column(1)], pa.int32())], names=["id", "p"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pattern(*measures(_raw(t.as_py()))) for t in b.column(1)], pa.int32())], names=["row", "p"])
 
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    voted = cut(narrow.mapInArrow(vote, T.StructType([narrow.schema["id"], T.StructField("p", T.IntegerType())])))
+    # a row is known by its id and text together, so that rows that share an id keep their own text and votes
+    narrow = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    voted = cut(narrow.mapInArrow(vote, "row long, p int"))
     found = voted.groupBy("p").count().collect()  # at most 3 ** labellers rows
     patterns, counts = np.array([r["p"] for r in found], np.int64), np.array([r["count"] for r in found], float)
     model = estimate(patterns, counts)
@@ -188,25 +190,32 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_co
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows_ = []
+            at, by, ends = [np.empty(0, np.int16)], [np.empty(0, np.float32)], [0]
             for t in b.column("text"):
                 raw = _raw(t.as_py())
-                at, by = hashed(raw, measures(raw)[1])
-                rows_.append(np.bincount(at, by, BUCKETS).astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("p"), pa.array(rows_, pa.binary())], names=["p", "x"])
+                x = np.bincount(*hashed(raw, measures(raw)[1]), BUCKETS).astype(np.float32)
+                at.append(np.flatnonzero(x).astype(np.int16))
+                by.append(x[at[-1]])
+                ends.append(ends[-1] + at[-1].size)
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(v))) for v in (at, by)]
+            yield pa.RecordBatch.from_arrays([b.column("p"), *lists], names=["p", "at", "by"])
 
     samples = []
     for y in (0, 1):
         own = patterns[(post >= 0.5) == y].tolist()
-        ids = voted.where(F.col("p").isin(own)).groupBy("id").agg(F.min("p").alias("p")).orderBy(F.xxhash64("id"), "id").limit(rows)
-        texts = narrow.join(F.broadcast(ids), "id").groupBy("id").agg(F.max("p").alias("p"), F.max("text").alias("text"))
-        samples.append(texts.select("p", "text").mapInArrow(featurise, "p int, x binary").collect())  # at most ``rows``
+        some = voted.where(F.col("p").isin(own)).groupBy("row").agg(F.first("p").alias("p")).orderBy("row").limit(rows)
+        texts = narrow.join(F.broadcast(some), "row").groupBy("row").agg(F.first("p").alias("p"), F.first("text").alias("text"))
+        samples.append(texts.select("p", "text").mapInArrow(featurise, "p int, at array<short>, by array<float>").toArrow())  # at most ``rows``
     by_pattern = dict(zip(patterns.tolist(), post.tolist()))
-    rows_ = samples[0] + samples[1]
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows_), np.float32).reshape(-1, BUCKETS)
-    q = np.array([by_pattern[r["p"]] for r in rows_])
-    weight = np.repeat([total[0] / max(len(samples[0]), 1), total[1] / max(len(samples[1]), 1)], [len(samples[0]), len(samples[1])])
-    return Model(model, *_solve(x, q, weight))
+    x, q, no = np.zeros((sum(s.num_rows for s in samples), BUCKETS), np.float32), [], 0
+    for s in samples:
+        for b in s.to_batches():
+            sizes = np.diff(b.column("at").offsets.to_numpy())
+            x[np.repeat(np.arange(no, no + b.num_rows), sizes), b.column("at").flatten().to_numpy()] = b.column("by").flatten().to_numpy()
+            q += [by_pattern[p] for p in b.column("p").to_pylist()]
+            no += b.num_rows
+    size = [s.num_rows for s in samples]
+    return Model(model, *_solve(x, np.array(q), np.repeat([total[0] / max(size[0], 1), total[1] / max(size[1], 1)], size)))
 
 
 def _solve(x: np.ndarray, q: np.ndarray, weight: np.ndarray, ridge: float = 1e-5, steps: int = 300) -> tuple[np.ndarray, float]:
