@@ -25,6 +25,8 @@ from veilframe.llm.components import connected_components
 CROWD = 256
 #: Parts that the members of a component are dealt into when they learn its smallest id; only fingerprints with a link are.
 SALTS = 32
+#: Cell rows that a task makes of fingerprints, about.
+CELLS_AT_ONCE = 400_000
 #: Pairs compared at a time in a task.
 PAIRS_AT_ONCE = 2_000_000
 
@@ -184,6 +186,8 @@ def links(fps: DataFrame, radius: int, limit: int, parts: int = 1) -> DataFrame:
     """
     names = _names(parts)
     vectors = [v for p, n in enumerate(names) for v in _vectors(F.col(n), p, radius)]
+    fan_out = sum(1 + 2 * len(counts) for _, counts in vectors)
+    fps = fps.repartition(fps.count() * fan_out // CELLS_AT_ONCE + 1, *names)
     own = fps.select(F.explode(F.array(*[v for v, _ in vectors])).alias("own")).groupBy("own").count().where(F.col("count") > CROWD)
     crowded = own.select(F.explode(_around(F.col("own"), radius)).alias("cell"), "count").groupBy("cell").agg(F.sum("count").alias("n"))
     cells = fps.select(*names, F.explode(F.flatten(F.array(*[_ball(v, c) for v, c in vectors]))).alias("cell"))
