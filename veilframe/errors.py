@@ -2,38 +2,59 @@
 
 from __future__ import annotations
 
-# Code -> (HTTP status, what to do about it).
-CODES: dict[str, tuple[int, str]] = {
-    "CONFIG_NOT_FOUND": (400, "Put a JSON configuration file into config/."),
-    "CONFIG_PARSE_ERROR": (400, "Check the JSON: brackets, quotes and commas must balance."),
-    "CONFIG_MISSING_FIELD": (400, "Add the missing field; data_type, quasi_identifiers, k_anonymize and output_path are needed."),
-    "CONFIG_INVALID": (400, "Check the values: k at least 1, suppression_limit from 0 to 1, size factors positive integers."),
-    "CONFIG_INVALID_VALUE": (400, "Check the values: k at least 1, suppression_limit from 0 to 1, size factors positive integers."),
-    "DATA_DIR_MISSING": (422, "Create data/ and put exactly one CSV file into it."),
-    "DATA_MISSING": (422, "Create data/ and put exactly one readable CSV file into it."),
-    "DATA_NO_CSV": (422, "Put exactly one CSV file with a header row into data/."),
-    "DATA_EMPTY": (422, "The CSV file needs a header row and at least one row of data."),
-    "DATA_COLUMN_MISSING": (422, "A quasi-identifier is not in the header; names are case-sensitive."),
-    "PREPROCESS_COLUMN_MISSING": (422, "A column named by a transform is not in the header; check suppress, masking, hashing, tokenization, fpe, encrypt and charcloak."),
-    "PREPROCESSING_FAILED": (422, "Check the columns and parameters of the transforms."),
-    "PREPROCESS_CONFIG_INVALID": (422, "A transform's entry is malformed; it must be an object with a column and valid parameters."),
-    "ANON_INFEASIBLE": (422, "Raise suppression_limit, lower k, add records, or raise the size factors."),
-    "ANON_NO_QIS": (422, "Name at least one numerical or categorical quasi-identifier."),
-    "GENERALIZATION_FAILED": (422, "Raise suppression_limit, lower k, add records, or raise the size factors."),
-    "ENCODING_FAILED": (422, "Numerical quasi-identifiers must hold numbers."),
-    "IO_READ_FAILED": (500, "Check that the file exists and can be read."),
-    "IO_WRITE_FAILED": (500, "Check disk space and write permission of the output folder."),
-    "IO_PERMISSION_DENIED": (500, "Run with permission for the file or folder."),
-    "INTERNAL_ERROR": (500, "See output/pipeline.log."),
+# Fixed values, which callers of a run rely on: the codes and their HTTP statuses.
+HTTP_STATUS: dict[str, int] = {
+    "CONFIG_NOT_FOUND": 400,
+    "CONFIG_PARSE_ERROR": 400,
+    "CONFIG_MISSING_FIELD": 400,
+    "CONFIG_INVALID": 400,
+    "CONFIG_INVALID_VALUE": 400,
+    "DATA_DIR_MISSING": 422,
+    "DATA_MISSING": 422,
+    "DATA_NO_CSV": 422,
+    "DATA_EMPTY": 422,
+    "DATA_COLUMN_MISSING": 422,
+    "PREPROCESS_COLUMN_MISSING": 422,
+    "PREPROCESS_CONFIG_INVALID": 422,
+    "ANON_INFEASIBLE": 422,
+    "ANON_NO_QIS": 422,
+    "GENERALIZATION_FAILED": 422,
+    "IO_READ_FAILED": 500,
+    "IO_WRITE_FAILED": 500,
+    "IO_PERMISSION_DENIED": 500,
+    "INTERNAL_ERROR": 500,
+}
+
+# What made this engine raise the code; the error's details name the value, column or file.
+HINTS: dict[str, str] = {
+    "CONFIG_NOT_FOUND": "find_config saw no file ending in .json in the folder that the details name.",
+    "CONFIG_PARSE_ERROR": "Python's JSON reader stopped at the line and column in the details.",
+    "CONFIG_MISSING_FIELD": "The file's data_type must be a string, and a key of that name must hold the settings as an object.",
+    "CONFIG_INVALID": "A categorical column needs a Hierarchy: one of the built-in names, or one's own passed to Anonymizer.",
+    "CONFIG_INVALID_VALUE": "lattice.check takes k from 1 and a suppression_limit between 0 and 1, both ends included.",
+    "DATA_DIR_MISSING": "run() reads its table from the folder data beside config.",
+    "DATA_MISSING": "Several tables lie in data; run() takes one, the functions of sources.tables any.",
+    "DATA_NO_CSV": "Every .csv file in data is empty, or there is none.",
+    "DATA_EMPTY": "In each row some quasi-identifier is null, blank or, where a number is due, text; Qi columns can be looked at with histogram.binned.",
+    "DATA_COLUMN_MISSING": "Compare the quasi-identifier's name with df.columns; only the endings _scaled and _encoded are overlooked.",
+    "PREPROCESS_COLUMN_MISSING": "A transform runs after suppress has dropped its columns; the details name the column that it did not find.",
+    "PREPROCESS_CONFIG_INVALID": "The parse method of the transform's class in veilframe.config tells which keys and types an entry has.",
+    "ANON_INFEASIBLE": "Even the coarsest node of lattice.levels leaves too many rows in classes below k, or estimates more classes than max_equivalence_classes.",
+    "ANON_NO_QIS": "Config.numerical and Config.categorical are both empty.",
+    "GENERALIZATION_FAILED": "Each numeric column needs an entry in Config.size, and a node one level for each quasi-identifier.",
+    "IO_READ_FAILED": "The operating system's answer is in the details.",
+    "IO_WRITE_FAILED": "The operating system's answer is in the details; what was written so far was taken back.",
+    "IO_PERMISSION_DENIED": "The user that runs Spark's driver has no right to the path in the details.",
+    "INTERNAL_ERROR": "The traceback is in the log file that the status names.",
 }
 
 
 def http_status(code: str) -> int:
-    return CODES.get(code, (500, ""))[0]
+    return HTTP_STATUS.get(code, 500)
 
 
 def hint(code: str) -> str:
-    return CODES.get(code, (500, "Check the configuration and the input, then run again."))[1]
+    return HINTS.get(code, "See the message and the details.")
 
 
 class PipelineError(Exception):

@@ -10,6 +10,7 @@ import struct
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -22,25 +23,38 @@ PAN = re.compile(r"([A-Z]{5})([0-9]{4})([A-Z])")
 RUNS = re.compile(r"[A-Z]+|[a-z]+|[0-9]+")
 
 
+@lru_cache(maxsize=4096)
 def derive_key(master: str, context: str) -> bytes:
     """The first half of HMAC-SHA256 under the key's text."""
     return hmac.new(master.encode(), context.encode(), hashlib.sha256).digest()[:16]
 
 
-def _digits(key: bytes, radix: int, no: int, other: list[int], n: int) -> list[int]:
-    """``n`` digits for a round, from HMAC-SHA1 blocks; each block is keyed on by the one before."""
+@lru_cache(maxsize=64)
+def _keyed(key: bytes) -> hmac.HMAC:
+    """The hash with its key taken in, to be copied for each message."""
+    return hmac.new(key, digestmod=hashlib.sha1)
+
+
+@lru_cache(maxsize=1 << 16)
+def _digits(key: bytes, radix: int, no: int, other: tuple[int, ...], n: int) -> tuple[int, ...]:
+    """``n`` digits for a round, from HMAC-SHA1 blocks; each block is keyed on by the one before.
+
+    Short texts have few different halves, so what was worked out is kept.
+    """
     per_block = max(1, int(20 * math.log(256) / math.log(radix)))
     message = struct.pack(f"<{1 + len(other)}I", no, *other)
     out: list[int] = []
     block = 0
     while len(out) < n:
-        digest = hmac.new(key, message + struct.pack("<I", block), hashlib.sha1).digest()
+        h = _keyed(key).copy()
+        h.update(message + struct.pack("<I", block))
+        digest = h.digest()
         value = int.from_bytes(digest, "big")
         for _ in range(min(per_block, n - len(out))):
             value, d = divmod(value, radix)
             out.append(d)
         message, block = digest, block + 1
-    return out
+    return tuple(out)
 
 
 def _encode(text: str, alphabet: str) -> list[int]:
@@ -58,7 +72,7 @@ def fpe_encrypt(key: bytes, text: str, alphabet: str) -> str:
     v, radix = _encode(text, alphabet), len(alphabet)
     left, right = v[: len(v) // 2], v[len(v) // 2 :]
     for no in range(ROUNDS):
-        left, right = right, [(a + d) % radix for a, d in zip(left, _digits(key, radix, no, right, len(left)))]
+        left, right = right, [(a + d) % radix for a, d in zip(left, _digits(key, radix, no, tuple(right), len(left)))]
     return "".join(alphabet[i] for i in left + right)
 
 
@@ -66,7 +80,7 @@ def fpe_decrypt(key: bytes, text: str, alphabet: str) -> str:
     v, radix = _encode(text, alphabet), len(alphabet)
     left, right = v[: len(v) // 2], v[len(v) // 2 :]
     for no in reversed(range(ROUNDS)):
-        left, right = [(c - d) % radix for c, d in zip(right, _digits(key, radix, no, left, len(right)))], left
+        left, right = [(c - d) % radix for c, d in zip(right, _digits(key, radix, no, tuple(left), len(right)))], left
     return "".join(alphabet[i] for i in left + right)
 
 
@@ -127,9 +141,12 @@ def xor_decrypt(value: str, master: str, column: str) -> str:
 
 
 def _column(c: Column, change: Callable[[str], str]) -> Column:
+    """Each different text of a batch is changed once."""
+
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else change(x))
+        at, texts = pd.factorize(s)
+        return pd.Series(np.append(np.array([change(x) for x in texts], object), None)[at], dtype=object)
 
     return guarded(c, run)
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import regex
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,7 +41,29 @@ def mask_beside(text: str, kind: str, delimiter: str, length: int, char: str) ->
     return "".join(out)
 
 
-def mask_groups(match: re.Match, groups: tuple[tuple[int, str], ...], char: str) -> str:
+def java_regex(source: str) -> str | None:
+    """The pattern as Java reads it; None if Java does not take it.
+
+    Named groups and their references, the classes ``[:name:]`` and the ends ``\\A`` and ``\\z`` are brought into its form.
+    """
+    out = re.sub(r"\(\?P<(\w+)>", lambda m: f"(?<{m[1].replace('_', 'U')}>", source)
+    out = re.sub(r"\(\?P=(\w+)\)", lambda m: rf"\k<{m[1].replace('_', 'U')}>", out)
+    out = re.sub(r"\[:(\^?)(\w+):\]", lambda m: rf"\{'P' if m[1] else 'p'}{{{m[2].capitalize() if m[2] != 'xdigit' else 'XDigit'}}}", out)
+    try:
+        SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile(f"(?U){out}")
+    except IllegalArgumentException:
+        return None
+    return out
+
+
+def python_regex(source: str) -> regex.Pattern | None:
+    try:
+        return regex.compile(re.sub(r"\\z", r"\\Z", source))
+    except regex.error:
+        return None
+
+
+def mask_groups(match: regex.Match, groups: tuple[tuple[int, str], ...], char: str) -> str:
     """A match with its groups masked, each at the first place where its text stands in the match."""
     whole = match[0]
     for no, mode in groups:
@@ -54,7 +80,8 @@ def mask_groups(match: re.Match, groups: tuple[tuple[int, str], ...], char: str)
 def _by_text(change: Callable[[str], str]) -> Callable[[Column], Column]:
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else change(x))
+        at, texts = pd.factorize(s)
+        return pd.Series(np.append(np.array([change(x) for x in texts], object), None)[at], dtype=object)
 
     return run
 
@@ -73,14 +100,14 @@ def _mask_matches(c: Column, p: Pattern, derived: bool) -> Column:
     source = p.regex if p.regex is not None else derived_regex(p)
     if not source:
         return c
-    try:
-        compiled = re.compile(source)
-    except re.error:
-        return c
-    if p.groups:
+    compiled, java = python_regex(source), java_regex(source)
+    if compiled is not None and p.groups:
         return _by_text(lambda x: compiled.sub(lambda m: mask_groups(m, p.groups, p.char), x))(c)
-    if not never_empty(source):
+    if compiled is not None and (java is None or not never_empty(java)):
         return _by_text(lambda x: compiled.sub(lambda m: p.char * len(m[0]), x))(c)
+    if java is None or not never_empty(java):
+        return c
+    source = java
     masked = mask_regex(c, source, p.char)
     if p.regex is None and p.type == "in_between":
         spaced = mask_regex(c, r"(?<=\s).+$", p.char)

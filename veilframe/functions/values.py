@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMERIC = r"^(tinyint|smallint|int|bigint|float|double|decimal.*)$"
+NUMBER_LETTERS = "0123456789+-.eE"
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: White space that is trimmed from cells.
 BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -30,9 +31,17 @@ def guarded(c: Column, change: Callable[[Column], Column]) -> Column:
 
 
 def number(c: Column) -> Column:
-    """A text cell as a double; null for anything but a finite decimal number. Trailing type letters are no part of one."""
-    t = trimmed(c.cast("string"))
-    x = F.when(t.rlike(NUMBER), t.try_cast("double"))
+    """A cell as a double; null for anything but a finite decimal number. Type letters after one are no part of it.
+
+    Columns of a numeric type are not parsed (the type is known when the plan is made); text is trimmed of
+    other than plain white space only where it does not read as a number at once.
+    """
+
+    def read(t: Column, otherwise: Column) -> Column:
+        return F.when(F.translate(t, NUMBER_LETTERS, "") == "", t.try_cast("double")).otherwise(otherwise)
+
+    text = c.cast("string")
+    x = F.when(F.typeof(c).rlike(NUMERIC), c.try_cast("double")).otherwise(read(text, read(trimmed(text), F.lit(None).cast("double"))))
     return F.when(F.abs(x) < float("inf"), x)
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,36 +51,63 @@ def domain(df: DataFrame, column: str) -> DataFrame:
     return numbered(values, ["value"], "idx", 0).select("value", F.col("idx").cast("long").alias("idx"))
 
 
-def bin_column(c: Column, low: float, width: int) -> Column:
-    """Bucket of a number: how many widths above the minimum, at least 0; null for no number."""
-    n = number(c)
+def bin_column(n: Column, low: float, width: int) -> Column:
+    """Bucket of a double: how many widths above the minimum, at least 0; null for null."""
     return F.when(n.isNotNull(), F.greatest(F.floor((n - F.lit(low)) / width), F.lit(0))).cast("long")
 
 
 def binned(df: DataFrame, qis: Sequence[Qi], widths: Sequence[int] | None = None) -> DataFrame:
-    """``i0, i1, ...``: the bucket of each quasi-identifier, for rows that have all of them."""
+    """``i0, i1, ...``: the bucket of each number, the trimmed text of each category, null for neither.
+
+    Each cell is parsed once, in a projection of its own.
+    """
     widths = widths or [1] * len(qis)
-    cols = [(F.col(source_column(df, q.name)), q, w) for q, w in zip(qis, widths)]
-    out = df.select(*[(trimmed(c.cast("string")) if q.categorical else bin_column(c, q.low or 0.0, w)).alias(f"i{n}") for n, (c, q, w) in enumerate(cols)])
-    out = out.dropna()
-    for n, q in enumerate(qis):
-        if q.categorical:
-            values = domain(df, source_column(df, q.name)).select(F.col("value").alias(f"i{n}"), F.col("idx").alias("__idx"))
-            out = out.join(values, f"i{n}").withColumn(f"i{n}", F.col("__idx")).drop("__idx")
-    return out.select(*[f"i{n}" for n in range(len(qis))])
+    cols = [F.col(source_column(df, q.name)) for q in qis]
+    read = df.select(*[(trimmed(c.cast("string")) if q.categorical else number(c)).alias(f"i{n}") for n, (c, q) in enumerate(zip(cols, qis))])
+    return read.select(*[F.col(f"i{n}") if q.categorical else bin_column(F.col(f"i{n}"), q.low or 0.0, w).alias(f"i{n}") for n, (q, w) in enumerate(zip(qis, widths))])
 
 
 def histogram(df: DataFrame, qis: Sequence[Qi], widths: Sequence[int] | None = None) -> DataFrame:
-    """``i0, i1, ..., cnt``. Counts are summed before the shuffle, so hot buckets cost one row a task."""
+    """``i0, i1, ..., cnt`` of the rows that have all quasi-identifiers.
+
+    One pass over the rows, with counts summed before the shuffle, so hot buckets cost one row a task.
+    Rows that lack one are counted as zero instead of filtered out, which would parse each cell again.
+    Categories become their place in the domain after the sum: with categories, that sum is checkpointed.
+    """
     keys = [f"i{n}" for n in range(len(qis))]
-    return binned(df, qis, widths).groupBy(*keys).agg(F.count("*").alias("cnt"))
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    sums = binned(df, qis, widths).groupBy(*keys).agg(F.count(F.when(whole, 1)).alias("cnt"))
+    named = [k for k, q in zip(keys, qis) if q.categorical]
+    if named:
+        sums = cut(sums)
+    out = sums.where("cnt > 0")
+    for k in named:
+        values = numbered(sums.where(F.col(k).isNotNull()).select(k).distinct(), [k], "__idx", 0)
+        out = out.join(values, k).withColumn(k, F.col("__idx").cast("long")).drop("__idx")
+    return out.select(*keys, "cnt")
+
+
+#: Of a quasi-identifier by its number: the class of each index at level 1, 2, ...
+Classes = Mapping[int, Sequence[Sequence[int]]]
+
+
+def merged_nodes(hist: DataFrame, nodes: Sequence[Sequence[int]], classes: Classes | None = None) -> DataFrame:
+    """``node, i0, i1, ..., cnt``: the histogram of each coarser node. Indices are divided by its factors, or looked up in ``classes``."""
+    keys = [f"i{n}" for n in range(len(nodes[0]))]
+    listed = F.array(*[F.array(*[F.lit(int(f)).cast("long") for f in node]) for node in nodes])
+    each = hist.select(*keys, "cnt", F.explode(listed).alias("node"))
+
+    def coarse(n: int, k: str) -> Column:
+        if classes is None or n not in classes:
+            return F.expr(f"{k} div node[{n}]")
+        levels = F.array(*[F.lit(list(level)).cast("array<long>") for level in classes[n]])
+        return F.element_at(F.element_at(levels, F.col("node")[n].cast("int")), (F.col(k) + 1).cast("int"))
 
+    return each.select("node", *[coarse(n, k).alias(k) for n, k in enumerate(keys)], "cnt").groupBy("node", *keys).agg(F.sum("cnt").alias("cnt"))
 
-def merged(hist: DataFrame, node: Sequence[int]) -> DataFrame:
-    """The histogram of a coarser node: indices divided by its factors, counts summed."""
-    keys = [f"i{n}" for n in range(len(node))]
-    coarse = hist.select(*[F.expr(f"{k} div {int(f)}").alias(k) for k, f in zip(keys, node)], "cnt")
-    return coarse.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
+
+def merged(hist: DataFrame, node: Sequence[int], classes: Classes | None = None) -> DataFrame:
+    return merged_nodes(hist, [node], classes).drop("node")
 
 
 def measures(k: int) -> list[Column]:
@@ -93,19 +121,14 @@ def measures(k: int) -> list[Column]:
     ]
 
 
-def class_sizes(hist: DataFrame, node: Sequence[int], k: int) -> DataFrame:
+def class_sizes(hist: DataFrame, node: Sequence[int], k: int, classes: Classes | None = None) -> DataFrame:
     """``size, classes``: how many classes of each size from k on a node leaves."""
-    return merged(hist, node).where(F.col("cnt") >= k).groupBy(F.col("cnt").alias("size")).agg(F.count("*").alias("classes"))
+    return merged(hist, node, classes).where(F.col("cnt") >= k).groupBy(F.col("cnt").alias("size")).agg(F.count("*").alias("classes"))
 
 
-def score_nodes(hist: DataFrame, nodes: Sequence[Sequence[int]], k: int) -> DataFrame:
+def score_nodes(hist: DataFrame, nodes: Sequence[Sequence[int]], k: int, classes: Classes | None = None) -> DataFrame:
     """``node, suppressed, dm_star, classes`` of every node, in one job: each bucket is repeated for each node of the list."""
-    width = len(nodes[0])
-    keys = [f"i{n}" for n in range(width)]
-    listed = F.array(*[F.array(*[F.lit(int(f)).cast("long") for f in node]) for node in nodes])
-    each = hist.select(*keys, "cnt", F.explode(listed).alias("node"))
-    coarse = each.select("node", *[F.expr(f"{x} div node[{n}]").alias(x) for n, x in enumerate(keys)], "cnt")
-    return coarse.groupBy("node", *keys).agg(F.sum("cnt").alias("cnt")).groupBy("node").agg(*measures(k))
+    return merged_nodes(hist, nodes, classes).groupBy("node").agg(*measures(k))
 
 
 def kept(hist: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +15,6 @@ from veilframe.operators.hierarchy import Hierarchy, hierarchy_of
 from veilframe.operators.histogram import Qi, domain, source_column
 from veilframe.plans import lattice
 
-#: A histogram of up to so many buckets is scored on the driver; a larger one by a job for each node of the walk.
-LOCAL_BUCKETS = 200_000
-
 
 def quasi_identifiers(df: DataFrame, cfg: Config) -> list[Qi]:
     """Numeric ones first, then categorical ones, as configured."""
@@ -57,66 +53,42 @@ class Model:
 
 
 class Anonymizer:
-    def __init__(self, cfg: Config, hierarchies: Mapping[str, Hierarchy] | None = None, local_buckets: int = LOCAL_BUCKETS) -> None:
-        self.cfg, self.own, self.local_buckets = cfg, hierarchies, local_buckets
+    def __init__(self, cfg: Config, hierarchies: Mapping[str, Hierarchy] | None = None) -> None:
+        self.cfg, self.own = cfg, hierarchies
 
-    def _class_maps(self, df: DataFrame, qis: list[Qi]) -> dict[int, dict[int, list[int]]]:
-        """For scoring by hierarchy: quasi-identifier -> level -> class number of each domain index. Domains of hierarchies are small."""
-        out: dict[int, dict[int, list[int]]] = {}
+    def _classes(self, df: DataFrame, qis: list[Qi]) -> dict[int, list[list[int]]]:
+        """For scoring by hierarchy: the class of each domain index at each level. Domains of hierarchies are small."""
+        out: dict[int, list[list[int]]] = {}
         for i, q in enumerate(qis):
             if q.categorical and self.cfg.categorical_scoring == "hierarchy":
                 h = hierarchy_of(q.name, self.own)
                 values = [r["value"] for r in domain(df, source_column(df, q.name)).orderBy("idx").collect()]
-                out[i] = {}
+                out[i] = []
                 for level in range(1, h.depth + 1):
                     names = [h.at(v, level) for v in values]
                     number = {n: j for j, n in enumerate(sorted(set(names)))}
-                    out[i][level] = [number[n] for n in names]
+                    out[i].append([number[n] for n in names])
         return out
 
     def fit(self, df: DataFrame) -> Model:
-        """Three jobs: the spans of numeric columns, the histogram, and what scoring takes."""
+        """One job for the spans of numeric columns, one for the histogram, one for each level of the lattice that the walk visits."""
         cfg = self.cfg
         qis = quasi_identifiers(df, cfg)
         initial = lattice.first_widths(qis, cfg.size, cfg.max_equivalence_classes, self.own)
-        hist = histogram.kept(histogram.histogram(df, qis, [1 if q.categorical else w for q, w in zip(qis, initial)]))
-        buckets, total = hist.agg(F.count("*"), F.coalesce(F.sum("cnt"), F.lit(0))).first()
+        unit = [1 if q.categorical else w for q, w in zip(qis, initial)]  # indices are in units of the first widths
+        hist = histogram.kept(histogram.histogram(df, qis, unit))
+        total = hist.agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]
         lattice.check(cfg.k, cfg.suppression_limit, total)
         grid = lattice.levels(qis, initial, cfg.size, self.own)
-        maps = self._class_maps(df, qis)
-        # indices are in units of the first widths already
-        unit = [1 if q.categorical else w for q, w in zip(qis, initial)]
-        counts = None
-        if buckets <= self.local_buckets:
-            table = hist.toPandas().to_numpy(np.int64)
-            keys, weight = table[:, :-1], table[:, -1]
-
-            def sizes(node: lattice.Node) -> np.ndarray:
-                cols = [np.array(maps[i][f])[keys[:, i]] if i in maps else keys[:, i] // max(1, f // u) for i, (f, u) in enumerate(zip(node, unit))]
-                _, at = np.unique(np.stack(cols, 1), axis=0, return_inverse=True)
-                return np.bincount(at.ravel(), weight).astype(np.int64)
-
-            def score(node: lattice.Node) -> tuple[int, int, int]:
-                n = sizes(node)
-                big = n[n >= cfg.k]
-                return int(n[n < cfg.k].sum()), int((big * big).sum()), int(big.size)
-
-        else:
-
-            def coarse(node: lattice.Node) -> DataFrame:
-                mapped = hist
-                for i in maps:
-                    mapped = mapped.withColumn(f"i{i}", F.element_at(F.lit(maps[i][node[i]]).cast("array<long>"), (F.col(f"i{i}") + 1).cast("int")))
-                return histogram.merged(mapped, [1 if i in maps else max(1, f // u) for i, (f, u) in enumerate(zip(node, unit))])
-
-            def score(node: lattice.Node) -> tuple[int, int, int]:
-                return tuple(coarse(node).agg(*histogram.measures(cfg.k)).first())
-
-        found = lattice.search(grid, score, cfg.k, cfg.suppression_limit, total, cfg.exhaustive)
-        best = found.best.node
-        if buckets <= self.local_buckets:
-            n = sizes(best)
-            counts = {int(s): int(c) for s, c in zip(*np.unique(n[n >= cfg.k], return_counts=True))}
-        else:
-            counts = {r["cnt"]: r["count"] for r in coarse(best).where(F.col("cnt") >= cfg.k).groupBy("cnt").count().orderBy("cnt").collect()}
-        return Model(cfg, tuple(qis), initial, found, int(total), counts, self.own)
+        classes = self._classes(df, qis)
+        scaled = lambda node: tuple(max(1, f // u) for f, u in zip(node, unit))
+        scores: dict[lattice.Node, tuple[int, int, int]] = {}
+
+        def ahead(nodes: list[lattice.Node]) -> None:
+            if todo := {scaled(n): n for n in nodes if n not in scores}:
+                found = {tuple(r["node"]): (r["suppressed"], r["dm_star"], r["classes"]) for r in histogram.score_nodes(hist, list(todo), cfg.k, classes).collect()}
+                scores.update({n: found[scaled(n)] for n in nodes if n not in scores})
+
+        found = lattice.search(grid, scores.__getitem__, cfg.k, cfg.suppression_limit, total, cfg.exhaustive, ahead=ahead)
+        sizes = histogram.class_sizes(hist, scaled(found.best.node), cfg.k, classes).orderBy("size").collect()
+        return Model(cfg, tuple(qis), initial, found, int(total), {r["size"]: r["classes"] for r in sizes}, self.own)

@@ -95,10 +95,10 @@ def check(k: int, limit: float, total: int) -> None:
         raise PipelineError("DATA_EMPTY", "No row has all quasi-identifiers")
 
 
-def _walk(grid: list[list[Node]]) -> Iterator[tuple[Node, Callable[[bool], None]]]:
+def _walk(grid: list[list[Node]]) -> Iterator[tuple[Node, list[Node], Callable[[bool], None]]]:
     """Nodes to evaluate: of the levels with open nodes the middle one, of its open nodes, largest first, the middle one.
 
-    The verdict is passed on: what passes settles all coarser nodes above it, what fails all finer ones below.
+    With each come all open nodes of its level. The verdict is passed on: what passes settles all coarser nodes above it, what fails all finer ones below.
     """
     open_ = [set(level) for level in grid]
 
@@ -114,18 +114,21 @@ def _walk(grid: list[list[Node]]) -> Iterator[tuple[Node, Callable[[bool], None]
         at = rest[len(rest) // 2]
         nodes = sorted(open_[at], reverse=True)
         node = nodes[len(nodes) // 2]
-        yield node, lambda passed, at=at, node=node: settle(at, node, passed)
+        yield node, nodes, lambda passed, at=at, node=node: settle(at, node, passed)
 
 
-def search(grid: list[list[Node]], score: Callable[[Node], tuple[int, int, int]], k: int, limit: float, total: int, exhaustive: bool = False, keep: int = 5) -> Found:
+def search(grid: list[list[Node]], score: Callable[[Node], tuple[int, int, int]], k: int, limit: float, total: int, exhaustive: bool = False, keep: int = 5, ahead: Callable[[list[Node]], None] | None = None) -> Found:
     """The best node that suppresses at most ``limit`` of all rows. ``score`` gives rows suppressed, discernibility and classes.
 
-    Only nodes that were evaluated are ranked; ``exhaustive`` evaluates them all.
+    Only nodes that were evaluated are ranked; ``exhaustive`` evaluates them all. ``ahead`` is told the nodes
+    of a level that may be asked for next, so that they can be scored together.
     """
     check(k, limit, total)
     evaluated, passed = [], []
-    walk = ((n, lambda _: None) for level in grid for n in level) if exhaustive else _walk(grid)
-    for node, settle in walk:
+    walk = ((n, level, lambda _: None) for level in grid for n in level) if exhaustive else _walk(grid)
+    for node, level, settle in walk:
+        if ahead is not None:
+            ahead(level)
         lost, dm, classes = score(node)
         own = Score(dm, lost, -classes, node)
         evaluated.append(own)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import shutil
 import sys
 from dataclasses import dataclass
 from pathlib import Path
@@ -20,32 +21,52 @@ from veilframe.shared import cut
 from veilframe.sources import state, tables
 
 KEY_FILES = ("fpe_keys", "symmetric_keys", "fpe_encrypt_keys")
+VAULT = "token_vault"
 SAMPLE_ROWS = 10
 LOG = "output/pipeline.log"
 log = logging.getLogger("veilframe")
 
 
+def _runs(folder: Path) -> list[int]:
+    """Numbers of the runs whose vault was written to its end."""
+    return sorted(int(p.parent.name[4:]) for p in (folder / VAULT).glob("run=*/_SUCCESS"))
+
+
 @dataclass
 class State:
-    """What a run keeps for the next one: the vault and the keys. Salts are new for every run."""
+    """What a run keeps for the next one: the vault and the keys. Salts are new for every run.
 
-    vault: dict[str, Any]
+    The vault is Parquet, a folder for each run, so that no token passes the driver. Where there is none
+    yet, a ``token_vault.json`` is taken over.
+    """
+
+    vault: DataFrame
     keys: dict[str, dict[str, str]]
     salts: dict[str, str]
 
     @classmethod
-    def load(cls, folder: str | Path, cfg: Config) -> State:
+    def load(cls, spark: SparkSession, folder: str | Path, cfg: Config) -> State:
         folder = Path(folder)
+        runs = _runs(folder)
+        vault = spark.read.schema(tokenize.VAULT).parquet(str(folder / VAULT / f"run={runs[-1]}")) if runs else tokenize.vault_from_json(spark, state.read_json(folder / "token_vault.json"))
         keys = {name: state.read_strings(folder / f"{name}.json") for name in KEY_FILES}
         for e in cfg.fpe:
             keys["fpe_keys"].setdefault(e.column, random_hex(16))
         for e in cfg.encrypt:
             keys["fpe_encrypt_keys" if e.format_preserving else "symmetric_keys"].setdefault(e.column, random_hex(16))
-        return cls(state.read_json(folder / "token_vault.json"), keys, {c: random_hex(32) for c in cfg.hashing_with_salt})
+        return cls(vault, keys, {c: random_hex(32) for c in cfg.hashing_with_salt})
 
-    def save(self, folder: str | Path) -> None:
-        """Columns that this run did not configure stay in the vault."""
-        state.write_json(Path(folder) / "token_vault.json", self.vault)
+    def save(self, folder: str | Path, json_vault: bool = False) -> None:
+        """Columns that this run did not configure stay in the vault. ``json_vault``: as a JSON file too, for a vault that fits the driver."""
+        folder = Path(folder)
+        runs = _runs(folder)
+        path = folder / VAULT / f"run={runs[-1] + 1 if runs else 1}"
+        self.vault.write.mode("overwrite").parquet(str(path))
+        self.vault = self.vault.sparkSession.read.schema(tokenize.VAULT).parquet(str(path))
+        for old in runs:
+            shutil.rmtree(folder / VAULT / f"run={old}")
+        if json_vault:
+            state.write_json(folder / "token_vault.json", tokenize.vault_to_json(self.vault))
         for name, own in self.keys.items():
             state.write_json(Path(folder) / f"{name}.json", own)
 
@@ -55,15 +76,13 @@ def preprocess(df: DataFrame, cfg: Config, kept: State, order_by: str | None = N
     df = columns.before_tokens(df, cfg, kept.salts)
     if cfg.tokenization:
         require(df.columns, [t.column for t in cfg.tokenization])
-        vault = tokenize.vault_from_json(df.sparkSession, kept.vault)
         for t in cfg.tokenization:
-            df, vault = tokenize.tokenize(df, t, vault, order_by)
-        kept.vault = tokenize.vault_to_json(vault)
+            df, kept.vault = tokenize.tokenize(df, t, kept.vault, order_by)
     return columns.after_tokens(df, cfg, kept.keys)
 
 
-def run(spark: SparkSession, root: str | Path, single_file: bool = True) -> dict[str, Any]:
-    """Returns what goes into ``outputs`` of the status; raises ``PipelineError``."""
+def run(spark: SparkSession, root: str | Path, single_file: bool = False, json_vault: bool = False) -> dict[str, Any]:
+    """Returns what goes into ``outputs`` of the status; raises ``PipelineError``. ``single_file`` is for results that one task can write."""
     root = Path(root)
     cfg = load_config(find_config(root / "config"))
     log.info("[config] loaded %s", cfg.source)
@@ -71,9 +90,9 @@ def run(spark: SparkSession, root: str | Path, single_file: bool = True) -> dict
     out.mkdir(parents=True, exist_ok=True)
     keep = Path(cfg.output_directory) if Path(cfg.output_directory).is_absolute() else root / cfg.output_directory
     df = tables.read_csv(spark, tables.find_csv(root / "data"))
-    kept = State.load(keep, cfg)
+    kept = State.load(spark, keep, cfg)
     df = preprocess(df, cfg, kept)
-    kept.save(keep)
+    kept.save(keep, json_vault)
     log.info("[preprocess] done")
     # salts and random letters must be the same for search and output, and the CSV is parsed once
     df = cut(df)
@@ -89,7 +108,7 @@ def run(spark: SparkSession, root: str | Path, single_file: bool = True) -> dict
     state.write_json(out / "top_ola2_nodes.json", top)
     log.info("[generalization] written to %s", target)
     sample = [json.loads(r) for r in tables.read_csv(spark, target).limit(SAMPLE_ROWS).toJSON().collect()]
-    return {
+    return {  # fixed values: the names of the fields, which readers of the status rely on
         "source_config": cfg.source,
         "enable_k_anonymity": cfg.enable_k_anonymity,
         "output_path": cfg.output_path,
@@ -113,11 +132,11 @@ def run(spark: SparkSession, root: str | Path, single_file: bool = True) -> dict
     }
 
 
-def status_of(spark: SparkSession, root: str | Path, single_file: bool = True) -> dict[str, Any]:
+def status_of(spark: SparkSession, root: str | Path, single_file: bool = False, json_vault: bool = False) -> dict[str, Any]:
     """A run with its errors caught: the body of ``status.json``."""
     error: PipelineError
     try:
-        return {"status": "success", "phase": "done", "outputs": run(spark, root, single_file), "log_file": LOG}
+        return {"status": "success", "phase": "done", "outputs": run(spark, root, single_file, json_vault), "log_file": LOG}
     except PipelineError as e:
         error = e
     except OSError as e:
@@ -130,9 +149,10 @@ def status_of(spark: SparkSession, root: str | Path, single_file: bool = True) -
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m veilframe [ROOT]``: runs, writes ``output/status.json``; 0 on success, else 1."""
+    """``python -m veilframe [--single-file] [--json-vault] [ROOT]``: runs, writes ``output/status.json``; 0 on success, else 1."""
     args = sys.argv[1:] if argv is None else argv
-    root = Path(args[0] if args else ".")
+    single_file, json_vault = "--single-file" in args, "--json-vault" in args
+    root = Path(next((a for a in args if not a.startswith("--")), "."))
     (root / "output").mkdir(parents=True, exist_ok=True)
     handlers: list[logging.Handler] = [logging.StreamHandler(), logging.FileHandler(root / LOG, mode="w", encoding="utf-8")]
     for h in handlers:
@@ -141,7 +161,7 @@ def main(argv: list[str] | None = None) -> int:
     log.setLevel(logging.INFO)
     try:
         spark = SparkSession.builder.appName("veilframe").getOrCreate()
-        status = status_of(spark, root)
+        status = status_of(spark, root, single_file, json_vault)
         state.write_json(root / "output" / "status.json", status)
     finally:
         for h in handlers:

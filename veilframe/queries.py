@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from veilframe.operators.hierarchy import BUILT_IN
 from veilframe.operators.histogram import Qi
 from veilframe.plans import lattice
 from veilframe.plans.anonymizer import Anonymizer, quasi_identifiers
+from veilframe.shared import scratch
+from veilframe.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,10 +132,31 @@ def q_mask_apply_order(spark, sf_dir):
     return _masked(spark, sf_dir, positions=(1,), patterns=(Pattern("*", type="after", delimiter="#"),), class_mode="fixed_class", order=("class", "other", "regex", "characters"))
 
 
-@query(f"select c_custkey, {_CLASSES} as c_name from customer")
+@query(f"select c_custkey, {_CLASSES} as c_name, true as changed from customer")
 def q_charcloak_shape(spark, sf_dir):
-    cloaked = columns.cloak_columns(_names(spark, sf_dir), ["c_name"])
-    return cloaked.select("c_custkey", values.mask_class(F.col("c_name")).alias("c_name"))
+    cloaked = columns.cloak_columns(_names(spark, sf_dir).withColumn("plain", F.col("c_name")), ["c_name"])
+    return cloaked.select("c_custkey", values.mask_class(F.col("c_name")).alias("c_name"), (F.col("c_name") != F.col("plain")).alias("changed"))
+
+
+@query(f"select c_custkey, {_CLASSES} as c_name, true as changed from customer")
+def q_mask_class_random(spark, sf_dir):
+    masked = columns.mask_columns(_names(spark, sf_dir).withColumn("plain", F.col("c_name")), [Masking("c_name", class_mode="random_class")])
+    return masked.select("c_custkey", values.mask_class(F.col("c_name")).alias("c_name"), (F.col("c_name") != F.col("plain")).alias("changed"))
+
+
+@query("select p_partkey, substr(p_name, 1, instr(p_name, ' ')) || repeat('*', length(p_name) - instr(p_name, ' ')) as p_name, p_brand from part")
+def q_mask_in_between_fallback(spark, sf_dir):
+    """Where the anchors are not found, what follows the first white space; without white space, nothing."""
+    df = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    return columns.mask_columns(df, [Masking(c, patterns=(Pattern("*", type="in_between", start="<", end=">"),)) for c in ("p_name", "p_brand")])
+
+
+@query("select o_orderkey, regexp_replace(o_orderpriority, '^([0-9])-', '#-') as p1, regexp_replace(o_orderpriority, '[A-Z]', '#', 'g') as p2, repeat('#', length(o_orderpriority)) as p3 from orders")
+def q_mask_regex_dialects(spark, sf_dir):
+    """Named groups, classes in brackets and Unicode properties, as written for other engines."""
+    df = read(spark, sf_dir, "orders").select("o_orderkey", *[F.col("o_orderpriority").alias(c) for c in ("p1", "p2", "p3")])
+    patterns = {"p1": r"(?P<no>[0-9])(?=-)", "p2": "[[:upper:]]", "p3": r"(?P<first>\p{Nd})(?P<rest_of_it>.*)"}
+    return columns.mask_columns(df, [Masking(c, patterns=(Pattern("#", regex=r),)) for c, r in patterns.items()])
 
 
 @query("select doc_id, regexp_replace(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+', '[mail]', 'g') as text from documents")
@@ -190,6 +215,37 @@ def q_fpe_digits_roundtrip(spark, sf_dir):
     return hidden.select("o_orderkey", ciphers.digits_column(F.col("v"), KEY, decrypt=True).alias("v"), F.length("v").cast("long").alias("n"))
 
 
+# Known ciphertexts of the cipher (key as hex, alphabet, plaintext, ciphertext).
+_VECTORS = [
+    (b"foo".hex(), values.DIGITS, "123456", "979962"),
+    (b"foo".hex(), values.DIGITS, "000001", "897283"),
+    (b"foo".hex(), values.UPPER + values.DIGITS, "ABCDE1234F", "LQOZ1T7HUQ"),
+    (KEY, values.DIGITS, "9876543210", "9926847934"),
+    (KEY, values.UPPER, "ABCDE", "TOBFD"),
+]
+
+
+@query(f"select * from (values {', '.join(map(str, ((p, c, p) for _, _, p, c in _VECTORS)))}) as t(plain, hidden, again)")
+def q_fpe_known_vectors(spark, sf_dir):
+    """The cipher on texts whose ciphertexts are known, and back."""
+
+    def column(cipher):
+        return F.pandas_udf(lambda k, a, t: pd.Series([cipher(bytes.fromhex(x), z, y) for x, y, z in zip(k, a, t)]), "string")
+
+    df = spark.createDataFrame([v[:3] for v in _VECTORS], "k string, a string, plain string")
+    hidden = df.withColumn("hidden", column(ciphers.fpe_encrypt)("k", "a", "plain"))
+    return hidden.select("plain", "hidden", column(ciphers.fpe_decrypt)("k", "a", "hidden").alias("again"))
+
+
+@query("select o_orderkey, lpad(cast(o_orderkey as varchar), 12, '7') as v, true as changed, 12::bigint as n, true as digits from orders")
+def q_fpe_digits_change(spark, sf_dir):
+    """Long enough numbers never stay what they are."""
+    df = read(spark, sf_dir, "orders").select("o_orderkey", F.lpad(F.col("o_orderkey").cast("string"), 12, "7").alias("v"))
+    hidden = columns.fpe_columns(df.withColumn("plain", F.col("v")), [Fpe("v", "digits")], {"v": KEY})
+    back = ciphers.digits_column(F.col("v"), KEY, decrypt=True)
+    return hidden.select("o_orderkey", back.alias("v"), (F.col("v") != F.col("plain")).alias("changed"), F.length("v").cast("long").alias("n"), F.col("v").rlike("^[0-9]+$").alias("digits"))
+
+
 @query("select length(cast(o_orderkey as varchar)) as n, count(distinct o_orderkey) as plain, count(distinct o_orderkey) as hidden from orders group by 1")
 def q_fpe_bijective(spark, sf_dir):
     df = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("p"), F.col("o_orderkey").cast("string").alias("v"))
@@ -204,16 +260,16 @@ def _pans(spark, sf_dir):
     return read(spark, sf_dir, "customer").select("c_custkey", F.expr(_PAN.replace("varchar", "string")).alias("pan"))
 
 
-@query(f"select c_custkey, {_PAN} as pan, 'XXXXX0000X' as shape from customer")
+@query(f"select c_custkey, {_PAN} as pan, 'XXXXX0000X' as shape, true as changed from customer")
 def q_fpe_pan_roundtrip(spark, sf_dir):
-    hidden = columns.fpe_columns(_pans(spark, sf_dir), [Fpe("pan")], {"pan": KEY})
-    return hidden.select("c_custkey", ciphers.pan_column(F.col("pan"), KEY, decrypt=True).alias("pan"), values.mask_class(F.col("pan")).alias("shape"))
+    hidden = columns.fpe_columns(_pans(spark, sf_dir).withColumn("plain", F.col("pan")), [Fpe("pan")], {"pan": KEY})
+    return hidden.select("c_custkey", ciphers.pan_column(F.col("pan"), KEY, decrypt=True).alias("pan"), values.mask_class(F.col("pan")).alias("shape"), (F.col("pan") != F.col("plain")).alias("changed"))
 
 
-@query(f"select c_custkey, c_name, {_CLASSES} as shape from customer")
+@query(f"select c_custkey, c_name, {_CLASSES} as shape, true as changed from customer")
 def q_encrypt_fp_roundtrip(spark, sf_dir):
-    hidden = columns.encrypt_columns(_names(spark, sf_dir), [Encrypt("c_name", True)], {}, {"c_name": KEY})
-    return hidden.select("c_custkey", ciphers.general_column(F.col("c_name"), KEY, "c_name", decrypt=True).alias("c_name"), values.mask_class(F.col("c_name")).alias("shape"))
+    hidden = columns.encrypt_columns(_names(spark, sf_dir).withColumn("plain", F.col("c_name")), [Encrypt("c_name", True)], {}, {"c_name": KEY})
+    return hidden.select("c_custkey", ciphers.general_column(F.col("c_name"), KEY, "c_name", decrypt=True).alias("c_name"), values.mask_class(F.col("c_name")).alias("shape"), (F.col("c_name") != F.col("plain")).alias("changed"))
 
 
 @query("select c_custkey, c_name, 4 + 2 * length(c_name) as n from customer")
@@ -244,7 +300,7 @@ _LINES = Config(k=15, suppression_limit=0.01, numerical=tuple(_TWO), categorical
 def _lines(spark, sf_dir):
     """Line items with a gender made up from the supplier's parity."""
     df = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_linenumber", "l_suppkey")
-    return df.select("l_orderkey", F.col("l_quantity").cast("long").cast("string").alias("l_quantity"), F.col("l_linenumber").cast("string").alias("l_linenumber"), F.when(F.col("l_suppkey") % 2 == 0, "Female").otherwise("Male").alias("gender"))
+    return df.select("l_orderkey", F.col("l_quantity").cast("long").alias("l_quantity"), "l_linenumber", F.when(F.col("l_suppkey") % 2 == 0, "Female").otherwise("Male").alias("gender"))
 
 
 _HIST = "select (l_quantity - (select min(l_quantity) from lineitem))::bigint as i0, (l_linenumber - (select min(l_linenumber) from lineitem))::bigint as i1, (l_suppkey % 2)::bigint as i2, count(*) as cnt from lineitem group by 1, 2, 3"
@@ -319,6 +375,35 @@ def q_ola1_estimate(spark, sf_dir):
     return spark.createDataFrame([(f, lattice.estimated_classes(qis, (f, 10))) for f in range(1, 6)], "width long, classes long")
 
 
+_PARTS = """with recursive s as (select ceil(max(p_size) - min(p_size) + 1)::bigint as a, ceil(max(p_retailprice) - min(p_retailprice) + 1)::bigint as b from part),
+wa(x) as (select 1::bigint union select least(x * 2, a) from wa, s where x < a), wb(x) as (select 1::bigint union select least(x * 10, b) from wb, s where x < b)"""
+
+
+@query(f"{_PARTS} select most::bigint as most, min((wa.x, wb.x))[1] as a, min((wa.x, wb.x))[2] as b from s, wa, wb, (values (20), (300), (2000), (100000)) as t(most) where ((s.a + wa.x - 1) // wa.x) * ((s.b + wb.x - 1) // wb.x) <= most group by 1")
+def q_first_widths(spark, sf_dir):
+    """The first node, in lexicographic order, that is estimated to stay within a number of classes."""
+    qis = quasi_identifiers(read(spark, sf_dir, "part"), Config(numerical=(NumericQi("p_size"), NumericQi("p_retailprice"))))
+    rows = [(most, *lattice.first_widths(qis, {"p_size": 2, "p_retailprice": 10}, most)) for most in (20, 300, 2000, 100_000)]
+    return spark.createDataFrame(rows, "most long, a long, b long")
+
+
+#: Small histograms: name, quasi-identifier, size factor, counts from index 0, k, limit.
+_SMALL = [("ages", Qi("Age", False, 0, 3), 2, (1, 1, 1, 1), 2, 0.0), ("two", Qi("Age", False, 20, 21), 2, (2, 1), 2, 1.0), ("blood", Qi("Blood Group", True), 1, (3, 1, 9, 20, 3), 12, 0.2)]
+
+
+@query("""select * from (values ('ages', 1, 2, 0, 8, 2), ('ages', 2, 1, 4, 0, 0), ('two', 1, 2, 0, 9, 1), ('two', 2, 1, 1, 4, 1), ('blood', 1, 2, 7, 841, 1), ('blood', 2, 1, 16, 400, 1))
+as t(name, step, node, suppressed, dm_star, classes)""")
+def q_walk_evaluated(spark, sf_dir):
+    """Which nodes the walk evaluates, in order, on histograms small enough to work out by hand."""
+    rows = []
+    for name, qi, factor, counts, k, limit in _SMALL:
+        hist = spark.createDataFrame(list(enumerate(counts)), "i0 long, cnt long")
+        score = lambda node, hist=hist, k=k: tuple(histogram.score_nodes(hist, [node], k).select("suppressed", "dm_star", "classes").first())
+        found = lattice.search(lattice.levels([qi], (1,), {qi.name: factor}), score, k, limit, sum(counts))
+        rows += [(name, step, s.node[0], s.suppressed, s.dm_star, s.classes) for step, s in enumerate(found.evaluated, 1)]
+    return spark.createDataFrame(rows, "name string, step long, node long, suppressed long, dm_star long, classes long")
+
+
 _SCORES = f"""{_NODES}, hist as ({_HIST}),
 sized as (select a, b, c, sum(cnt) as cnt from nodes, hist group by a, b, c, i0 // a, i1 // b, i2 // c),
 scores as (select a, b, c, coalesce(sum(cnt) filter (cnt < 15), 0)::bigint as suppressed, coalesce(sum(cnt * cnt) filter (cnt >= 15), 0)::bigint as dm_star, count(*) filter (cnt >= 15) as classes from sized group by a, b, c)"""
@@ -355,9 +440,7 @@ def q_top5_nodes(spark, sf_dir):
 
 @query(f"{_SCORES}, best as ({_BEST} limit 1), fin as (select sum(cnt) as cnt from best, hist group by i0 // a, i1 // b, i2 // c) select cnt::bigint as size, count(*) as classes from fin where cnt >= 15 group by 1")
 def q_ec_stats(spark, sf_dir):
-    df = _lines(spark, sf_dir)
-    model = Anonymizer(_LINES).fit(df)
-    return histogram.class_sizes(histogram.histogram(df, model.qis), model.node, 15)
+    return spark.createDataFrame(list(_fitted(spark, sf_dir).class_sizes.items()), "size long, classes long")
 
 
 # ---- generalization
@@ -447,5 +530,29 @@ def q_row_local_transforms(spark, sf_dir):
     return generalize.generalized(columns.hash_columns(df, ["event_type"]), [Qi("user_id", False, 0.0, 149.0)], [10])
 
 
+# ---- CSV in and out
+
+
+@query("select cast(c_custkey as varchar) as c_custkey, 'a \"b\", ' || c_name as said, case when c_custkey % 3 = 0 then null else c_mktsegment end as c_mktsegment from customer")
+def q_csv_round_trip(spark, sf_dir):
+    """Quotes, commas and nulls, written as part files and read again as text."""
+    path = f"{scratch(spark)}/csv-{uuid.uuid4().hex}"
+    df = read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit('a "b", '), "c_name").alias("said"), F.expr("case when c_custkey % 3 = 0 then null else c_mktsegment end").alias("c_mktsegment"))
+    tables.write_csv(df, path)
+    return tables.read_csv(spark, path)
+
+
+@query("""select cast(s_suppkey as varchar) as id, case when s_suppkey % 2 = 0 then 'say "' || s_suppkey || '", twice' else s_name end as name, case when s_suppkey % 3 = 0 then null else 'x' end as rest
+from supplier where s_suppkey % 5 <> 0""")
+def q_csv_blank_and_short_rows(spark, sf_dir):
+    """Blank lines and rows of blank cells are left out, short rows end in nulls, doubled quotes are one."""
+    path = f"{scratch(spark)}/lines-{uuid.uuid4().hex}"
+    line = F.expr("""case when s_suppkey % 5 = 0 then if(s_suppkey % 2 = 0, '', ' , ,  ') else
+        concat(s_suppkey, ',', case when s_suppkey % 2 = 0 then concat('"say ""', s_suppkey, '"", twice"') else s_name end, if(s_suppkey % 3 = 0, '', ',x')) end""")
+    head = spark.createDataFrame([("id,name,rest",)], "value string")
+    head.unionByName(read(spark, sf_dir, "supplier").select(line.alias("value"))).coalesce(1).write.text(path)  # a header and 10,000 rows for each unit of scale
+    return tables.read_csv(spark, path)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_k_anonymize_full(spark, sf_dir)

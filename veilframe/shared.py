@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder of ``spark.checkpoint.dir``; only a local master may leave that unset."""
-    sc = df.sparkSession.sparkContext
+def scratch(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, set as Spark's own; only a local master may leave that unset."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="veilframe-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A checkpoint in the shared folder; survives lost executors."""
+    scratch(df.sparkSession)
     return df.checkpoint()
 
 
