@@ -107,3 +107,26 @@ def test_few_and_no_vectors(spark, tmp_path):
     frame(spark, []).write.parquet(f"{tmp_path}/b/embeddings.parquet")
     for name in ("op7_topk", "op8_ann"):
         assert queries.QUERIES[name](spark, f"{tmp_path}/b").count() == 0
+
+
+def test_one_id_with_several_vectors(spark):
+    """The least of them counts, whichever row comes first."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 4))
+    rows = [(i, x[i].tolist()) for i in range(50)]
+    more = [(i, (x[i] + [1, 0, 0, 0]).tolist()) for i in (0, 7, 20)]
+    want = brute(list(range(50)), x, [0, 20, 40], 6)
+    for order in (rows + more, more + rows):
+        got = collected(search.exact_top_k(spark.createDataFrame(order, "vec_id long, v array<double>"), F.col("vec_id") % 20 == 0, 6))
+        assert {i: [v for v, _ in g] for i, g in got.items()} == {i: [v for v, _ in w] for i, w in want.items()}
+
+
+def test_queries_are_cut_into_chunks(spark, monkeypatch):
+    """More queries than one task takes meet a copy of the shard each, and give the same."""
+    rng = np.random.default_rng(8)
+    x = np.floor(rng.normal(size=(300, 6)) * 50)
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(300)], "vec_id long, v array<double>")
+    want = brute(list(range(300)), x, list(range(0, 300, 2)), 5)
+    for name, n in (("SHARD", 40), ("CHUNK", 16), ("BLOCK", 5), ("SAMPLE", 64), ("PIVOTS", 4)):
+        monkeypatch.setattr(search, name, n)
+    assert collected(search.exact_top_k(df, F.col("vec_id") % 2 == 0, 5)) == want

@@ -1,15 +1,15 @@
-"""Exact and approximate nearest neighbours by inner product, over blocks of queries and shards of rows.
-
-Equal vectors are one node that keeps its smallest ids, as many as a result can use. Nodes and query
-vectors are dealt to the nearest of a few pivots, cells are cut into shards and blocks of bounded size,
-and a block meets a shard only if their cells' covering radii allow a result. Each shard carries its
-own tree; a task takes a block through several shards, each pruned by what the ones before gave. For cells and vantage-point trees the inner product becomes a distance: rows get the
-coordinate sqrt(M^2 - |x|^2), M the largest norm, and queries a zero.
+"""Exact and approximate nearest neighbours by inner product: queries go to the shards of rows that may hold a result.
+
+Equal vectors are one node that keeps its smallest ids, as many as a result can use. Nodes are dealt to the
+nearest of a few pivots, and each such cell is cut into shards of bounded size. A query goes to the shards of
+a cell only if the cell's covering radius allows a result better than those that a sample gives it at once.
+A task builds one shard's tree and takes the queries that came to it through it. For cells and vantage-point
+trees the inner product becomes a distance: rows get the coordinate sqrt(M^2 - |x|^2), M the largest norm,
+and queries a zero.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,9 +22,9 @@ from veilframe.llm import trees
 from veilframe.llm.common import cut
 
 #: Vectors that give a first bound of each query's k-th distance, and those of them that are pivots.
-SAMPLE, PIVOTS = 1024, 32
-#: Nodes of a shard and queries of a block, about, and shards that a block is taken through in one task.
-SHARD, BLOCK, SHARDS_AT_ONCE = 8192, 1024, 8
+SAMPLE, PIVOTS = 4096, 32
+#: Nodes of a shard, about, queries searched together, and queries that meet a shard in one task, about.
+SHARD, BLOCK, CHUNK = 8192, 1024, 65_536
 
 
 def usable(vector: Column) -> Column:
@@ -41,12 +41,6 @@ def _matrix(lists: pa.Array | list, width: int) -> np.ndarray:
     return out
 
 
-def _narrow(x: np.ndarray) -> np.ndarray:
-    """In 32 bits where that is exact."""
-    half = x.astype(np.float32)
-    return half if (half == x).all() else x
-
-
 def _lift(x: np.ndarray, most: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(most**2 - (x**2).sum(1), 0))[:, None]], 1)
 
@@ -55,101 +49,94 @@ def _flat(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, np.zeros((len(x), 1))], 1)
 
 
-def _neighbours(vectors: DataFrame, is_query: Column, k: int, factor: float, build: Callable[[np.ndarray, float], object], prepare: Callable[[np.ndarray, np.ndarray], tuple[object, np.ndarray]], search: Callable[[object, np.ndarray, object, trees.Best, np.ndarray, int], None]) -> DataFrame:
+def _neighbours(vectors: DataFrame, is_query: Column, k: int, factor: float, build: Callable[[np.ndarray, float], object], prepare: Callable[[np.ndarray, np.ndarray, float], tuple[object, np.ndarray]], search: Callable[[object, np.ndarray, object, trees.Best, np.ndarray], None]) -> DataFrame:
     """``query_id, rank, vec_id, score`` from ``vectors(vec_id, v)``."""
-    vectors = cut(vectors.where("vec_id is not null").distinct())
+    vectors = cut(vectors.where("vec_id is not null").groupBy("vec_id").agg(F.min("v").alias("v")))
     by_v = Window.partitionBy("v").orderBy("vec_id")
     nodes = vectors.withColumn("no", F.row_number().over(by_v)).where(F.col("no") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     nodes = cut(nodes)
     queries = vectors.where(is_query)
     keys = cut(queries.groupBy("v").agg(F.min("vec_id").alias("qkey")))
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    width, most, count = nodes.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.sqrt(F.max(norm2)), F.lit(0.0)), F.count("*")).first()
-    most *= 1 + 1e-12
-    sample = [r["v"] for r in nodes.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()]
-    lifted = _lift(_matrix(sample, width), most)
-    shared = vectors.sparkSession.sparkContext.broadcast((lifted, lifted[:PIVOTS]))  # at most SAMPLE vectors
-
-    def deal(rows: DataFrame, keep: str, kind: str, query: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            some, pivots = shared.value
-            for b in batches:
-                x = _matrix(b.column("v").to_pylist(), width)
-                x = _flat(x) if query else _lift(x, most)
-                near = lambda to: np.sqrt(np.maximum((x**2).sum(1)[:, None] + (to**2).sum(1) - 2 * x @ to.T, 0))
-                d = near(pivots)
-                cell = d.argmin(1)
-                far = np.partition(near(some), k, axis=1)[:, k] if query and len(some) > k else np.full(len(x), np.inf)
-                yield pa.RecordBatch.from_arrays([b.column(keep), b.column("v"), pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(x)), cell]), pa.array(far)], names=[keep, "v", "cell", "d", "far"])
-
-        return cut(rows.select(keep, "v").mapInArrow(run, f"{keep} {kind}, v array<double>, cell int, d double, far double"))
-
+    half = F.forall("v", lambda x: x.cast("float").cast("double") == x)  # then 32 bits a component are exact
+    width, most, count, halves = nodes.agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.sqrt(F.max(norm2)), F.lit(0.0)), F.count("*"), F.coalesce(F.bool_and(half), F.lit(True))).first()
+    nothing = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not count:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    nodes, keys_ = deal(nodes, "ids", "array<bigint>", False), deal(keys, "qkey", "bigint", True)
-    cells = nodes.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("d")).collect()
-    blocks = keys_.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("d"), F.max("far").alias("far")).collect()
-    gaps = np.sqrt(((lifted[:PIVOTS, None] - lifted[None, :PIVOTS]) ** 2).sum(2))
+        return nothing
+    most *= 1 + 1e-12
+    sent = "array<float>" if halves else "array<double>"
+    sample = nodes.select("v", "ids").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()
+    lifted = _lift(_matrix([r["v"] for r in sample], width), most)
+    shared = vectors.sparkSession.sparkContext.broadcast((lifted, [r["ids"] for r in sample]))  # at most SAMPLE vectors, k + 1 ids each
+
+    def distances(x: np.ndarray, to: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum((x**2).sum(1)[:, None] + (to**2).sum(1) - 2 * x @ to.T, 0))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            d = distances(_lift(_matrix(b.column("v").to_pylist(), width), most), shared.value[0][:PIVOTS])
+            cell = d.argmin(1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])], names=["ids", "v", "cell", "d"])
+
+    nodes = cut(nodes.select("ids", F.col("v").cast(sent).alias("v")).mapInArrow(deal, f"ids array<bigint>, v {sent}, cell int, d double"))
+    cells = {r["cell"]: (-(-r["n"] // SHARD), r["d"]) for r in nodes.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("d")).collect()}
+    number, radius = np.array(list(cells)), np.array([d for _, d in cells.values()])
     slack = 1e-6 * (1 + most)
-    allowed = [(q["cell"], r["cell"]) for q in blocks for r in cells if (gaps[q["cell"], r["cell"]] - q["d"] - r["d"] - slack) * factor <= q["far"] + slack]
 
-    if not allowed:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """With each query its home, the distance to beat, the cells that may hold something nearer and, where pruning is
+        relaxed, what the sample gives: then no query is left with fewer results than it could have."""
+        some, ids = shared.value
+        for b in batches:
+            x = _flat(_matrix(b.column("v").to_pylist(), width))
+            near = distances(x, some)
+            far = np.partition(near, k, axis=1)[:, k] if near.shape[1] > k else np.full(len(x), np.inf)
+            allowed = (near[:, number] - radius - slack) * factor <= far[:, None] + slack
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *allowed.sum(1)]), pa.int32()), pa.array(np.broadcast_to(number, allowed.shape)[allowed].astype(np.int32)))
+            first = np.argsort(near, axis=1, kind="stable")[:, : k + 1] if factor > 1 else np.empty((len(x), 0), np.int64)
+            sure = [[{"vec_id": i, "score": float((x[q] * some[n])[:-1].sum())} for n in row for i in ids[n]] for q, row in enumerate(first)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near[:, :PIVOTS].argmin(1).astype(np.int32)), pa.array(far), lists, pa.array(sure, pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())])))], names=["qkey", "v", "home", "far", "cells", "sure"])
+
+    asked = cut(keys.select("qkey", F.col("v").cast(sent).alias("v")).mapInArrow(ask, f"qkey long, v {sent}, home int, far double, cells array<int>, sure array<struct<vec_id: bigint, score: double>>"))
 
     def by_cell(values: dict[int, int]) -> Column:
-        return F.create_map(*[F.lit(int(x)) for pair in values.items() for x in pair])  # at most PIVOTS cells
-
-    def part(values: dict[int, int]) -> Column:
-        """The part of its cell that a vector is in."""
-        return F.pmod(F.xxhash64("v"), by_cell(values)[F.col("cell")]).cast("int")
-
-    shard_parts = {r["cell"]: -(-r["n"] // SHARD) for r in cells}
-    block_parts = {q["cell"]: -(-q["n"] // BLOCK) for q in blocks}
-    before, total = {}, 0
-    for cell, n in shard_parts.items():
-        before[cell], total = total, total + n
-    team = F.floor((by_cell(before)[F.col("cell")] + F.col("part")) / SHARDS_AT_ONCE).cast("int")
-
-    def index(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("first", kind="stable")
-        x = _matrix(list(pdf["v"]), width)
-        blob = pickle.dumps((build(x, most), _narrow(x), [np.asarray(i) for i in pdf["ids"]]), protocol=5)
-        return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "part": pdf["part"].iloc[:1], "blob": [blob]})
-
-    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("qkey")
-        blob = pickle.dumps((pdf["qkey"].to_numpy(), _narrow(_matrix(list(pdf["v"]), width)), pdf["far"].to_numpy()), protocol=5)
-        return pd.DataFrame({"qcell": pdf["cell"].iloc[:1], "qpart": pdf["part"].iloc[:1], "qblob": [blob]})
-
-    shards = cut(nodes.withColumn("part", part(shard_parts)).withColumn("first", F.col("ids")[0]).groupBy("cell", "part").applyInPandas(index, "cell int, part int, blob binary"))
-    asked = cut(keys_.withColumn("part", part(block_parts)).groupBy("cell", "part").applyInPandas(gather, "qcell int, qpart int, qblob binary"))
-    table = vectors.sparkSession.createDataFrame(allowed, "qcell int, cell int")  # at most PIVOTS squared rows
-    sent = shards.withColumn("team", team).join(F.broadcast(table), "cell")
-    sent = sent.withColumn("qpart", F.explode(F.sequence(F.lit(0), by_cell(block_parts)[F.col("qcell")] - 1)))
-    asked = asked.withColumn("team", F.explode(F.sequence(F.lit(0), F.lit((total - 1) // SHARDS_AT_ONCE))))
+        return F.create_map(*[F.lit(int(x)) for pair in values.items() for x in pair])[F.col("cell")]  # at most PIVOTS cells
+
+    parts = by_cell({c: n for c, (n, _) in cells.items()})
+    to = asked.select("qkey", "v", "home", "far", F.explode("cells").alias("cell"))
+    busy = {r["cell"]: -(-r["count"] // CHUNK) for r in asked.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()}
+    if not busy:
+        return nothing
+    chunks = F.coalesce(by_cell(busy), F.lit(0))
+    to = to.withColumn("chunk", F.pmod(F.xxhash64("qkey"), chunks).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = nodes.withColumn("part", F.pmod(F.xxhash64("v"), parts).cast("int")).where(chunks > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
 
     def meet(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if ours.empty or theirs.empty:
-            return pd.DataFrame({"qkey": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
-        qkeys, x, far = pickle.loads(theirs["qblob"].iloc[0])
-        x = x.astype(float)
-        ready, floor = prepare(x, far)
-        best = trees.Best(len(x), k + 1, floor)
-        rows, ids = [], []
-        for blob in ours.sort_values(["cell", "part"])["blob"]:
-            built, y, own = pickle.loads(blob)
-            search(built, y.astype(float), ready, best, np.array([i[0] for i in own], np.int64), len(ids))
-            rows.append(y)
-            ids += own
-        q, row = best.found()
-        score = (x[q] * np.concatenate(rows).astype(float)[row]).sum(1)  # summed alike wherever a vector stands
-        times = np.array([ids[r].size for r in row], np.int64)
-        return pd.DataFrame({"qkey": np.repeat(qkeys[q], times), "vec_id": np.concatenate([ids[r] for r in row]) if row.size else np.empty(0, np.int64), "score": np.repeat(score, times)})
-
-    key = ["qcell", "qpart", "team"]
-    met = sent.select(*key, "cell", "part", "blob").groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(meet, "qkey long, vec_id long, score double")
+        found: list[tuple] = []
+        if len(ours) and len(theirs):
+            ours = ours.assign(first=[i[0] for i in ours["ids"]]).sort_values("first", kind="stable")
+            y, own, first = _matrix(list(ours["v"]), width), list(ours["ids"]), ours["first"].to_numpy(np.int64)
+            tree = build(y, most)
+            theirs = theirs.sort_values(["home", "qkey"])
+            for at in range(0, len(theirs), BLOCK):
+                block = theirs.iloc[at : at + BLOCK]
+                x, far = _matrix(list(block["v"]), width), block["far"].to_numpy()
+                ready, floor = prepare(x, far, most)
+                best = trees.Best(len(x), k + 1, floor)
+                search(tree, y, ready, best, first)
+                q, row = best.found()
+                times = np.array([own[r].size for r in row], np.int64)
+                score = (x[q] * y[row]).sum(1)  # summed alike wherever a vector stands
+                found.append((np.repeat(block["qkey"].to_numpy()[q], times), [own[r] for r in row], np.repeat(score, times)))
+        none = [np.empty(0, np.int64)]
+        return pd.DataFrame({"qkey": np.concatenate(none + [f[0] for f in found]), "vec_id": np.concatenate(none + [i for f in found for i in f[1]]), "score": np.concatenate([np.empty(0)] + [f[2] for f in found])})
+
+    key = ["cell", "part", "chunk"]
+    met = rows.select(*key, "ids", "v").groupBy(*key).cogroup(to.groupBy(*key)).applyInPandas(meet, "qkey long, vec_id long, score double")
+    met = met.unionByName(asked.select("qkey", F.inline("sure")))
     ranked = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
-    best = met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k + 1).drop("rank")
+    twice = 2 if factor > 1 else 1  # by the sample and by a shard
+    best = met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= twice * (k + 1)).groupBy("qkey", "vec_id").agg(F.max("score").alias("score"))
     mine = queries.join(keys, "v").select(F.col("vec_id").alias("query_id"), "qkey")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = mine.join(best, "qkey").where("vec_id <> query_id").withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
@@ -161,18 +148,18 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
 
     ``vectors(vec_id, v array<double>)`` without unusable vectors. Cover trees over a shard and a block
     of queries are searched together. Sums of whole numbers below 2^53 are exact. Repeated rows count
-    once; rows without an id take no part; fewer than ``k`` candidates are all returned.
+    once; of an id's several vectors the least in array order counts; rows without an id take no part; fewer than ``k`` candidates are all returned.
     """
 
     def build(x: np.ndarray, most: float) -> trees.CoverTree:
         return trees.CoverTree(x)
 
-    def prepare(x: np.ndarray, far: np.ndarray) -> tuple:
-        return trees.CoverTree(x), np.full(len(x), -np.inf)
+    def prepare(x: np.ndarray, far: np.ndarray, most: float) -> tuple:
+        norm2 = (x**2).sum(1)
+        return trees.CoverTree(x), (norm2 + most**2 - far**2) / 2 - 1e-6 * (1 + norm2 + most**2)
 
-    def search(tree: trees.CoverTree, y: np.ndarray, ready: trees.CoverTree, best: trees.Best, ties: np.ndarray, base: int) -> None:
-        tree.x = y
-        trees.dual_search(ready, tree, best, ties, base)
+    def search(tree: trees.CoverTree, y: np.ndarray, ready: trees.CoverTree, best: trees.Best, ties: np.ndarray) -> None:
+        trees.dual_search(ready, tree, best, ties)
 
     return _neighbours(vectors, is_query, k, 1.0, build, prepare, search)
 
@@ -181,15 +168,12 @@ def approximate_top_k(vectors: DataFrame, is_query: Column, k: int, factor: floa
     """As ``exact_top_k``, by a vantage-point tree for each shard; a ``factor`` above one prunes more than is safe."""
 
     def build(x: np.ndarray, most: float) -> trees.VantageTree:
-        tree = trees.VantageTree(_lift(x, most))
-        tree.most = most
-        return tree
+        return trees.VantageTree(_lift(x, most))
 
-    def prepare(x: np.ndarray, far: np.ndarray) -> tuple:
+    def prepare(x: np.ndarray, far: np.ndarray, most: float) -> tuple:
         return _flat(x), -far * (1 + 1e-9) - 1e-9
 
-    def search(tree: trees.VantageTree, y: np.ndarray, ready: np.ndarray, best: trees.Best, ties: np.ndarray, base: int) -> None:
-        tree.x = _lift(y, tree.most)
-        trees.vantage_search(tree, ready, best, ties, factor, base)
+    def search(tree: trees.VantageTree, y: np.ndarray, ready: np.ndarray, best: trees.Best, ties: np.ndarray) -> None:
+        trees.vantage_search(tree, ready, best, ties, factor)
 
     return _neighbours(vectors, is_query, k, factor, build, prepare, search)

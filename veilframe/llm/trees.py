@@ -89,10 +89,6 @@ class CoverTree:
         self.children, self.spans = [np.array(c, np.int64) for c in children], spans
         self.norm = np.sqrt((x[self.center] ** 2).sum(1))
 
-    def __getstate__(self) -> dict:
-        """Without the points, which are kept once, beside the tree."""
-        return self.__dict__ | {"x": None}
-
 
 def dual_search(queries: CoverTree, data: CoverTree, best: Best, ties: np.ndarray, base: int = 0, slack: float = 1e-9) -> None:
     """Into ``best`` the largest inner products of every query; rows are numbered from ``base``.
@@ -195,10 +191,6 @@ class VantageTree:
                 self.leaf.append(part)
             self.child[me] = tuple(pair)
 
-    def __getstate__(self) -> dict:
-        """Without the points, which are kept once, beside the tree."""
-        return self.__dict__ | {"x": None}
-
 
 def vantage_search(tree: VantageTree, queries: np.ndarray, best: Best, ties: np.ndarray, factor: float, base: int = 0, slack: float = 1e-9) -> None:
     """Into ``best`` the nearest points, scored by their negative distance; rows are numbered from ``base``.
