@@ -28,11 +28,11 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Stretches kept with their ids in each Python worker, twice so many with those of the last change; letters searched and ids passed on at a time.
-CACHE, LETTERS, FLUSH = 200_000, 1 << 22, 1 << 20
+CACHE, LETTERS, FLUSH = 100_000, 1 << 22, 1 << 20
 #: Letters of a stretch that are matched with pieces at a time.
 STEPS = 1 << 14
 #: Longest stretch that is kept, and pairs of pieces kept with whether they may be neighbours.
-KEPT, PAIRS = 64, 1 << 22
+KEPT, PAIRS = 64, 1 << 20
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2  # fixed values: model types of a model file
 _FREE = np.int64(-1)
@@ -52,10 +52,10 @@ class Table:
 
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Different keys, none of which is there yet."""
-        if 3 * (self.n + keys.size) > 1 << self.bits:
+        if 2 * (self.n + keys.size) > 1 << self.bits:
             old = self.keys != _FREE
             keys, values = np.concatenate([self.keys[old], keys]), np.concatenate([self.values[old], values])
-            self.n, self.bits = 0, int(6 * keys.size).bit_length()
+            self.n, self.bits = 0, int(3 * keys.size).bit_length()
             self.keys, self.values = np.full(1 << self.bits, _FREE), np.zeros(1 << self.bits, np.int32)
         at, last = self._slot(keys), (1 << self.bits) - 1
         todo = np.arange(keys.size)
