@@ -81,20 +81,29 @@ def test_held_out_accuracy_and_edges(spark, tmp_path):
     assert sum(r.rejected for d, r in got.items() if d in truth) <= 6
 
 
-def test_rare_counts_cut_off_and_empty(spark):
-    df = spark.createDataFrame([("a", "xyxyxyxyxyxy unique"), ("b", "pqpqpqpqpqpq other")], "lang string, text string")
-    small = langid.fit(df, max_ngrams=12)
-    assert sum(g.size for g in small.grams[-1:]) <= 12
+def test_no_count_is_cut_off_and_empty(spark):
+    df = spark.createDataFrame([("a", "xyxyxyxyxyxy " * 50), ("a", "unique"), ("b", "rarely said")], "lang string, text string")
+    model = langid.fit(df)
+    assert model.langs == ("a", "b")
+    own = [np.unique(np.concatenate([langid.ngrams(langid.letters(t)) for t in ts])).size for ts in (["xyxyxyxyxyxy " * 50, "unique"], ["rarely said"])]
+    assert np.bincount(model.prob[3].lang).tolist() == own
     empty = langid.fit(df.limit(0))
     odd = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
     assert [r.lang_pred for r in langid.predict(odd, empty).collect()] == ["und"]
-    assert langid.predict(odd.limit(0), small).count() == 0
-
-
-def test_no_language_is_cut_off_by_default(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MAX_NGRAMS", 12, raising=False)
-    monkeypatch.setattr(langid.fit, "__defaults__", tuple(12 if d == 1 << 23 else d for d in langid.fit.__defaults__))
-    df = spark.createDataFrame([("a", "xyxyxyxyxyxy " * 50), ("b", "rarely said")], "lang string, text string")
-    assert langid.fit(df).langs == ("a", "b")
-    hot = spark.createDataFrame([("a", "xyz " * 3000)], "lang string, text string")
-    assert sum(g.size for g in langid.fit(hot, max_ngrams=3).grams[-1:]) <= 3
+    assert langid.predict(odd.limit(0), model).count() == 0
+
+
+def test_sixty_languages_take_no_dense_table():
+    """What is kept grows with the counts, not with n-grams times languages, and equals a model of one language alone."""
+    rng = np.random.default_rng(2)
+    own = {f"l{j:02}": " ".join("".join(chr(0x4E00 + 40 * j + c) for c in rng.integers(0, 30, 6)) for _ in range(80)) + " common words" for j in range(60)}
+    counts = {}
+    for lang, text in own.items():
+        counts[lang] = np.unique(langid.ngrams(langid.letters(text)), return_counts=True)
+    model = langid.build(counts)
+    assert model.prob[3].value.size == sum(k.size for k, _ in counts.values()) == model.prob[3].lang.size
+    assert model.prob[3].hashes.size < model.prob[3].value.size  # shared n-grams have one hash
+    e = model.entropies([*own.values(), None])
+    assert (e[:-1].argmin(1) == np.arange(60)).all() and np.isinf(e[-1]).all()
+    one = langid.build({"l07": counts["l07"]})
+    assert abs(one.entropies([own["l07"]])[0, 0] - e[7, 7]) < 0.2  # the letters of all languages count for unseen ones only

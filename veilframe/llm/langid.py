@@ -2,7 +2,8 @@
 
 The four-letter counts of every training text are summed by Spark for each language. Lower orders
 follow from them as Kneser-Ney wants it: by the number of different letters seen before. Each order
-is an array of n-gram hashes in ascending order, with the probabilities of every language beside it.
+is an array of n-gram hashes in ascending order, with the languages that know the n-gram, and their
+probabilities, beside it: as large as the counts of all languages together, whatever their number.
 """
 
 from __future__ import annotations
@@ -16,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe.llm.common import cut
-
 ORDER = 4
 #: Letters handled at a time.
 BLOCK = 1 << 20
+#: Cells of n-grams by languages looked up at a time.
+CELLS = 1 << 22
 #: n-grams kept in a task before they are passed on.
 FLUSH = 1 << 21
 EDGE, SPACE = 1, 32
@@ -102,16 +103,47 @@ def count_ngrams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     return rows.mapInArrow(run, "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
 
 
+@dataclass(frozen=True)
+class Hashed:
+    """Values by key and language: ascending hashes, and for each, from ``starts`` on, its languages and their values."""
+
+    hashes: np.ndarray
+    starts: np.ndarray
+    lang: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, parts: list[tuple[np.ndarray, np.ndarray]]) -> Hashed:
+        """From keys and values of each language."""
+        keys = mix(np.concatenate([np.empty(0, np.uint64), *(k for k, _ in parts)]))
+        lang = np.repeat(np.arange(len(parts), dtype=np.int32), [k.size for k, _ in parts])
+        order = np.argsort(keys, kind="stable")
+        hashes, starts = np.unique(keys[order], return_index=True)
+        return cls(hashes, np.append(starts, keys.size), lang[order], np.concatenate([np.empty(0), *(v for _, v in parts)])[order])
+
+    def get(self, keys: np.ndarray, langs: int, missing: float) -> np.ndarray:
+        """A line of values, by language, for each key."""
+        out = np.full((keys.size, langs), missing)
+        if not self.hashes.size:
+            return out
+        keys = mix(keys)
+        at = np.minimum(np.searchsorted(self.hashes, keys), self.hashes.size - 1)
+        line = np.flatnonzero(self.hashes[at] == keys)
+        first = self.starts[at[line]]
+        n = self.starts[at[line] + 1] - first
+        cell = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        out[np.repeat(line, n), self.lang[cell]] = self.value[cell]
+        return out
+
+
 @dataclass(frozen=True)
 class Model:
-    """``grams[k]``, ``prob[k]``: hashes of the n-grams of k + 1 letters, and log2 probabilities by language;
-    ``contexts[k]``, ``back[k]``: the same of their contexts, and the log2 weight of the next lower order."""
+    """``prob[k]``: log2 probabilities of the n-grams of k + 1 letters; ``back[k]``: of their contexts, the log2
+    weight of the next lower order."""
 
     langs: tuple[str, ...]
-    grams: tuple[np.ndarray, ...]
-    prob: tuple[np.ndarray, ...]
-    contexts: tuple[np.ndarray, ...]
-    back: tuple[np.ndarray, ...]
+    prob: tuple[Hashed, ...]
+    back: tuple[Hashed, ...]
     base: np.ndarray
 
     def log2(self, keys: np.ndarray) -> np.ndarray:
@@ -119,15 +151,11 @@ class Model:
         out = np.zeros((keys.size, len(self.langs)))
         open_ = np.ones((keys.size, len(self.langs)), bool)
         for k in range(ORDER - 1, -1, -1):
-            low = mix(keys & _mask(k + 1))
-            at = np.minimum(np.searchsorted(self.grams[k], low), self.grams[k].size - 1)
-            p = np.where((self.grams[k][at] == low)[:, None], self.prob[k][at], np.nan)
+            p = self.prob[k].get(keys & _mask(k + 1), len(self.langs), np.nan)
             hit = open_ & ~np.isnan(p)
             out[hit] += p[hit]
             open_ &= np.isnan(p)
-            ctx = mix(keys >> np.uint64(_BITS) & _mask(k))
-            at = np.minimum(np.searchsorted(self.contexts[k], ctx), self.contexts[k].size - 1)
-            w = np.where((self.contexts[k][at] == ctx)[:, None], self.back[k][at], 0.0)
+            w = self.back[k].get(keys >> np.uint64(_BITS) & _mask(k), len(self.langs), 0.0)
             out += np.where(open_, w, 0.0)
         return out + np.where(open_, self.base, 0.0)
 
@@ -135,7 +163,7 @@ class Model:
         """Cross-entropy in bits a letter, by text and language; infinite for a text without letters."""
         sums, sizes = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
         block: list[tuple[int, np.ndarray]] = []
-        held = 0
+        held, most = 0, max(1, min(BLOCK, CELLS // max(1, len(self.langs))))
 
         def settle() -> None:
             keys, at = np.unique(np.concatenate([k for _, k in block]), return_inverse=True)
@@ -147,12 +175,12 @@ class Model:
 
         for i, text in enumerate(texts):
             codes = letters(text)
-            for at in range(0, max(0, codes.size - ORDER + 1), BLOCK):
-                keys = ngrams(codes[at : at + BLOCK + ORDER - 1])
+            for at in range(0, max(0, codes.size - ORDER + 1), most):
+                keys = ngrams(codes[at : at + most + ORDER - 1])
                 block.append((i, keys))
                 sizes[i] += keys.size
                 held += keys.size
-                if held >= BLOCK:
+                if held >= most:
                     settle()
                     held = 0
         if block:
@@ -200,33 +228,13 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
             p = np.maximum(c - d, 0) / total[at] + back[at] * below
             per[k].append((grams, np.log2(p), ctx, np.log2(back)))
             lower = (grams, p)
-    grams_, prob, contexts, backs = [], [], [], []
-    for k in range(ORDER):
-        for names, values, at, empty in ((grams_, prob, 0, np.nan), (contexts, backs, 2, 0.0)):
-            keys = np.unique(np.concatenate([x[at] for x in per[k]])) if langs else np.empty(0, np.uint64)
-            table = np.full((keys.size, len(langs)), empty)
-            for j, x in enumerate(per[k]):
-                table[np.searchsorted(keys, x[at]), j] = x[at + 1]
-            hashes = mix(keys)
-            order = np.argsort(hashes)
-            names.append(hashes[order])
-            values.append(table[order])
-    return Model(langs, tuple(grams_), tuple(prob), tuple(contexts), tuple(backs), np.full(len(langs), np.log2(1 / vocab)))
-
-
-def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_ngrams: int | None = None) -> Model:
-    """A model of all rows with text and language, whose n-gram table meets the driver.
-
-    Nothing is cut off unless ``max_ngrams`` is given; then the rarest counts are, over all languages together.
-    """
-    found = cut(count_ngrams(docs, lang_col, text_col))
-    rare, total = 0, 0 if max_ngrams is None else found.count()
-    if max_ngrams is not None and total > max_ngrams:
-        for r in found.groupBy("n").count().orderBy("n").collect():
-            if total <= max_ngrams:
-                break
-            rare, total = r["n"], total - r["count"]
-    rows = found.where(F.col("n") > rare).toArrow()
+    tables = [tuple(Hashed.of([x[at : at + 2] for x in per[k]]) for k in range(ORDER)) for at in (0, 2)]
+    return Model(langs, *tables, np.full(len(langs), np.log2(1 / vocab)))
+
+
+def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
+    """A model of all rows with text and language. Their counts, one row for each language and n-gram, meet the driver; none is cut off."""
+    rows = count_ngrams(docs, lang_col, text_col).toArrow()
     lang, keys, n = rows.column("lang").to_pandas().to_numpy(), rows.column("ngram").to_numpy().view(np.uint64), rows.column("n").to_numpy()
     return build({str(x): (keys[lang == x], n[lang == x]) for x in np.unique(lang.astype(str))} if len(keys) else {})
 
