@@ -80,3 +80,18 @@ def test_empty(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(df, f"{tmp_path}/w")
     assert warc.read_archives(spark, f"{tmp_path}/w").count() == 0
+
+
+@pytest.mark.parametrize("sent", [0, 10**6])
+def test_archives_roll_over(spark, tmp_path, monkeypatch, sent):
+    """Each archive has its own head, whether revisits are sent to the tasks or joined."""
+    monkeypatch.setattr(warc, "ARCHIVE_VALUES", 16)
+    monkeypatch.setattr(warc, "SENT_REVISITS", sent)
+    df = spark.createDataFrame(ROWS, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, f"{tmp_path}/w")
+    files = [f for f in glob.glob(f"{tmp_path}/w/part-*") if open(f, "rb").read(4)]
+    assert len(files) >= len(ROWS) // 15
+    assert all(struct.unpack("<I", open(f, "rb").read(4))[0] == warc.DICTIONARY_FRAME for f in files)
+    assert all(len(list(warc.parse(open(f, "rb").read()))) <= 15 for f in files)
+    got = warc.read_archives(spark, f"{tmp_path}/w").collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected(ROWS)

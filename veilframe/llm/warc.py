@@ -22,11 +22,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilframe.llm.common import cut
+
 # Magic numbers of skippable frames, of a dictionary and of any content.
 DICTIONARY_FRAME, SKIPPED_FRAME = 0x184D2A5D, 0x184D2A50
 LINE_FEED_FRAME = struct.pack("<II", SKIPPED_FRAME, 1)
-#: Records that the dictionary is trained on, at most, the first bytes of each that are used, and its size.
+#: Records that the dictionary is trained on, at most, the bytes of each that are used, from anywhere in it, and its size.
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 8192, 65_536
+#: Values of an archive, its head included; a task begins a new one after so many.
+ARCHIVE_VALUES = 4096
+#: Revisits that are sent to every task instead of joined by a shuffle of the payloads; of about 100 bytes each.
+SENT_REVISITS = 500_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 6
@@ -71,7 +77,7 @@ def _payloads(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Dat
 
 
 def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """Write one record for each row into archives under ``path``, one archive for each task.
+    """Write one record for each row into archives of at most ``ARCHIVE_VALUES`` under ``path``.
 
     Of rows with equal payloads of at least ``min_revisit_bytes`` the one with the largest id is the
     response, the others are revisits of it; shorter payloads are all responses. Rows that repeat an
@@ -80,7 +86,8 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_c
     """
     rows = _payloads(pages, id_col, url_col, html_col)
     ids = pages.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.lit(1)).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("id")
-    some = rows.join(F.broadcast(ids), "id").groupBy("id").agg(F.max(F.struct("url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))).alias("r")).orderBy("id").collect()
+    slice_ = F.substring("payload", (1 + F.pmod(F.xxhash64("id"), F.greatest(F.octet_length("payload") - SAMPLE_BYTES, F.lit(1)))).cast("int"), F.lit(SAMPLE_BYTES))
+    some = rows.join(F.broadcast(ids), "id").groupBy("id").agg(F.max(F.struct("url", slice_.alias("payload"))).alias("r")).orderBy("id").collect()
     samples = [record(r["id"], r["r"]["url"], p := bytes(r["r"]["payload"]), base32_digest(p), None, False) for r in some]
     shared = pages.sparkSession.sparkContext.broadcast(train_dictionary(samples))  # at most DICTIONARY_BYTES
 
@@ -88,24 +95,30 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_c
     pairs = keyed.groupBy("id", "sha1").agg(F.lit(1))
     newest = keyed.groupBy("sha1").agg(F.max("id").alias("refers_to"))
     revisits = pairs.join(newest, "sha1").where("refers_to is not null and not (id <=> refers_to)").select(F.col("id").alias("rid"), F.col("sha1").alias("rsha1"), "refers_to")
-    rows = rows.withColumn("sha1", F.sha1("payload"))
+    rows, revisits = rows.withColumn("sha1", F.sha1("payload")), cut(revisits)
+    if revisits.count() <= SENT_REVISITS:
+        revisits = F.broadcast(revisits)
     rows = rows.join(revisits, F.col("id").eqNullSafe(F.col("rid")) & (F.col("sha1") == F.col("rsha1")), "left").select("id", "url", "payload", "sha1", "refers_to")
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = shared.value
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw))
         head = struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw + LINE_FEED_FRAME
+        written = 0
         for b in batches:
-            out = [] if head is None else [head]
-            head = None
+            out = []
             for page_id, url, payload, sha1, refers_to in zip(*(c for c in b.columns)):
                 to = refers_to.as_py()
                 digest = base64.b32encode(bytes.fromhex(sha1.as_py())).decode()
+                if written % ARCHIVE_VALUES == 0:  # the writer begins a new file here
+                    out.append(head)
+                    written += 1
+                written += 1
                 out.append(packer.compress(record(page_id.as_py(), url.as_py(), payload.as_py(), digest, to, to is not None)) + LINE_FEED_FRAME)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
     frames = rows.mapInArrow(compress, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    frames.write.option("lineSep", "\n").text(path)
+    frames.write.option("lineSep", "\n").option("maxRecordsPerFile", ARCHIVE_VALUES).text(path)
 
 
 def _fields(head: bytes) -> dict[str, str]:
