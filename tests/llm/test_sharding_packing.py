@@ -138,3 +138,20 @@ def test_pack_whole_texts(spark):
         assert whole[r.bin_id][r.bin_offset : r.bin_offset + r.length] == texts[r.doc_id][r.start : r.start + r.length]
     twice = packing.pack(docs(spark, [(None, "a"), (None, "a"), (3, "a"), (3, "a")]), sizes=(16,)).collect()
     assert sorted((r.bin_id, r.bin_offset) for r in twice) == [(0, 0), (0, 2), (0, 4), (0, 6)]
+
+
+def test_written_shards_are_the_assigned_ones(spark, tmp_path):
+    """Rows without an id too, which their texts spread; a shard column of the input is replaced."""
+    rows = [(None, f"text {i}") for i in range(300)] + [(i, None) for i in range(50)] + [(None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("clash"))
+    sharding.write_shards(df, [1.0] * 8, f"{tmp_path}/s")
+    back = spark.read.parquet(f"{tmp_path}/s")
+    want = sharding.assign_shards(df, [1.0] * 8).groupBy("shard").count().collect()
+    assert {r["shard"]: r["count"] for r in back.groupBy("shard").count().collect()} == {r["shard"]: r["count"] for r in want}
+    assert back.where("doc_id is null").groupBy("shard").count().count() == 8
+
+
+def test_given_lengths_drop_no_row(spark):
+    df = spark.createDataFrame([(1, 0), (2, None), (None, -3), (4, 3000)], "doc_id long, n int")
+    got = packing.pack(df, length=F.col("n")).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in got) == [(0, 1), (1, 1), (2, 1), (4, 3000)]

@@ -107,17 +107,18 @@ def pack(docs: DataFrame, sizes: Sequence[int] = SIZES, length: Column | None =
     """``id, part, start, length, bin_id, bin_offset, bin_size, bin_used``: a place for every token of every row.
 
     A text longer than the largest size is cut into parts of that size and a rest; nothing is dropped.
-    Null and empty texts take one token. Ties in rank are equal items. Repeated rows are packed as
-    often as they occur; rows without an id are packed too. An empty table gives an empty result;
+    Null and empty texts take one token, and so does a given ``length`` that is null or below one. Ties in
+    rank are equal items. Repeated rows are packed as often as they occur; rows without an id are packed too. An empty table gives an empty result;
     other columns are not looked at.
     """
     most = max(sizes)
     tokens = byte_tokens(F.col("text")) if length is None else length.cast("long")
-    rows = docs.select(F.col(id_col).alias("id"), tokens.alias("tokens")).where("tokens > 0")
+    spread = F.xxhash64(id_col, *(["text"] if "text" in docs.columns else []))  # so that rows without an id are dealt out too
+    rows = docs.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(tokens, F.lit(1)), F.lit(1)).alias("tokens"), spread.alias("spread"))
     rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("tokens") - 1) / most).cast("int"))))
     start = F.col("part").cast("long") * most
-    rows = rows.select("id", "part", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("tokens") - start).alias("length"))
-    items = cut(rows.withColumn("rank_part", F.pmod(F.xxhash64("id", "part"), F.lit(RANK_PARTS)).cast("int")))
+    rows = rows.select("id", "part", "spread", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("tokens") - start).alias("length"))
+    items = cut(rows.withColumn("rank_part", F.pmod(F.xxhash64("spread", "part"), F.lit(RANK_PARTS)).cast("int")).drop("spread"))
     sums = cut(items.groupBy("length", "rank_part").count())
     counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most max(sizes) rows
     ranges = sorted(plan(counts, sizes, cost))

@@ -37,6 +37,12 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return best["s"]
 
 
+def record_key(id_col: str, text_col: str) -> Column:
+    """What decides a record's shard: its id or, without one, its text's checksum and size."""
+    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col)).otherwise(F.xxhash64(F.crc32(raw), (F.octet_length(raw) + 16).cast("long")))
+
+
 def assign_shards(docs: DataFrame, weights: Sequence[float], grown: Sequence[float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, size, text_crc32, law, shard, slot, grown_shard`` of every row; slots are gapless from 0 in each shard.
 
@@ -46,9 +52,7 @@ def assign_shards(docs: DataFrame, weights: Sequence[float], grown: Sequence[flo
     other columns are not looked at.
     """
     bytes_ = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col), (F.octet_length(bytes_) + 16).cast("long").alias("size"), F.crc32(bytes_).alias("text_crc32"))
-    key = F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col)).otherwise(F.xxhash64("text_crc32", "size"))
-    rows = rows.withColumn("key", key)
+    rows = docs.select(F.col(id_col), record_key(id_col, text_col).alias("key"), (F.octet_length(bytes_) + 16).cast("long").alias("size"), F.crc32(bytes_).alias("text_crc32"))
     rows = rows.select("*", rendezvous(F.col("key"), weights).cast("int").alias("shard"), (rendezvous(F.col("key"), grown) if grown else F.lit(None)).cast("int").alias("grown_shard"))
     rows = cut(rows.withColumn("slot_part", F.pmod(F.xxhash64("key", "text_crc32", "size"), F.lit(SLOT_PARTS)).cast("int")).drop("key"))
     before = Window.partitionBy("shard").orderBy("slot_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,9 +63,9 @@ def assign_shards(docs: DataFrame, weights: Sequence[float], grown: Sequence[flo
     return numbered.select(id_col, "size", "text_crc32", F.lit("key").alias("law"), "shard", slot, "grown_shard")
 
 
-def write_shards(docs: DataFrame, weights: Sequence[float], path: str, id_col: str = "doc_id") -> None:
+def write_shards(docs: DataFrame, weights: Sequence[float], path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the rows with all their columns as one Parquet folder for each shard (``shard=N``).
 
-    A ``shard`` column of the input is replaced. Rows without an id go to the shard that a null wins.
+    The shards are those of ``assign_shards``, for rows without an id too. A ``shard`` column of the input is replaced.
     """
-    docs.withColumn("shard", rendezvous(F.xxhash64(id_col), weights)).write.partitionBy("shard").parquet(path)
+    docs.withColumn("shard", rendezvous(record_key(id_col, text_col), weights)).write.partitionBy("shard").parquet(path)
