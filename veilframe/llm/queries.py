@@ -92,6 +92,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
+#: Every query vector with every row, in DuckDB.
+TOPK_SQL = """with v as (select vec_id, [floor(1024 * x::double) for x in embedding] as v from embeddings
+where vec_id is not null and embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+scores as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+ranked as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from scores)
+select query_id, rank, vec_id, score from ranked where rank <= 10"""
+
+#: Base 32 of a digest from its hex digits: each five bits lie in two of them.
+WARC_SQL = """with p as (select page_id, coalesce(html, '') as html, max(page_id) over (partition by coalesce(html, '')) as newest from pages),
+d as (select *, sha1(html) as h from p)
+select page_id, octet_length(encode(html))::bigint as payload_bytes,
+list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((16 * (instr('0123456789abcdef', substr(h, (1 + 5 * i // 4)::bigint, 1)) - 1) + instr('0123456789abcdef', substr(h, (2 + 5 * i // 4)::bigint, 1)) - 1) >> (3 - 5 * i % 4)::int) & 31)::bigint, 1) for i in range(32)], 'string_agg', '') as payload_digest,
+case when page_id = newest then 'response' else 'revisit' end as record_type, case when page_id <> newest then newest end as refers_to from d"""
+
 ORACLES: dict[str, str] = {
+    "op7_topk": TOPK_SQL,
+    "op10_warc": WARC_SQL,
     "op2_sharding": sharding_sql(SHARDS, sharding.SLOT_PARTS),
 }
