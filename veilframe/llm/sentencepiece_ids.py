@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Stretches kept with their ids in each Python worker, twice so many with those of the last change; letters searched and ids passed on at a time.
-CACHE, LETTERS, FLUSH = 100_000, 1 << 22, 1 << 20
+CACHE, LETTERS, FLUSH = 100_000, 1 << 22, 1 << 19
 #: Letters of a stretch that are matched with pieces at a time.
 STEPS = 1 << 14
 #: Longest stretch that is kept, and pairs of pieces kept with whether they may be neighbours.
