@@ -132,10 +132,11 @@ def test_pack_whole_texts(spark):
             assert offset == end
             end += n
         assert end == used <= size
-    whole = {r.bin_id: bytes(r.bytes) for r in packing.sequences(df, packed).collect()}
+    whole = {r.bin_id: bytes(r.tokens) for r in packing.sequences(packed).collect()}
+    assert {len(whole[r.bin_id]) == r.bin_size for r in got} == {True}
     texts = {d: (t or "").encode() + b"\0" for d, t in rows}
     for r in got:
-        assert whole[r.bin_id][r.bin_offset : r.bin_offset + r.length] == texts[r.doc_id][r.start : r.start + r.length]
+        assert whole[r.bin_id][r.bin_offset : r.bin_offset + r.length] == texts[r.doc_id][r.start : r.start + r.length] == bytes(r.tokens)
     twice = packing.pack(docs(spark, [(None, "a"), (None, "a"), (3, "a"), (3, "a")]), sizes=(16,)).collect()
     assert sorted((r.bin_id, r.bin_offset) for r in twice) == [(0, 0), (0, 2), (0, 4), (0, 6)]
 
@@ -155,3 +156,27 @@ def test_given_lengths_drop_no_row(spark):
     df = spark.createDataFrame([(1, 0), (2, None), (None, -3), (4, 3000)], "doc_id long, n int")
     got = packing.pack(df, length=F.col("n")).collect()
     assert sorted((r.doc_id or 0, r.length) for r in got) == [(0, 1), (1, 1), (2, 1), (4, 3000)]
+    assert "tokens" not in got[0]
+
+
+def test_sequences_of_texts_without_or_with_equal_ids(spark):
+    """No bytes are lost or mixed up where ids are null or repeated, or a text is many sequences long."""
+    texts = ["a", "b", None, "", "é" * 100_000, "a"]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(7, t) for t in texts], "doc_id long, text string").withColumn("tokens", F.lit("clash"))
+    packed = packing.pack(df)
+    parts = [bytes(r.tokens) for r in packed.collect()]
+    assert sorted(p for p in parts if len(p) < 16384 and p[:1] not in (b"\xc3", b"\xa9")) == sorted([(t or "").encode() + b"\0" for t in texts if t != texts[4]] * 2)
+    assert sum(map(len, parts)) == 2 * sum(len((t or "").encode()) + 1 for t in texts)
+    whole = packing.sequences(packed).collect()
+    assert sum(bytes(r.tokens).replace(b"\0", b"").__len__() for r in whole) == 2 * sum(len((t or "").encode()) for t in texts)
+
+
+def test_pack_token_ids(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.integers(1, 999, rng.integers(0, 90)).tolist()) for i in range(200)] + [(900, None), (901, [])]
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, ids array<int>"), sizes=(16, 32, 64), tokens=F.col("ids"), pad=-1)
+    whole, found = {r.bin_id: r.tokens for r in packing.sequences(packed, pad=-1).collect()}, defaultdict(list)
+    for r in packed.collect():
+        assert len(whole[r.bin_id]) == r.bin_size and whole[r.bin_id][r.bin_offset : r.bin_offset + r.length] == r.tokens
+        found[r.doc_id].append((r.start, r.tokens))
+    assert {d: [x for _, p in sorted(ps) for x in p] for d, ps in found.items()} == {d: ids or [-1] for d, ids in rows}

@@ -8,10 +8,10 @@ single items, and gives ranges of ranks within a length; each item then finds it
 from __future__ import annotations
 
 import bisect
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,54 +103,74 @@ def byte_tokens(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-def pack(docs: DataFrame, sizes: Sequence[int] = SIZES, length: Column | None = None, id_col: str = "doc_id", cost: Callable[[int], float] = default_cost) -> DataFrame:
-    """``id, part, start, length, bin_id, bin_offset, bin_size, bin_used``: a place for every token of every row.
-
-    A text longer than the largest size is cut into parts of that size and a rest; nothing is dropped.
-    Null and empty texts take one token, and so does a given ``length`` that is null or below one. Ties in
-    rank are equal items. Repeated rows are packed as often as they occur; rows without an id are packed too. An empty table gives an empty result;
-    other columns are not looked at.
+def pack(
+    docs: DataFrame,
+    sizes: Sequence[int] = SIZES,
+    length: Column | None = None,
+    id_col: str = "doc_id",
+    cost: Callable[[int], float] = default_cost,
+    tokens: Column | None = None,
+    pad: int = 0,
+) -> DataFrame:
+    """``id, part, start, length, bin_id, bin_offset, bin_size, bin_used, tokens``: a place for every token of every row, and what stands there.
+
+    ``tokens`` are the bytes of the text with a zero byte behind it, or, of a given array column ``tokens``, its ids.
+    With a given ``length`` only places are made, without that column. A text longer than the largest
+    size is cut into parts of that size and a rest; nothing is dropped. Null and empty texts take one token, and so
+    does a null or empty array, which gives ``pad``, and a given ``length`` that is null or below one. Ties in
+    rank are equal items. Repeated rows are packed as often as they occur; rows without an id are packed too. An empty
+    table gives an empty result; other columns are not looked at.
     """
-    most = max(sizes)
-    tokens = byte_tokens(F.col("text")) if length is None else length.cast("long")
+    most, no_tokens = max(sizes), F.lit(1).cast("long")
+    if length is not None:
+        count, held = length.cast("long"), F.lit(None)
+    elif tokens is not None:
+        count, held = F.size(tokens).cast("long"), tokens
+    else:
+        count, held = byte_tokens(F.col("text")), F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     spread = F.xxhash64(id_col, *(["text"] if "text" in docs.columns else []))  # so that rows without an id are dealt out too
-    rows = docs.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(tokens, F.lit(1)), F.lit(1)).alias("tokens"), spread.alias("spread"))
-    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("tokens") - 1) / most).cast("int"))))
-    start = F.col("part").cast("long") * most
-    rows = rows.select("id", "part", "spread", start.alias("start"), F.least(F.lit(most).cast("long"), F.col("tokens") - start).alias("length"))
-    items = cut(rows.withColumn("rank_part", F.pmod(F.xxhash64("spread", "part"), F.lit(RANK_PARTS)).cast("int")).drop("spread"))
+    rows = docs.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(count, no_tokens), no_tokens).alias("count"), held.alias("held"), spread.alias("spread"))
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("count") - 1) / most).cast("int"))))
+    rows = rows.withColumn("start", F.col("part").cast("long") * most).withColumn("length", F.least(F.lit(most).cast("long"), F.col("count") - F.col("start")))
+    first, n = (F.col("start") + 1).cast("int"), F.col("length").cast("int")
+    if length is not None:
+        piece = []
+    elif tokens is not None:
+        own = F.coalesce(F.slice("held", first, n), F.array().cast(T.ArrayType(T.LongType())))
+        piece = [F.concat(own, F.array_repeat(F.lit(pad), n - F.size(own))).alias("tokens")]
+    else:
+        ended = F.col("start") + F.col("length") == F.col("count")
+        piece = [F.concat(F.substring("held", first, n), F.when(ended, F.lit(b"\0")).otherwise(F.lit(b""))).alias("tokens")]
+    names = ["id", "part", "start", "length"]
+    items = cut(rows.select(*names, F.pmod(F.xxhash64("spread", "part"), F.lit(RANK_PARTS)).cast("int").alias("rank_part"), *piece))
     sums = cut(items.groupBy("length", "rank_part").count())
     counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most max(sizes) rows
     ranges = sorted(plan(counts, sizes, cost))
     table = np.array(ranges, np.int64).reshape(-1, 8)
     shared = docs.sparkSession.sparkContext.broadcast(table)  # bounded by the permitted sizes, not by the input
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = shared.value
-        keys = t[:, 0] * RANKS + t[:, 1]
-        for b in batches:
-            size, rank = b.column("length").to_numpy(), b.column("rank").to_numpy()
-            r = t[np.searchsorted(keys, size * RANKS + rank, side="right") - 1]
-            own = rank - r[:, 1]
-            cols = [r[:, 4] + own // r[:, 3], r[:, 5] + own % r[:, 3] * size, r[:, 6], r[:, 7]]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "part", "start", "length")), *map(pa.array, cols)], names=["id", "part", "start", "length", "bin_id", "bin_offset", "bin_size", "bin_used"])
+    @F.pandas_udf("bin_id long, bin_offset long, bin_size long, bin_used long")
+    def place(size: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        t, size, rank = shared.value, size.to_numpy(), rank.to_numpy()
+        r = t[np.searchsorted(t[:, 0] * RANKS + t[:, 1], size * RANKS + rank, side="right") - 1]
+        own = rank - r[:, 1]
+        return pd.DataFrame({"bin_id": r[:, 4] + own // r[:, 3], "bin_offset": r[:, 5] + own % r[:, 3] * size, "bin_size": r[:, 6], "bin_used": r[:, 7]})
 
     before = Window.partitionBy("length").orderBy("rank_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("length", "rank_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     within = Window.partitionBy("length", "rank_part").orderBy("id", "part")
     ranked = items.withColumn("no", F.row_number().over(within)).join(offsets, ["length", "rank_part"])
-    ranked = ranked.select("id", "part", "start", "length", (F.col("before") + F.col("no") - 1).cast("long").alias("rank"))
-    schema = T.StructType([ranked.schema["id"], ranked.schema["part"], *(T.StructField(c, T.LongType()) for c in ("start", "length", "bin_id", "bin_offset", "bin_size", "bin_used"))])
-    return ranked.mapInArrow(place, schema).withColumnRenamed("id", id_col)
-
-
-def sequences(docs: DataFrame, packed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``bin_id, bin_size, bytes`` of each packed sequence of byte-level tokens, for unique ids.
-
-    A zero byte ends each text and pads the sequence. No group is larger than a sequence.
-    """
-    raw = docs.select(F.col(id_col), F.concat(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), F.lit(b"\0")).alias("__raw"))
-    pieces = packed.join(raw, id_col).select("bin_id", "bin_size", "bin_used", "bin_offset", F.expr("substring(__raw, cast(start + 1 as int), cast(length as int))").alias("piece"))
-    bins = pieces.groupBy("bin_id", "bin_size", "bin_used").agg(F.sort_array(F.collect_list(F.struct("bin_offset", "piece"))).alias("pieces"))
-    joined = F.aggregate("pieces", F.lit(b""), lambda a, p: F.concat(a, p["piece"]))
-    return bins.select("bin_id", "bin_size", F.rpad(joined, F.col("bin_size").cast("int"), F.lit(b"\0")).alias("bytes"))
+    content = ["tokens"] if piece else []
+    placed = ranked.select(*names, *content, place("length", (F.col("before") + F.col("no") - 1).cast("long")).alias("at"))
+    return placed.select(F.col("id").alias(id_col), *names[1:], "at.*", *content)
+
+
+def sequences(packed: DataFrame, pad: int = 0) -> DataFrame:
+    """``bin_id, bin_size, tokens`` of each sequence of ``pack``, filled up to its size with zero bytes or with ``pad``. No group is larger than a sequence."""
+    kind = packed.schema["tokens"].dataType
+    if isinstance(kind, T.BinaryType):
+        bins = packed.groupBy("bin_id", "bin_size").agg(F.expr("listagg(tokens) within group (order by bin_offset)").alias("tokens"))
+        return bins.select("bin_id", "bin_size", F.rpad("tokens", F.col("bin_size").cast("int"), F.lit(b"\0")).alias("tokens"))
+    bins = packed.groupBy("bin_id", "bin_size", "bin_used").agg(F.sort_array(F.collect_list(F.struct("bin_offset", "tokens"))).alias("pieces"))
+    whole = F.concat(F.flatten("pieces.tokens"), F.array_repeat(F.lit(pad).cast(kind.elementType), (F.col("bin_size") - F.col("bin_used")).cast("int")))
+    return bins.select("bin_id", "bin_size", whole.alias("tokens"))
