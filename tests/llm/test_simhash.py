@@ -3,7 +3,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from veilframe.llm import simhash
+from veilframe.llm import common, simhash
 from veilframe.llm.components import connected_components
 
 
@@ -113,6 +113,26 @@ def test_long_chain(spark):
     assert got == {i: 0 for i in range(201)} | {300: 300, 301: 300}
 
 
+@pytest.mark.parametrize("least", [2, 1_000])
+def test_hubs_and_hot_keys(spark, monkeypatch, least):
+    monkeypatch.setattr(common, "HOT_ROWS", least)
+    links = [(7, i) for i in range(100, 3_100)] + [(i, i + 1) for i in range(4_000, 4_040)] + [(3_050, 4_020), (9_000, 9_001), (9_002, 9_001), (5, 5)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
+    nodes = {7, *range(100, 3_100), *range(4_000, 4_041)}
+    assert got == {n: 7 for n in nodes} | {n: 9_000 for n in (9_000, 9_001, 9_002)}
+    rows = spark.range(5_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id").cache()
+    unique = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most"))
+    found = common.with_unique(rows, unique, ["k"], "n", 5_000, F.col("id"))
+    assert sorted(found.collect()) == sorted(rows.join(unique.drop("n"), "k").select("k", "id", "most").collect())
+
+
+def test_copies_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    df = spark.createDataFrame([(None, "a b c d")] * 40 + [(i, "") for i in range(30)] + [(99, "x y z")], "doc_id long, text string")
+    got = simhash.near_duplicates(df, 3, 2).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, None, 40), *((i, 0, 1) for i in range(30)), (99, 99, 1)], key=str)
+
+
 def test_empty_and_keep_one(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty, 3, 2).count() == 0

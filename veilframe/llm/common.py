@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Keys that are sent to every task at most, and the rows that such a key has at least.
+HOT_KEYS, HOT_ROWS = 10_000, 1_000
+
+
+def with_unique(rows: DataFrame, unique: DataFrame, keys: list[str], n: str, total: int, spread: Column) -> DataFrame:
+    """``rows`` with what ``unique`` has for their key; every key of ``rows`` stands there once, with the number ``n`` of its rows.
+
+    Keys of more than one in ``HOT_KEYS`` of the ``total`` rows, so fewer than ``HOT_KEYS``, are broadcast, and
+    their rows dealt by ``spread``; only the others' rows come together by key.
+    """
+    values = [c for c in unique.columns if c not in (*keys, n)]
+    hot = unique.where(F.col(n) > max(HOT_ROWS, total // HOT_KEYS)).select(*keys, F.struct(*values).alias("__hot"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    marked = marked.withColumn("__place", F.when(F.col("__hot").isNull(), F.xxhash64(*keys)).otherwise(F.xxhash64(*keys, spread)))
+    common = unique.select(*keys, F.xxhash64(*keys).alias("__place"), F.struct(*values).alias("__common"))
+    found = marked.join(common, [*keys, "__place"], "left").withColumn("__found", F.coalesce("__hot", "__common"))
+    return found.select(*rows.columns, *[F.col(f"__found.{v}").alias(v) for v in values])
+
+
 def held_out(doc_id: str, mod: int, rest: int):
     """crc32 of the id as text, modulo ``mod``, equals ``rest``. A null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod == rest

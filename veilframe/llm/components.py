@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import cut
+from veilframe.llm.common import cut, with_unique
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -17,17 +17,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(u, v)`` of longs -> ``(node, root)`` for every node with an edge, root the smallest.
 
     Alternates large-star and small-star until the edges stand still. A vertex's smallest neighbour
-    comes from a pre-aggregated ``min`` and is joined back, so no neighbourhood is ever gathered, and
-    a hub's rows are split by the adaptive skew join. Self loops are ignored.
+    comes from a pre-aggregated ``min`` and is joined back, so no neighbourhood is ever gathered; the
+    edges of a hub are dealt to all tasks. Self loops are ignored.
     """
     e = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = _mark(e)
     while mark[0]:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both = e.select("u", "v", F.lit(0).alias("up")).union(e.select("v", "u", F.lit(1)))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.sum("up").alias("n"))
+        ups = e.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        large = with_unique(ups, low, ["u"], "n", mark[0], F.col("v")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))  # no more edges than before
+        small = with_unique(large, low, ["u"], "n", mark[0], F.col("v")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         mark, before = _mark(e), mark
         if mark == before:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe.llm.common import cut
+from veilframe.llm.common import cut, with_unique
 from veilframe.llm.components import connected_components
 
 #: A popcount vector of more fingerprints crowds its cells: they are split into chunks of about so many, and every two chunks meet.
@@ -209,13 +209,14 @@ def near_duplicates(docs: DataFrame, words: int, radius: int, limit: int | None
     """
     names = _names(parts)
     own = cut(fingerprints(docs, words, parts, id_col=id_col, text_col=text_col))
-    nodes = cut(own.groupBy(*names).agg(F.min("id").alias("first")).withColumn("node", _node(names)))
+    nodes = cut(own.groupBy(*names).agg(F.min("id").alias("first"), F.count("*").alias("n")).withColumn("node", _node(names)))
     roots = connected_components(links(nodes.select(*names), radius, radius if limit is None else limit, parts))
     linked = cut(nodes.select("node", "first").join(roots, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     classes = nodes.join(linked.join(least, ["root", "salt"]).select("node", "component_id"), "node", "left")
-    classes = classes.select(*names, F.coalesce("component_id", "first").alias("component_id"))
-    return own.join(classes, names).select(F.col("id").alias(id_col), *names, "component_id")
+    classes = classes.select(*names, "n", F.coalesce("component_id", "first").alias("component_id"))
+    found = with_unique(own, classes, names, "n", own.count(), F.monotonically_increasing_id())
+    return found.select(F.col("id").alias(id_col), *names, "component_id")
 
 
 #: Near-duplicates by 128-bit fingerprints alone: a share of 0.8 equal shingles makes a cosine of 0.89 and so 15 %
@@ -383,8 +384,8 @@ def checked_links(keyed: DataFrame, nodes: DataFrame, words: int, text_col: str)
     of about ``CROWD`` nodes or ``SHINGLES`` shingles, and all close pairs not yet joined are checked.
     """
     members = cut(nodes.select("node", "size", *_names(SET_PARTS), *[F.col(f"best.{r}").alias(r) for r in _ROW]).join(connected_components(proposed(nodes)), "node"))
-    parts = members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / CROWD, F.sum("size") / SHINGLES)).alias("chunks")).where("chunks > 1")
-    dealt = members.join(F.broadcast(parts), "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    parts = members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / CROWD, F.sum("size") / SHINGLES)).alias("chunks"), F.count("*").alias("n"))
+    dealt = with_unique(members, parts, ["root"], "n", members.count(), F.col("node"))
     kept = ["root", "chunks", "node", *_names(SET_PARTS)]
     texts = keyed.select(*_ROW, F.col(text_col).alias("text")).join(dealt, _ROW).select("text", *kept)
     sets = texts.mapInArrow(_sets(words, kept), T.StructType([*texts.schema.fields[1:], T.StructField("shingles", T.BinaryType())]))
