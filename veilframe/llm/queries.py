@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import langid, packing, quality, search, sentencepiece_ids, sharding, simhash, toxicity, warc
+from veilframe.llm import langid, merkle, packing, quality, search, sentencepiece_ids, sharding, simhash, toxicity, warc
 from veilframe.llm.common import cut, held_out, shared_dir, table
 from veilframe.llm.sharding_sql import sharding_sql
 
@@ -79,6 +79,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of all documents; of every third id's text the letters A-Z are lowered and the proof is folded from what results."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    changed = F.when(tampered, merkle.leaf(columns, {"text": lowered}))
+    made = merkle.build(docs, columns, "lang", "doc_id", f"{shared_dir(spark)}/merkle-{uuid.uuid4().hex}", {"changed": changed})
+    root = made.root().first()
+    found = merkle.proofs(made).select(F.col("row.key").alias("doc_id"), F.col("hash").alias("leaf"), "subroot", F.lit(root["root"] if root else None).cast("string").alias("root"), merkle.proof_digest(F.col("proof")).alias("proof_sha256"), merkle.fold(F.coalesce("row.changed", "hash"), F.col("proof")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
@@ -90,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
+    "op11_merkle": op11_merkle,
 }
 
 #: Every query vector with every row, in DuckDB.
@@ -109,5 +123,6 @@ case when page_id = newest then 'response' else 'revisit' end as record_type, ca
 ORACLES: dict[str, str] = {
     "op7_topk": TOPK_SQL,
     "op10_warc": WARC_SQL,
+    "op11_merkle": merkle.merkle_sql(),
     "op2_sharding": sharding_sql(SHARDS, sharding.SLOT_PARTS),
 }
