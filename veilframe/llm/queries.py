@@ -8,14 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import langid, merkle, packing, quality, search, sentencepiece_ids, sharding, simhash, toxicity, warc
+from veilframe.llm import langid, merkle, packing, quality, search, sentencepiece_ids, sharding, simhash, spelling, toxicity, warc
 from veilframe.llm.common import cut, held_out, shared_dir, table
+from veilframe.llm.crc_sql import crc32_sql
 from veilframe.llm.sharding_sql import sharding_sql
 
 SHARDS = 40
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: How much more than is safe a half of a vantage-point tree is pruned.
 ANN_FACTOR = 1.2
+#: A letter is left out of a run whose checksum this divides.
+SPOIL = 97
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +95,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), 5, 3, spoil=SPOIL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
@@ -104,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
     "op11_merkle": op11_merkle,
+    "op12_spelling": op12_spelling,
 }
 
 #: Every query vector with every row, in DuckDB.
@@ -120,7 +128,23 @@ select page_id, octet_length(encode(html))::bigint as payload_bytes,
 list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((16 * (instr('0123456789abcdef', substr(h, (1 + 5 * i // 4)::bigint, 1)) - 1) + instr('0123456789abcdef', substr(h, (2 + 5 * i // 4)::bigint, 1)) - 1) >> (3 - 5 * i % 4)::int) & 31)::bigint, 1) for i in range(32)], 'string_agg', '') as payload_digest,
 case when page_id = newest then 'response' else 'revisit' end as record_type, case when page_id <> newest then newest end as refers_to from d"""
 
+#: Words that share what is left when a letter is taken from one or both; forms are followed as far as they lead.
+SPELLING_SQL = f"""with recursive runs as (select doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as k
+from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00c0-\u00ff]+')) as r from documents) group by all),
+sums as (select *, {crc32_sql("(coalesce(doc_id::varchar, '') || ':' || run)")} as h from runs where length(run) >= 5),
+spoilt as (select case when h % {SPOIL} = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word, k from sums),
+words as (select word, sum(k)::bigint as n from spoilt where length(word) >= 5 group by word having sum(k) >= 3),
+less as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest from words, range(length(word)) as r(i)),
+pairs as (select distinct a.word, b.word as near, b.n as near_n from less a join less b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+union select less.word, words.word, words.n from less join words on words.word = rest
+union select words.word, less.word, less.n from less join words on words.word = rest),
+best as (select word, count(*) as n_near, arg_min(near, (-near_n, near)) as best, max(near_n) as best_n from pairs group by word),
+formed as (select word, n, coalesce(n_near, 0) as n_near, case when best_n >= 2 * n then best end as form, case when best_n >= 2 * n then best_n end as form_n from words left join best using (word)),
+steps as (select word, word as at from formed union all select steps.word, form from steps join formed on formed.word = steps.at where form is not null)
+select f.word, f.form, steps.at as root, f.n, f.n_near, f.form_n from formed f join steps on steps.word = f.word join formed g on g.word = steps.at and g.form is null"""
+
 ORACLES: dict[str, str] = {
+    "op12_spelling": SPELLING_SQL,
     "op7_topk": TOPK_SQL,
     "op10_warc": WARC_SQL,
     "op11_merkle": merkle.merkle_sql(),
