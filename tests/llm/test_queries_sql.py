@@ -8,7 +8,7 @@ from veilframe.llm import queries
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op7_topk", "op10_warc", "op11_merkle", "op12_spelling"])
+@pytest.mark.parametrize("name", ["op7_topk", "op10_warc", "op11_merkle", "op12_spelling", "op13_substrings"])
 def test_same_as_sql(spark, name):
     if not os.path.isdir(SF):
         pytest.skip("no test tables")

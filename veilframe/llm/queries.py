@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import langid, merkle, packing, quality, search, sentencepiece_ids, sharding, simhash, spelling, toxicity, warc
+from veilframe.llm import langid, merkle, packing, quality, search, sentencepiece_ids, sharding, simhash, spelling, substrings, toxicity, warc
 from veilframe.llm.common import cut, held_out, shared_dir, table
 from veilframe.llm.crc_sql import crc32_sql
 from veilframe.llm.sharding_sql import sharding_sql
@@ -99,6 +99,11 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), 5, 3, spoil=SPOIL))
 
 
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.drop_repeats(table(spark, sf_dir, "documents"), 13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_merkle": op11_merkle,
     "op12_spelling": op12_spelling,
+    "op13_substrings": op13_substrings,
 }
 
 #: Every query vector with every row, in DuckDB.
@@ -143,7 +149,17 @@ formed as (select word, n, coalesce(n_near, 0) as n_near, case when best_n >= 2
 steps as (select word, word as at from formed union all select steps.word, form from steps join formed on formed.word = steps.at where form is not null)
 select f.word, f.form, steps.at as root, f.n, f.n_near, f.form_n from formed f join steps on steps.word = f.word join formed g on g.word = steps.at and g.form is null"""
 
+#: Every window as a string; a row without an id counts as one of the largest.
+SUBSTRINGS_SQL = r"""with docs as (select row_number() over () as r, doc_id, coalesce(doc_id, 9223372036854775807) as d, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+windows as (select r, d, i, array_to_string(ws[i:i + 12], ' ') as w from (select r, d, ws, unnest(range(1, len(ws) - 11)) as i from docs)),
+firsts as (select w, min(d) as first from windows group by w),
+gone as (select distinct r, i + k as pos from windows join firsts using (w), range(13) as x(k) where first < d),
+words as (select r, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as pos from docs),
+kept as (select r, string_agg(word, ' ' order by pos) as t, count(*) as n from words anti join gone using (r, pos) group by r)
+select doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256 from docs left join kept using (r)"""
+
 ORACLES: dict[str, str] = {
+    "op13_substrings": SUBSTRINGS_SQL,
     "op12_spelling": SPELLING_SQL,
     "op7_topk": TOPK_SQL,
     "op10_warc": WARC_SQL,
