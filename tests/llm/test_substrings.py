@@ -69,7 +69,7 @@ def test_same_as_by_hand(spark, n, vocabulary):
     assert made(spark, rows, n) == by_hand(rows, n)
 
 
-@pytest.mark.parametrize("hot, bits, shard", [(3, 1 << 28, 50), (0, 1 << 16, 4000), (5000, 1 << 16, 7)])
+@pytest.mark.parametrize("hot, bits, shard", [(2, 1 << 28, 50), (0, 1 << 16, 4000), (5000, 1 << 16, 7)])
 def test_hot_anchors_and_full_filters(spark, monkeypatch, hot, bits, shard):
     monkeypatch.setattr(substrings, "HOT", hot)
     monkeypatch.setattr(substrings, "BLOOM_BITS", bits)

@@ -31,6 +31,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of whatever store its path names; nothing if there is none."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 #: Keys that are sent to every task at most, and the rows that such a key has at least.
 HOT_KEYS, HOT_ROWS = 10_000, 1_000
 

@@ -7,15 +7,15 @@ so none is broadcast; what can match is brought to the shard that holds it:
   document alone are sorted out by a grouped count of all of them.
 - The others are broadcast as a Bloom filter of bounded size: a full one lets more passages through and loses none.
 - A passage is what the windows of one anchor cover. Equal passages become one, with their smallest and largest
-  id, and go to the shard of their anchor, so that all windows of one anchor meet. An anchor of very many
-  documents is passed window by window instead: then equal windows have become one before they meet.
+  id, and go to the shard of their anchor, so that all windows of one anchor meet. An anchor that very many different
+  passages have is passed on window by window: there, too, equal ones become one before they meet.
 - A shard is an automaton of its passages whose states know the smallest id they occur in. Its passages stream
   through it, and the matching statistics say for each window in which document it is first.
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,15 +25,14 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import cut, with_unique
+from veilframe.llm.common import cut, remove, shared_dir, with_unique
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Words of the grams that anchors are chosen from.
 GRAM = 5
 #: Bytes of text that are looked at together.
 BYTES_AT_ONCE = 1 << 21
-#: Largest number of bits of the broadcast filters: of the anchors of two or more documents, and of those of over ``HOT`` occurrences.
-BLOOM_BITS, HOT_BITS, HOT = 1 << 28, 1 << 24, 5_000
+#: Largest number of bits of the broadcast filters: of the anchors of two or more documents, and of those of over ``HOT`` passages.
+BLOOM_BITS, HOT_BITS, HOT = 1 << 28, 1 << 24, 2_000
 #: Passages of a shard, about.
 SHARD = 4_000
 _LAST = (1 << 63) - 1
@@ -207,32 +206,32 @@ def _count_anchors(n: int):
     return run
 
 
+def _hash_of(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of the word hashes ``words[first:last]``."""
+    u, size = np.zeros(first.size, np.uint64), last - first
+    with np.errstate(over="ignore"):
+        power = np.uint64(1)
+        for j in range(int(size.max(initial=0))):
+            power *= np.uint64(0xC2B2AE3D27D4EB4F)
+            on = size > j
+            u[on] += words[first[on] + j] * power
+        return _mixed(u + size.astype(np.uint64))
+
+
 def _passages(n: int, shared: Broadcast, with_text: bool):
-    """``key, u, d, h, pos[, text]`` of all passages: the shard key, a hash of the words, the document and where the passage starts."""
+    """``key, u, d, h, pos[, text]`` of all passages: the anchor, a hash of the words, the document and where the passage starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, hot = shared.value
+        known = shared.value
         for ids, hashes, texts in _in_pieces(batches):
             words = Words(texts)
             found = anchors(words, n)
             keep = np.flatnonzero(known.has(found.hash))
             if not keep.size:
                 continue
-            often = hot.has(found.hash[keep])
-            some, many = keep[~often], keep[often]
-            each = found.high[many] - found.low[many] + 1
-            first = np.concatenate([found.low[some], np.repeat(found.low[many], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)])
-            last = np.concatenate([found.high[some] + n, first[some.size :] + n])  # the word after
-            text = np.concatenate([found.text[some], np.repeat(found.text[many], each)])
-            with np.errstate(over="ignore"):
-                powers = np.cumprod(np.full(2 * n, 0xC2B2AE3D27D4EB4F, np.uint64))
-                u, size = np.zeros(first.size, np.uint64), last - first
-                for j in range(int(size.max(initial=0))):
-                    on = size > j
-                    u[on] += found.all_words[first[on] + j] * powers[j]
-                u = _mixed(u + size.astype(np.uint64))
-                key = np.concatenate([found.hash[some], _mixed(u[some.size :] + np.uint64(1))])
-            cols = [pa.array(key.view(np.int64)), pa.array(u.view(np.int64)), pa.array(np.array(ids, np.int64)[text]), pa.array(np.array(hashes, np.int64)[text]), pa.array((first - words.first[text]).astype(np.int32))]
+            first, last, text = found.low[keep], found.high[keep] + n, found.text[keep]
+            u = _hash_of(found.all_words, first, last)
+            cols = [pa.array(found.hash[keep].view(np.int64)), pa.array(u.view(np.int64)), pa.array(np.array(ids, np.int64)[text]), pa.array(np.array(hashes, np.int64)[text]), pa.array((first - words.first[text]).astype(np.int32))]
             names = ["key", "u", "d", "h", "pos"]
             if with_text:
                 raw = words.buffer.tobytes()
@@ -243,6 +242,32 @@ def _passages(n: int, shared: Broadcast, with_text: bool):
     return run
 
 
+def _windows(n: int, hot: Broadcast, inside: bool):
+    """Of passages ``key, u, low, high, n, text`` those whose anchor is not hot, or the windows of the others: ``key, u, at, low, high, n, wkey, wu, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            some = hot.value.has(b.column("key").to_numpy().view(np.uint64))
+            b = b.filter(pa.array(some if inside else ~some))
+            if not inside:
+                yield b
+                continue
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                words = Words(part.column("text").to_pylist())
+                sizes = np.diff(words.first) - n + 1
+                row = np.repeat(np.arange(part.num_rows), sizes)
+                place = np.arange(row.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                first = words.first[row] + place
+                wu, raw = _hash_of(words.hashes(), first, first + n), words.buffer.tobytes()
+                text = pa.array([raw[x:y] for x, y in zip(words.at[first].tolist(), (words.at[first + n] - 1).tolist())], pa.binary())
+                own = [part.column(c).take(pa.array(row)) for c in ("key", "u", "low", "high", "n")]
+                keys = [pa.array(x.view(np.int64)) for x in (_mixed(wu), wu)]
+                yield pa.RecordBatch.from_arrays([*own[:2], pa.array(place.astype(np.int32)), *own[2:], *keys, text], names=["key", "u", "at", "low", "high", "n", "wkey", "wu", "text"])
+
+    return run
+
+
 class SuffixAutomaton:
     """Of several word sequences; each state knows the smallest id of a sequence that it occurs in, once ``finish`` is called."""
 
@@ -330,20 +355,39 @@ def _match(n: int):
     return run
 
 
+HITS = "array<struct<at: int, first: long>>"
+
+
 def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
     """``d, h, starts`` of ``docs(d, h, text)`` with windows that a smaller d has too; ``starts`` holds lists of their first words."""
     spark = docs.sparkSession
     shared = docs.mapInArrow(_count_anchors(n), "a long, low long, high long, n long").groupBy("a").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     shared = cut(shared.where("low < high").select("a", "n"))
-    count, total, many = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > HOT)).first()
-    filters = spark.sparkContext.broadcast((bloom(shared, count, BLOOM_BITS), bloom(shared.where(F.col("n") > HOT), many, HOT_BITS)))  # BLOOM_BITS and HOT_BITS at most
-    rows = "key long, u long, d long, h long, pos int"
-    found = docs.mapInArrow(_passages(n, filters, True), f"{rows}, text binary").groupBy("key", "u", "text").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n"))
+    count, total = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    known = spark.sparkContext.broadcast(bloom(shared, count, BLOOM_BITS))  # BLOOM_BITS at most
+    rows, kind = "key long, u long, d long, h long, pos int", "key long, u long, text binary, low long, high long, n long"
+    sums = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")]
+    found = docs.mapInArrow(_passages(n, known, True), f"{rows}, text binary").groupBy("key", "u", "text").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n"))
+    path = f"{shared_dir(spark)}/passages-{uuid.uuid4().hex}"
+    found.write.parquet(path)
+    found = spark.read.parquet(path)
+    crowd = cut(found.groupBy(F.col("key").alias("a")).agg(F.count("*").alias("n")).where(F.col("n") > HOT))
+    hot = spark.sparkContext.broadcast(bloom(crowd, crowd.count(), HOT_BITS))  # HOT_BITS at most
+    cool = found.select("key", "u", "text", "low", "high", "n").mapInArrow(_windows(n, hot, False), kind)
+    each = found.select("key", "u", "low", "high", "n", "text").mapInArrow(_windows(n, hot, True), "key long, u long, at int, low long, high long, n long, wkey long, wu long, text binary")
+    one = each.select(F.col("wkey").alias("key"), F.col("wu").alias("u"), "text", "low", "high", "n").groupBy("key", "u", "text").agg(*sums)
     shards = max(1, -(-total // SHARD))
-    hits = cut(found.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard").applyInArrow(_match(n), "key long, u long, n long, hits array<struct<at: int, first: long>>"))
-    # a passage of two texts with one hash would stand here twice
+    grouped = cool.unionByName(one).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    hits = cut(grouped.groupBy("shard").applyInArrow(_match(n), f"key long, u long, n long, hits {HITS}"))
+    # passages of one hash but different words would stand here twice
     hits = hits.groupBy("key", "u").agg(F.sum("n").alias("n"), F.flatten(F.collect_list("hits")).alias("hits"))
-    placed = with_unique(docs.mapInArrow(_passages(n, filters, False), rows), hits, ["key", "u"], "n", total, F.col("h"))
+    if crowd.head():
+        ours = with_unique(each.select("key", "u", "at", "n", "wkey", "wu").withColumnRenamed("n", "__n"), hits.select(F.col("key").alias("wkey"), F.col("u").alias("wu"), "n", "hits"), ["wkey", "wu"], "n", total, F.col("u"))
+        ours = ours.where("hits is not null").select("key", "u", F.col("__n").alias("n"), F.explode("hits").alias("x"), "at")
+        back = ours.groupBy("key", "u").agg(F.max("n").alias("n"), F.collect_list(F.struct("at", F.col("x.first").alias("first"))).alias("hits"))
+        hits = cut(hits.unionByName(back))  # the windows' own hits meet no passage
+    remove(spark, path)
+    placed = with_unique(docs.mapInArrow(_passages(n, known, False), rows), hits, ["key", "u"], "n", total, F.col("h"))
     earlier = F.transform(F.filter("hits", lambda x: x["first"] < F.col("d")), lambda x: x["at"] + F.col("pos"))
     return placed.select("d", "h", earlier.alias("starts")).where(F.size("starts") > 0).groupBy("d", "h").agg(F.collect_set("starts").alias("starts"))
 
@@ -377,7 +421,7 @@ def drop_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text_col:
         for b in batches:
             made = []
             for text, own in zip(b.column(1), b.column(2).to_pylist()):
-                words, spans, kept, at = WORD.findall(text.as_buffer()), _covered(own, n), [], 0
+                words, spans, kept, at = text.as_buffer().to_pybytes().split(), _covered(own, n), [], 0
                 for x, y in spans:
                     kept += words[at:x]
                     at = y
