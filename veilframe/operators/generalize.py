@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from veilframe.errors import PipelineError
 from veilframe.functions.values import number
+from veilframe.operators import membership
 from veilframe.operators.hierarchy import ANY, Hierarchy, base_name, hierarchy_of
 from veilframe.operators.histogram import Qi, source_column
+from veilframe.shared import cut
 
 
 def numeric_label(c: Column, low: float, step: int) -> Column:
@@ -41,22 +43,50 @@ def generalized(df: DataFrame, qis: Sequence[Qi], node: Sequence[int], own: Mapp
     return df.withColumns(changed)
 
 
-def suppressed(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+def class_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns, n``: the rows of each class, summed before the shuffle."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def starred(df: DataFrame, columns: Sequence[str], small: Column) -> DataFrame:
+    return df.withColumns({c: F.when(small, F.lit(ANY)).otherwise(F.col(c)) for c in df.columns if c in columns})
+
+
+#: Small classes that are sent to every task as they are; more are told by a cascade of filters.
+FEW = 10_000
+
+
+def suppressed(df: DataFrame, columns: Sequence[str], k: int, counts: DataFrame | None = None) -> DataFrame:
     """The frame with ``*`` in ``columns`` for rows whose class, over the whole frame, is smaller than ``k``.
 
-    Only the small classes are joined back, so hot classes meet nothing; rows and other columns stay.
+    ``counts``: ``class_counts`` of the frame where they are known. Rows are not shuffled: a few small classes are broadcast, more are told
+    from filters over all classes. Only if those outgrow their bound do the rows they leave undecided meet the classes in a join.
     """
     if k <= 1 or not columns:
         return df
-    small = df.groupBy(*columns).agg(F.count("*").alias("__n")).where(F.col("__n") < k)
-    small = small.select(*[F.col(c).alias(f"__q{i}") for i, c in enumerate(columns)], F.lit(True).alias("__small"))
-    match = reduce(lambda a, b: a & b, [df[c].eqNullSafe(F.col(f"__q{i}")) for i, c in enumerate(columns)])
-    joined = df.join(small, match, "left")
-    return joined.select(*[F.when(F.col("__small"), F.lit(ANY)).otherwise(df[c]).alias(c) if c in columns else df[c] for c in df.columns])
+    counts = cut(class_counts(df, columns) if counts is None else counts)
+    small = counts.where(F.col("n") < k)
+    few = small.limit(FEW + 1).count()
+    if not few:
+        return df
+    named = small.select(*[F.col(c).alias(f"__q{i}") for i, c in enumerate(columns)], F.lit(True).alias("__small"))
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__q{i}")) for i, c in enumerate(columns)])
+
+    def joined(rows: DataFrame, classes: DataFrame) -> DataFrame:
+        return starred(rows.join(classes, match, "left"), columns, F.col("__small")).select(*df.columns)
+
+    if few <= FEW:
+        return joined(df, F.broadcast(named))
+    told = membership.cascade(cut(counts.select(membership.key_hash([F.col(c) for c in columns]).alias("h"), (F.col("n") < k).alias("member"))))
+    marked = df.withColumn("__in", told.has(membership.key_hash([F.col(c) for c in columns])))
+    if told.complete:
+        return starred(marked, columns, F.col("__in")).select(*df.columns)
+    sure = starred(marked.where("__in is not null"), columns, F.col("__in")).select(*df.columns)
+    return sure.unionByName(joined(marked.where("__in is null"), named))
 
 
 def class_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``size, classes, starred`` of a finished frame: how many classes have each size, and whether they are the suppressed one."""
-    starred = reduce(lambda a, b: a & b, [F.col(c) == ANY for c in columns])
+    stars = reduce(lambda a, b: a & b, [F.col(c) == ANY for c in columns])
     sizes = df.groupBy(*columns).agg(F.count("*").alias("size"))
-    return sizes.groupBy("size", F.coalesce(starred, F.lit(False)).alias("starred")).agg(F.count("*").alias("classes"))
+    return sizes.groupBy("size", F.coalesce(stars, F.lit(False)).alias("starred")).agg(F.count("*").alias("classes"))

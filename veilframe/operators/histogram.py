@@ -56,35 +56,36 @@ def bin_column(n: Column, low: float, width: int) -> Column:
     return F.when(n.isNotNull(), F.greatest(F.floor((n - F.lit(low)) / width), F.lit(0))).cast("long")
 
 
-def binned(df: DataFrame, qis: Sequence[Qi], widths: Sequence[int] | None = None) -> DataFrame:
-    """``i0, i1, ...``: the bucket of each number, the trimmed text of each category, null for neither.
+def cells(df: DataFrame, qis: Sequence[Qi], widths: Sequence[int] | None = None) -> DataFrame:
+    """``i0, i1, ..., n``: the bucket of each number and the text of each category as it stands, null for neither, with the rows of each cell.
 
-    Each cell is parsed once, in a projection of its own.
+    One pass over the rows, each cell parsed once in a projection of its own, with counts summed before the shuffle, so hot buckets cost one row a task.
     """
     widths = widths or [1] * len(qis)
     cols = [F.col(source_column(df, q.name)) for q in qis]
-    read = df.select(*[(trimmed(c.cast("string")) if q.categorical else number(c)).alias(f"i{n}") for n, (c, q) in enumerate(zip(cols, qis))])
-    return read.select(*[F.col(f"i{n}") if q.categorical else bin_column(F.col(f"i{n}"), q.low or 0.0, w).alias(f"i{n}") for n, (q, w) in enumerate(zip(qis, widths))])
-
+    read = df.select(*[(c.cast("string") if q.categorical else number(c)).alias(f"i{n}") for n, (c, q) in enumerate(zip(cols, qis))])
+    keys = [f"i{n}" for n in range(len(qis))]
+    read = read.select(*[F.col(k) if q.categorical else bin_column(F.col(k), q.low or 0.0, w).alias(k) for k, q, w in zip(keys, qis, widths)])
+    return read.groupBy(*keys).agg(F.count("*").alias("n"))
 
-def histogram(df: DataFrame, qis: Sequence[Qi], widths: Sequence[int] | None = None) -> DataFrame:
-    """``i0, i1, ..., cnt`` of the rows that have all quasi-identifiers.
 
-    One pass over the rows, with counts summed before the shuffle, so hot buckets cost one row a task.
-    Rows that lack one are counted as zero instead of filtered out, which would parse each cell again.
-    Categories become their place in the domain after the sum: with categories, that sum is checkpointed.
-    """
+def indexed(found: DataFrame, qis: Sequence[Qi]) -> DataFrame:
+    """``i0, i1, ..., cnt`` of the ``cells`` that have all quasi-identifiers; categories become their place in the domain."""
     keys = [f"i{n}" for n in range(len(qis))]
-    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    sums = binned(df, qis, widths).groupBy(*keys).agg(F.count(F.when(whole, 1)).alias("cnt"))
     named = [k for k, q in zip(keys, qis) if q.categorical]
-    if named:
-        sums = cut(sums)
-    out = sums.where("cnt > 0")
-    for k in named:
-        values = numbered(sums.where(F.col(k).isNotNull()).select(k).distinct(), [k], "__idx", 0)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    out = found.withColumns({k: trimmed(F.col(k)) for k in named}) if named else found
+    domains = {k: numbered(out.where(F.col(k).isNotNull()).select(k).distinct(), [k], "__idx", 0) for k in named}
+    out = out.where(whole)
+    for k, values in domains.items():
         out = out.join(values, k).withColumn(k, F.col("__idx").cast("long")).drop("__idx")
-    return out.select(*keys, "cnt")
+    return (out.groupBy(*keys).agg(F.sum("n").alias("cnt")) if named else out.withColumnRenamed("n", "cnt")).select(*keys, "cnt")
+
+
+def histogram(df: DataFrame, qis: Sequence[Qi], widths: Sequence[int] | None = None) -> DataFrame:
+    """``i0, i1, ..., cnt`` of the rows that have all quasi-identifiers. With categories, the cells are checkpointed before these are numbered."""
+    found = cells(df, qis, widths)
+    return indexed(cut(found) if any(q.categorical for q in qis) else found, qis)
 
 
 #: Of a quasi-identifier by its number: the class of each index at level 1, 2, ...

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,6 +14,7 @@ from veilframe.operators import generalize, histogram
 from veilframe.operators.hierarchy import Hierarchy, hierarchy_of
 from veilframe.operators.histogram import Qi, domain, source_column
 from veilframe.plans import lattice
+from veilframe.plans.rollup import AT_ONCE, Rollup
 
 
 def quasi_identifiers(df: DataFrame, cfg: Config) -> list[Qi]:
@@ -48,8 +49,26 @@ class Model:
         return generalize.generalized(df, self.qis, self.node, self.own)
 
     def transform(self, df: DataFrame) -> DataFrame:
+        return self._suppressed(df, None)
+
+    def _suppressed(self, df: DataFrame, counts: DataFrame | None) -> DataFrame:
         out = self.generalize(df)
-        return generalize.suppressed(out, [source_column(df, q.name) for q in self.qis], self.cfg.k)
+        return generalize.suppressed(out, [source_column(df, q.name) for q in self.qis], self.cfg.k, counts)
+
+
+def label_counts(model: Model, df: DataFrame, cells: DataFrame, widths: Sequence[int]) -> DataFrame | None:
+    """The class counts of ``df``, generalized by ``model``, from its ``cells`` at ``widths``; None where labels do not follow from them.
+
+    A number's label follows from its bucket if the column holds whole numbers and the bucket lies within one label; a
+    category's always, as cells keep its text.
+    """
+    columns = [source_column(df, q.name) for q in model.qis]
+    whole = all(q.categorical or df.schema[c].dataType.typeName() in ("byte", "short", "integer", "long") for q, c in zip(model.qis, columns))
+    if not whole or len(set(columns)) < len(columns) or any(step % w for q, step, w in zip(model.qis, model.node, widths) if not q.categorical):
+        return None
+    back = [F.col(f"i{n}") if q.categorical else F.lit(int(q.low or 0)) + F.col(f"i{n}") * w for n, (q, w) in enumerate(zip(model.qis, widths))]
+    texts = cells.select(*[b.alias(c) for b, c in zip(back, columns)], "n")
+    return model.generalize(texts).groupBy(*columns).agg(F.sum("n").alias("n"))
 
 
 class Anonymizer:
@@ -71,24 +90,41 @@ class Anonymizer:
         return out
 
     def fit(self, df: DataFrame) -> Model:
-        """One job for the spans of numeric columns, one for the histogram, one for each level of the lattice that the walk visits."""
+        """One job for the spans of numeric columns, one for the cells, one for each level of the lattice that the walk visits."""
+        return self._fit(df)[0]
+
+    def fit_transform(self, df: DataFrame) -> tuple[Model, DataFrame]:
+        """The model and ``df`` transformed; where labels follow from the cells, classes are not counted over the rows again."""
+        model, cells, unit = self._fit(df)
+        return model, model._suppressed(df, label_counts(model, df, cells, unit))
+
+    def _fit(self, df: DataFrame) -> tuple[Model, DataFrame, list[int]]:
         cfg = self.cfg
         qis = quasi_identifiers(df, cfg)
         initial = lattice.first_widths(qis, cfg.size, cfg.max_equivalence_classes, self.own)
         unit = [1 if q.categorical else w for q, w in zip(qis, initial)]  # indices are in units of the first widths
-        hist = histogram.kept(histogram.histogram(df, qis, unit))
-        total = hist.agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]
+        cells = histogram.kept(histogram.cells(df, qis, unit))
+        hist = histogram.indexed(cells, qis)
+        hist = histogram.kept(hist) if any(q.categorical for q in qis) else hist
+        most = [F.coalesce(F.max(f"i{n}"), F.lit(0)).alias(f"m{n}") for n in range(len(qis))]
+        total, count, *last = hist.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total"), F.count("*").alias("count"), *most).first()
         lattice.check(cfg.k, cfg.suppression_limit, total)
         grid = lattice.levels(qis, initial, cfg.size, self.own)
-        classes = self._classes(df, qis)
         scaled = lambda node: tuple(max(1, f // u) for f, u in zip(node, unit))
-        scores: dict[lattice.Node, tuple[int, int, int]] = {}
+        rollup = Rollup(hist, count, [m + 1 for m in last], cfg.k, self._classes(df, qis), [scaled(n) for n in grid[1]] if len(grid) > 1 else [])
 
-        def ahead(nodes: list[lattice.Node]) -> None:
-            if todo := {scaled(n): n for n in nodes if n not in scores}:
-                found = {tuple(r["node"]): (r["suppressed"], r["dm_star"], r["classes"]) for r in histogram.score_nodes(hist, list(todo), cfg.k, classes).collect()}
-                scores.update({n: found[scaled(n)] for n in nodes if n not in scores})
+        def score(node: lattice.Node) -> tuple[int, int, int]:
+            return rollup.score([scaled(node)])[scaled(node)]
 
-        found = lattice.search(grid, scores.__getitem__, cfg.k, cfg.suppression_limit, total, cfg.exhaustive, ahead=ahead)
-        sizes = histogram.class_sizes(hist, scaled(found.best.node), cfg.k, classes).orderBy("size").collect()
-        return Model(cfg, tuple(qis), initial, found, int(total), {r["size"]: r["classes"] for r in sizes}, self.own)
+        def ahead(nodes: list[lattice.Node]) -> None:
+            middle = len(nodes) // 2  # the one that is asked for; the next ones are beside it
+            near = sorted(range(len(nodes)), key=lambda i: abs(i - middle))[:AT_ONCE]
+            if scaled(nodes[middle]) not in rollup.scores:
+                rollup.score([scaled(nodes[i]) for i in near])
+
+        try:
+            found = lattice.search(grid, score, cfg.k, cfg.suppression_limit, total, cfg.exhaustive, ahead=ahead)
+            sizes = rollup.class_sizes(scaled(found.best.node)).orderBy("size").collect()
+        finally:
+            rollup.close()
+        return Model(cfg, tuple(qis), initial, found, int(total), {r["size"]: r["classes"] for r in sizes}, self.own), cells, unit

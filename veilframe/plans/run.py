@@ -96,11 +96,10 @@ def run(spark: SparkSession, root: str | Path, single_file: bool = False, json_v
     log.info("[preprocess] done")
     # salts and random letters must be the same for search and output, and the CSV is parsed once
     df = cut(df)
-    model = Anonymizer(cfg).fit(df)
+    model, result = Anonymizer(cfg).fit_transform(df)
     best = model.found.best
     log.info("[search] best node %s of %d evaluated", list(best.node), len(model.found.evaluated))
     target = Path(cfg.output_path) if Path(cfg.output_path).is_absolute() else out / cfg.output_path
-    result = model.transform(df)
     tables.write_csv(result, target, single_file)
     stats = {str(size): n for size, n in sorted(model.class_sizes.items())}
     top = [s.payload() for s in model.found.top]

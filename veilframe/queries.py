@@ -507,7 +507,7 @@ final as (select l_orderkey, case when n < 15 then '*' else l_quantity end as l_
 @query(f"{_LABELS} select * from final")
 def q_k_anonymize_full(spark, sf_dir):
     df = _lines(spark, sf_dir)
-    return Anonymizer(_LINES).fit(df).transform(df)
+    return Anonymizer(_LINES).fit_transform(df)[1]
 
 
 @query(f"{_LABELS}, sizes as (select count(*) as size, (l_quantity = '*' and l_linenumber = '*' and gender = '*') as starred from final group by l_quantity, l_linenumber, gender) select size, starred, count(*) as classes from sizes group by 1, 2")
