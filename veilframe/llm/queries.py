@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import langid, merkle, packing, quality, search, sentencepiece_ids, sharding, simhash, spelling, substrings, toxicity, warc
@@ -58,10 +58,20 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", F.transform("embedding", lambda x: x.cast("double") + 0.0).alias("v"))
 
 
+def _floor(x: Column) -> Column:
+    """The whole number below 1024 x as a double; from 2^53 on a double is one, and the largest stand for what lies beyond them."""
+    most = 1.7976931348623157e308
+    scaled = F.greatest(F.least(1024 * x, F.lit(most)), F.lit(-most))
+    return F.when(F.abs(scaled) < 2.0**53, F.floor(F.when(F.abs(scaled) < 2.0**53, scaled)).cast("double")).otherwise(scaled)
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = vectors(spark, sf_dir).select("vec_id", F.transform("v", lambda x: F.floor(1024 * x).cast("double")).alias("v"))
+    """Scores that no long holds are given as the nearest one that does."""
+    whole = vectors(spark, sf_dir).select("vec_id", F.transform("v", _floor).alias("v"))
     found = search.exact_top_k(whole, F.col("vec_id") % 100 == 0, 10)
-    return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+    most = (1 << 63) - 1
+    score = F.when(F.col("score") >= 2.0**63, F.lit(most)).when(F.col("score") <= -(2.0**63), F.lit(-most - 1)).otherwise(F.col("score").try_cast("long"))
+    return found.select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Every query vector with every row, in DuckDB.
-TOPK_SQL = """with v as (select vec_id, [floor(1024 * x::double) for x in embedding] as v from embeddings
+TOPK_SQL = """with v as (select distinct vec_id, [floor(1024 * x::double) for x in embedding] as v from embeddings
 where vec_id is not null and embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
 scores as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
 ranked as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from scores)
