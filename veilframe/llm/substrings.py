@@ -15,6 +15,7 @@ so none is broadcast; what can match is brought to the shard that holds it:
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,8 +32,8 @@ from veilframe.llm.common import cut, remove, shared_dir, with_unique
 GRAM = 5
 #: Bytes of text that are looked at together.
 BYTES_AT_ONCE = 1 << 21
-#: Largest number of bits of the broadcast filters: of the anchors of two or more documents, and of those of over ``HOT`` passages.
-BLOOM_BITS, HOT_BITS, HOT = 1 << 28, 1 << 24, 2_000
+#: Largest number of bits of the broadcast filter, and different passages of an anchor that meet as they are.
+BLOOM_BITS, HOT = 1 << 28, 2_000
 #: Passages of a shard, about.
 SHARD = 4_000
 _LAST = (1 << 63) - 1
@@ -242,16 +243,11 @@ def _passages(n: int, shared: Broadcast, with_text: bool):
     return run
 
 
-def _windows(n: int, hot: Broadcast, inside: bool):
-    """Of passages ``key, u, low, high, n, text`` those whose anchor is not hot, or the windows of the others: ``key, u, at, low, high, n, wkey, wu, text``."""
+def _windows(n: int):
+    """The windows of passages ``key, u, low, high, n, text``: ``key, u, at, low, high, n, wkey, wu, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            some = hot.value.has(b.column("key").to_numpy().view(np.uint64))
-            b = b.filter(pa.array(some if inside else ~some))
-            if not inside:
-                yield b
-                continue
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
                 words = Words(part.column("text").to_pylist())
@@ -292,51 +288,66 @@ class SuffixAutomaton:
         return new
 
     def add(self, words: list[int], doc: int) -> None:
-        at = 0
+        nexts, link, length, first, at = self.next, self.link, self.length, self.first, 0
         for c in words:
-            q = self.next[at].get(c)
+            q = nexts[at].get(c)
             if q is not None:
-                at = q if self.length[q] == self.length[at] + 1 else self._clone(at, c, q)
+                at = q if length[q] == length[at] + 1 else self._clone(at, c, q)
             else:
-                new, p = self._state(self.length[at] + 1, 0, {}), at
-                while p >= 0 and c not in self.next[p]:
-                    self.next[p][c] = new
-                    p = self.link[p]
+                new, p = len(link), at
+                nexts.append({})
+                link.append(0)
+                length.append(length[at] + 1)
+                first.append(_LAST)
+                while p >= 0 and c not in nexts[p]:
+                    nexts[p][c] = new
+                    p = link[p]
                 if p >= 0:
-                    q = self.next[p][c]
-                    self.link[new] = q if self.length[q] == self.length[p] + 1 else self._clone(p, c, q)
+                    q = nexts[p][c]
+                    link[new] = q if length[q] == length[p] + 1 else self._clone(p, c, q)
                 at = new
-            if doc < self.first[at]:
-                self.first[at] = doc
+            if doc < first[at]:
+                first[at] = doc
 
     def finish(self) -> None:
-        for s in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
-            if self.first[s] < self.first[self.link[s]]:
-                self.first[self.link[s]] = self.first[s]
+        link, first = self.link, self.first
+        for s in np.argsort(-np.array(self.length), kind="stable")[:-1].tolist():
+            if first[s] < first[link[s]]:
+                first[link[s]] = first[s]
 
     def statistics(self, words: list[int]) -> Iterator[tuple[int, int]]:
         """At each word the length of the longest match that ends there, and its state."""
-        at = size = 0
+        nexts, at, size = self.next, 0, 0
         for c in words:
-            while at and c not in self.next[at]:
+            to = nexts[at].get(c)
+            while to is None and at:
                 at = self.link[at]
                 size = self.length[at]
-            if c in self.next[at]:
-                at = self.next[at][c]
+                to = nexts[at].get(c)
+            if to is not None:
+                at = to
                 size += 1
             yield size, at
 
     def first_of(self, words: list[int], n: int) -> Iterator[tuple[int, int]]:
         """Where a window of ``n`` words starts that occurs here, and the smallest id it occurs in."""
-        for end, (size, state) in enumerate(self.statistics(words)):
+        link, length = self.link, self.length
+        for end, (size, state) in enumerate(self.statistics(words), 1 - n):
             if size >= n:
-                while self.length[self.link[state]] >= n:
-                    state = self.link[state]
-                yield end - n + 1, self.first[state]
+                while length[link[state]] >= n:
+                    state = link[state]
+                yield end, self.first[state]
 
 
 def _match(n: int):
     def run(group: pa.Table) -> pa.Table:
+        gc.disable()  # nothing here refers to itself, and a sweep visits all states
+        try:
+            return match(group)
+        finally:
+            gc.enable()
+
+    def match(group: pa.Table) -> pa.Table:
         ids: dict[bytes, int] = {}
         automaton = SuffixAutomaton()
         passages = [[ids.setdefault(w, len(ids)) for w in t.split(b" ")] for t in group.column("text").to_pylist()]
@@ -365,16 +376,15 @@ def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
     shared = cut(shared.where("low < high").select("a", "n"))
     count, total = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     known = spark.sparkContext.broadcast(bloom(shared, count, BLOOM_BITS))  # BLOOM_BITS at most
-    rows, kind = "key long, u long, d long, h long, pos int", "key long, u long, text binary, low long, high long, n long"
+    rows = "key long, u long, d long, h long, pos int"
     sums = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")]
     found = docs.mapInArrow(_passages(n, known, True), f"{rows}, text binary").groupBy("key", "u", "text").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n"))
     path = f"{shared_dir(spark)}/passages-{uuid.uuid4().hex}"
     found.write.parquet(path)
     found = spark.read.parquet(path)
-    crowd = cut(found.groupBy(F.col("key").alias("a")).agg(F.count("*").alias("n")).where(F.col("n") > HOT))
-    hot = spark.sparkContext.broadcast(bloom(crowd, crowd.count(), HOT_BITS))  # HOT_BITS at most
-    cool = found.select("key", "u", "text", "low", "high", "n").mapInArrow(_windows(n, hot, False), kind)
-    each = found.select("key", "u", "low", "high", "n", "text").mapInArrow(_windows(n, hot, True), "key long, u long, at int, low long, high long, n long, wkey long, wu long, text binary")
+    crowd = cut(found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"))
+    cool = found.join(crowd, "key", "left_anti").select("key", "u", "text", "low", "high", "n")
+    each = found.join(crowd, "key", "left_semi").select("key", "u", "low", "high", "n", "text").mapInArrow(_windows(n), "key long, u long, at int, low long, high long, n long, wkey long, wu long, text binary")
     one = each.select(F.col("wkey").alias("key"), F.col("wu").alias("u"), "text", "low", "high", "n").groupBy("key", "u", "text").agg(*sums)
     shards = max(1, -(-total // SHARD))
     grouped = cool.unionByName(one).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
