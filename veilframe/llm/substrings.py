@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import cut, remove, shared_dir, with_unique
+from veilframe.llm.common import HOT_KEYS, cut, remove, shared_dir, with_unique
 
 #: Words of the grams that anchors are chosen from.
 GRAM = 5
@@ -383,15 +383,17 @@ def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
     found.write.parquet(path)
     found = spark.read.parquet(path)
     crowd = cut(found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"))
-    cool = found.join(crowd, "key", "left_anti").select("key", "u", "text", "low", "high", "n")
-    each = found.join(crowd, "key", "left_semi").select("key", "u", "low", "high", "n", "text").mapInArrow(_windows(n), "key long, u long, at int, low long, high long, n long, wkey long, wu long, text binary")
+    many = crowd.count()
+    near = F.broadcast(crowd) if many <= HOT_KEYS else crowd
+    cool = found.join(near, "key", "left_anti").select("key", "u", "text", "low", "high", "n")
+    each = found.join(near, "key", "left_semi").select("key", "u", "low", "high", "n", "text").mapInArrow(_windows(n), "key long, u long, at int, low long, high long, n long, wkey long, wu long, text binary")
     one = each.select(F.col("wkey").alias("key"), F.col("wu").alias("u"), "text", "low", "high", "n").groupBy("key", "u", "text").agg(*sums)
     shards = max(1, -(-total // SHARD))
     grouped = cool.unionByName(one).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     hits = cut(grouped.groupBy("shard").applyInArrow(_match(n), f"key long, u long, n long, hits {HITS}"))
     # passages of one hash but different words would stand here twice
     hits = hits.groupBy("key", "u").agg(F.sum("n").alias("n"), F.flatten(F.collect_list("hits")).alias("hits"))
-    if crowd.head():
+    if many:
         ours = with_unique(each.select("key", "u", "at", "n", "wkey", "wu").withColumnRenamed("n", "__n"), hits.select(F.col("key").alias("wkey"), F.col("u").alias("wu"), "n", "hits"), ["wkey", "wu"], "n", total, F.col("u"))
         ours = ours.where("hits is not null").select("key", "u", F.col("__n").alias("n"), F.explode("hits").alias("x"), "at")
         back = ours.groupBy("key", "u").agg(F.max("n").alias("n"), F.collect_list(F.struct("at", F.col("x.first").alias("first"))).alias("hits"))
