@@ -140,53 +140,184 @@ def xor_decrypt(value: str, master: str, column: str) -> str:
     return bytes(a ^ b for a, b in zip(raw, _keystream(master, column, blocks))).decode()
 
 
-def _column(c: Column, change: Callable[[str], str]) -> Column:
-    """Each different text of a batch is changed once."""
+def _texts(values: np.ndarray, alphabet: str) -> list[str]:
+    """Lines of places in the alphabet as texts."""
+    letters = np.array(list(alphabet))
+    return letters[values].view(f"<U{values.shape[1]}")[:, 0].tolist() if values.size else [""] * len(values)
+
+
+def _places(texts: list[str], alphabet: str) -> np.ndarray:
+    """Texts of one length, of the letters of an alphabet that is a run of code points, as lines of places in it."""
+    return np.array(texts).view(np.uint32).reshape(len(texts), -1) - ord(alphabet[0])
+
+
+def _round(key: bytes, radix: int, no: int, other: np.ndarray, n: int) -> np.ndarray:
+    """The digits of a round for each line: worked out once for each different half, then gathered."""
+    if not n or not other.shape[1]:
+        return np.tile(np.array(_digits(key, radix, no, (), n), np.int64), (len(other), 1))
+    if other.shape[1] * math.log2(radix) < 62:
+        code = other @ (radix ** np.arange(other.shape[1], dtype=np.int64))
+        _, first, at = np.unique(code, return_index=True, return_inverse=True)
+    else:
+        _, first, at = np.unique(other, axis=0, return_index=True, return_inverse=True)
+    table = np.array([_digits(key, radix, no, tuple(x), n) for x in other[first].tolist()], np.int64)
+    return table[at.reshape(-1)]
+
+
+def fpe_batch(key: bytes, texts: list[str], alphabet: str, decrypt: bool = False) -> list[str]:
+    """``fpe_encrypt`` or ``fpe_decrypt`` of texts of one length, all of whose letters are in an alphabet that is a run of code points."""
+    if not texts or not texts[0]:
+        return texts
+    v, radix = _places(texts, alphabet).astype(np.int64), len(alphabet)
+    left, right = v[:, : v.shape[1] // 2], v[:, v.shape[1] // 2 :]
+    for no in reversed(range(ROUNDS)) if decrypt else range(ROUNDS):
+        if decrypt:
+            left, right = (right - _round(key, radix, no, left, right.shape[1])) % radix, left
+        else:
+            left, right = right, (left + _round(key, radix, no, right, left.shape[1])) % radix
+    return _texts(np.concatenate([left, right], 1), alphabet)
+
+
+#: A part of a text to be changed: where it begins, its key's context and its alphabet.
+Part = tuple[int, str, str, str]
+
+
+def pan_parts(value: str) -> list[Part]:
+    m = PAN.fullmatch(value)
+    return [(m.start(i), m[i], context, alphabet) for i, (context, alphabet) in enumerate((("pan_letters", UPPER), ("pan_digits", DIGITS), ("pan_suffix", UPPER)), 1)] if m else []
+
+
+def digit_parts(value: str) -> list[Part]:
+    return [(0, value, f"digits_len_{len(value)}", DIGITS)] if value and value.isascii() and value.isdigit() else []
+
+
+def general_parts(column: str) -> Callable[[str], list[Part]]:
+    def parts(value: str) -> list[Part]:
+        out = []
+        for m in RUNS.finditer(value):
+            kind, alphabet = next((k, a) for k, a in (("upper", UPPER), ("lower", LOWER), ("digit", DIGITS)) if m[0][0] in a)
+            out.append((m.start(), m[0], f"{column}:{kind}:{len(m[0])}", alphabet))
+        return out
+
+    return parts
+
+
+def changed(values: list[str], master: str, parts: Callable[[str], list[Part]], decrypt: bool = False) -> list[str]:
+    """Each text with its parts under the cipher; parts of one key and length are worked out together."""
+    together: dict[tuple[str, str, int], list[tuple[int, int, str]]] = {}
+    out = list(values)
+    for row, value in enumerate(values):
+        for at, text, context, alphabet in parts(value):
+            together.setdefault((context, alphabet, len(text)), []).append((row, at, text))
+    for (context, alphabet, n), own in together.items():
+        for (row, at, _), text in zip(own, fpe_batch(derive_key(master, context), [t for _, _, t in own], alphabet, decrypt)):
+            out[row] = out[row][:at] + text + out[row][at + n :]
+    return out
+
+
+def _column(c: Column, master: str, parts: Callable[[str], list[Part]], decrypt: bool) -> Column:
+    """The different texts of a batch are changed together, each once."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         at, texts = pd.factorize(s)
-        return pd.Series(np.append(np.array([change(x) for x in texts], object), None)[at], dtype=object)
+        return pd.Series(np.append(np.array(changed(list(texts), master, parts, decrypt), object), None)[at], dtype=object)
 
     return guarded(c, run)
 
 
 def pan_column(c: Column, master: str, decrypt: bool = False) -> Column:
-    cipher = fpe_decrypt if decrypt else fpe_encrypt
-    return _column(c, lambda x: fpe_pan(x, master, cipher))
+    return _column(c, master, pan_parts, decrypt)
 
 
 def digits_column(c: Column, master: str, decrypt: bool = False) -> Column:
-    cipher = fpe_decrypt if decrypt else fpe_encrypt
-    return _column(c, lambda x: fpe_digits(x, master, cipher))
+    return _column(c, master, digit_parts, decrypt)
 
 
 def general_column(c: Column, master: str, column: str, decrypt: bool = False) -> Column:
-    cipher = fpe_decrypt if decrypt else fpe_encrypt
-    return _column(c, lambda x: fpe_general(x, master, column, cipher))
+    return _column(c, master, general_parts(column), decrypt)
+
+
+#: Blocks of 16 bytes of a keystream that stand in the plan; those of longer texts are worked out in the row.
+BLOCKS = 64
+
+
+def _hmac256(master: str, message: Column) -> Column:
+    """HMAC-SHA256 as hex: the hash over the outer pad and the hash over the inner pad and the message."""
+    key = master.encode()
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(k ^ pad for k in key)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message.cast("binary")), 256))), 256)
+
+
+def _signed(hex_: Column) -> Column:
+    """Sixteen hex digits or fewer as a long."""
+    return F.conv(hex_, 16, -10).cast("long")
+
+
+def _xor_hex(hex_: Column, master: str, column: str) -> Column:
+    """The hex digits of a text under the keystream of a column, eight bytes at a time."""
+    stream = _keystream(master, column, BLOCKS)
+    ready = F.lit([int.from_bytes(stream[i : i + 8], "big", signed=True) for i in range(0, len(stream), 8)]).cast("array<long>")
+
+    def eight(i: Column) -> Column:
+        part = F.substring(hex_, i * 16 + 1, F.lit(16))
+        block = _hmac256(master, F.concat(F.lit(f"{column}:"), F.shiftright(i, 1).cast("string")))
+        later = _signed(F.substring(block, (i % 2) * 16 + 1, F.lit(16)))
+        key = F.when(i < 2 * BLOCKS, F.get(ready, i)).otherwise(later)
+        n = F.length(part)
+        mixed = _signed(part).bitwiseXOR(F.call_function("shiftrightunsigned", key, 64 - 4 * n))
+        return F.lower(F.lpad(F.hex(mixed), n, "0"))
+
+    count = F.ceil(F.length(hex_) / 16).cast("int")
+    return F.array_join(F.transform(F.sequence(F.lit(0), count - 1), eight), "")
 
 
 def xor_column(c: Column, master: str, column: str, decrypt: bool = False) -> Column:
-    change = xor_decrypt if decrypt else xor_encrypt
-    return _column(c, lambda x: change(x, master, column))
+    """``xor_encrypt`` or its way back, as expressions. What is no result of it comes back as null."""
+    if decrypt:
+        body = F.regexp_replace(c, r"\AENC\$", "")
+        return guarded(c, lambda _: F.when(F.length(body) > 0, F.try_to_binary(_xor_hex(body, master, column), F.lit("hex")).cast("string")).otherwise(F.lit("")))
+    return guarded(c, lambda x: F.concat(F.lit("ENC$"), _xor_hex(F.hex(x.cast("binary")), master, column)))
 
 
 def register(spark: SparkSession) -> None:
     """``fpe_digits``, ``fpe_pan`` (value, key) and ``fpe_general``, ``xor_encrypt``, ``xor_decrypt`` (value, key, column) for SQL."""
 
-    def two(change: Callable[[str, str], str]):
-        @F.pandas_udf("string")
-        def run(v: pd.Series, key: pd.Series) -> pd.Series:
-            return pd.Series([None if x is None else change(x, k) for x, k in zip(v, key)], dtype=object)
+    def many(parts: Callable[[str], Callable[[str], list[Part]]]):
+        def run(values: pd.Series, keys: pd.Series, columns: pd.Series) -> pd.Series:
+            out = pd.Series([None] * len(values), dtype=object)
+            frame = pd.DataFrame({"v": values, "k": keys, "c": columns})[values.notna().to_numpy()]
+            for (key, column), own in frame.groupby(["k", "c"], sort=False):
+                at, texts = pd.factorize(own["v"])
+                out.loc[own.index] = np.array(changed(list(texts), key, parts(column)), object)[at]
+            return out
 
         return run
 
-    def three(change: Callable[[str, str, str], str]):
+    def two(parts: Callable[[str], list[Part]]):
+        run = many(lambda _: parts)
+
         @F.pandas_udf("string")
-        def run(v: pd.Series, key: pd.Series, column: pd.Series) -> pd.Series:
-            return pd.Series([None if x is None else change(x, k, c) for x, k, c in zip(v, key, column)], dtype=object)
+        def f(v: pd.Series, key: pd.Series) -> pd.Series:
+            return run(v, key, pd.Series([""] * len(v), index=v.index))
 
-        return run
+        return f
+
+    general = many(general_parts)
+
+    @F.pandas_udf("string")
+    def three(v: pd.Series, key: pd.Series, column: pd.Series) -> pd.Series:
+        return general(v, key, column)
+
+    def xor(change: Callable[[str, str, str], str]):
+        @F.pandas_udf("string")
+        def f(v: pd.Series, key: pd.Series, column: pd.Series) -> pd.Series:
+            frame = pd.DataFrame({"v": v, "k": key, "c": column})
+            known = {t: None if t[0] is None else change(*t) for t in frame.drop_duplicates().itertuples(index=False, name=None)}
+            return pd.Series([known[t] for t in frame.itertuples(index=False, name=None)], dtype=object)
+
+        return f
 
-    for name, f in (("fpe_digits", two(fpe_digits)), ("fpe_pan", two(fpe_pan)), ("fpe_general", three(fpe_general)), ("xor_encrypt", three(xor_encrypt)), ("xor_decrypt", three(xor_decrypt))):
+    for name, f in (("fpe_digits", two(digit_parts)), ("fpe_pan", two(pan_parts)), ("fpe_general", three), ("xor_encrypt", xor(xor_encrypt)), ("xor_decrypt", xor(xor_decrypt))):
         spark.udf.register(name, f)

@@ -8,13 +8,12 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import regex
-from pyspark import SparkContext
-from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veilframe.config import Masking, Pattern
-from veilframe.functions.values import cloak, guarded, mask_class, mask_positions, mask_regex, never_empty
+from veilframe.functions.patterns import to_java
+from veilframe.functions.values import cloak, guarded, mask_beside, mask_class, mask_groups, mask_positions, mask_regex
 
 
 def derived_regex(p: Pattern) -> str:
@@ -29,33 +28,6 @@ def derived_regex(p: Pattern) -> str:
     return ""
 
 
-def mask_beside(text: str, kind: str, delimiter: str, length: int, char: str) -> str:
-    """``length`` characters before or after every occurrence of the delimiter, as far as the text goes."""
-    out, at = list(text), text.find(delimiter)
-    while at >= 0:
-        end = at + len(delimiter)
-        span = range(end, min(end + length, len(out))) if kind == "after" else range(max(0, at - length), at)
-        for i in span:
-            out[i] = char
-        at = text.find(delimiter, end)
-    return "".join(out)
-
-
-def java_regex(source: str) -> str | None:
-    """The pattern as Java reads it; None if Java does not take it.
-
-    Named groups and their references, the classes ``[:name:]`` and the ends ``\\A`` and ``\\z`` are brought into its form.
-    """
-    out = re.sub(r"\(\?P<(\w+)>", lambda m: f"(?<{m[1].replace('_', 'U')}>", source)
-    out = re.sub(r"\(\?P=(\w+)\)", lambda m: rf"\k<{m[1].replace('_', 'U')}>", out)
-    out = re.sub(r"\[:(\^?)(\w+):\]", lambda m: rf"\{'P' if m[1] else 'p'}{{{m[2].capitalize() if m[2] != 'xdigit' else 'XDigit'}}}", out)
-    try:
-        SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile(f"(?U){out}")
-    except IllegalArgumentException:
-        return None
-    return out
-
-
 def python_regex(source: str) -> regex.Pattern | None:
     try:
         return regex.compile(re.sub(r"\\z", r"\\Z", source))
@@ -63,7 +35,7 @@ def python_regex(source: str) -> regex.Pattern | None:
         return None
 
 
-def mask_groups(match: regex.Match, groups: tuple[tuple[int, str], ...], char: str) -> str:
+def groups_masked(match: regex.Match, groups: tuple[tuple[int, str], ...], char: str) -> str:
     """A match with its groups masked, each at the first place where its text stands in the match."""
     whole = match[0]
     for no, mode in groups:
@@ -89,29 +61,32 @@ def _by_text(change: Callable[[str], str]) -> Callable[[Column], Column]:
 def mask_pattern(c: Column, p: Pattern, derived: bool = True) -> Column:
     """One pattern over a text column; a pattern that does not compile changes nothing."""
     if p.length and p.delimiter and p.type in ("before", "after"):
-        beside = _by_text(lambda x: mask_beside(x, p.type, p.delimiter, p.length, p.char))(c)
+        beside = mask_beside(c, p.type == "after", p.delimiter, p.length, p.char)
         return F.when(beside != c, beside).otherwise(_mask_matches(c, p, derived))
     return _mask_matches(c, p, derived)
 
 
 def _mask_matches(c: Column, p: Pattern, derived: bool) -> Column:
+    """In expressions where Java has a form of the pattern and no match is empty; else text by text in Python."""
     if p.regex is None and not derived:
         return c
     source = p.regex if p.regex is not None else derived_regex(p)
     if not source:
         return c
-    compiled, java = python_regex(source), java_regex(source)
-    if compiled is not None and p.groups:
-        return _by_text(lambda x: compiled.sub(lambda m: mask_groups(m, p.groups, p.char), x))(c)
-    if compiled is not None and (java is None or not never_empty(java)):
+    java = to_java(source)
+    if java is None or not java.least:
+        compiled = python_regex(source)
+        if compiled is None:
+            return c
+        if p.groups:
+            return _by_text(lambda x: compiled.sub(lambda m: groups_masked(m, p.groups, p.char), x))(c)
         return _by_text(lambda x: compiled.sub(lambda m: p.char * len(m[0]), x))(c)
-    if java is None or not never_empty(java):
-        return c
-    source = java
-    masked = mask_regex(c, source, p.char)
+    if p.groups:
+        return mask_groups(c, java, p.groups, p.char)
+    masked = mask_regex(c, java, p.char)
     if p.regex is None and p.type == "in_between":
         spaced = mask_regex(c, r"(?<=\s).+$", p.char)
-        masked = F.when(c.rlike(f"(?U){source}"), masked).when(F.contains(c, F.lit(" ")), spaced).otherwise(c)
+        masked = F.when(c.rlike(java.source), masked).when(F.contains(c, F.lit(" ")), spaced).otherwise(c)
     return masked
 
 
