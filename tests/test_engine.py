@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tests_helpers import FULL, HEADER, csv_rows, folder
 from veilframe import config, errors
 from veilframe.config import Config, Encrypt, Fpe, Masking, NumericQi, Tokenization
 from veilframe.operators import columns, generalize, histogram, tokenize
@@ -13,6 +14,8 @@ from veilframe.operators.hierarchy import BUILT_IN, Hierarchy, base_name
 from veilframe.operators.histogram import Qi
 from veilframe.plans import lattice, run
 from veilframe.plans.anonymizer import Anonymizer
+from veilframe.sources.store import Store
+from veilframe.sources.vault import Vault
 from veilframe.streaming import transforms
 
 
@@ -164,32 +167,6 @@ def test_tokens(spark):
     assert [r.v for r in tokenize.detokenize(out, "v", vault).orderBy("i").limit(2).collect()] == ["z", "a"]
 
 
-FULL = {
-    "suppress": ["Drop"], "hashing_with_salt": ["Salted"], "hashing_without_salt": ["Hashed"], "charcloak": ["Cloak"],
-    "masking": [{"column": "Mail", "regex_patterns": [{"type": "before", "delimiter": "@"}]}],
-    "tokenization": [{"column": "City", "prefix": "C", "digits": 3}], "fpe": [{"column": "Phone", "format": "digits"}],
-    "encrypt": ["Note", {"Code": {"format_preserving": True}}],
-    "quasi_identifiers": {"numerical": [{"column": "Age", "type": "int"}], "categorical": ["Gender"]},
-    "size": {"Age": 2, "Other": "x"}, "k_anonymize": {"k": 2}, "suppression_limit": 0.5, "output_path": "out.csv",
-}
-
-
-def folder(tmp_path, body, csv):
-    (tmp_path / "config").mkdir()
-    (tmp_path / "data").mkdir()
-    (tmp_path / "config" / "b.json").write_text("{")
-    (tmp_path / "config" / "a.json").write_text(json.dumps({"data_type": "t", "t": body}))
-    (tmp_path / "data" / "d.csv").write_text(csv, encoding="utf-8")
-    return tmp_path
-
-
-HEADER = "Drop,Salted,Hashed,Cloak,Mail,City,Phone,Note,Code,Age,Gender\n"
-
-
-def csv_rows(n=40):
-    return HEADER + "".join(f'x,s,h,Ab{i % 10},u{i}@m.org,"Town, {i % 3}",555{i:04d},note {i},Zz{i},{20 + i % 8},{"Male" if i % 2 else "Female"}\n' for i in range(n)) + "\n  \n"
-
-
 def test_whole_run_and_a_second(spark, tmp_path):
     root = folder(tmp_path, FULL, csv_rows())
     status = run.status_of(spark, root)
@@ -203,7 +180,7 @@ def test_whole_run_and_a_second(spark, tmp_path):
     assert {r.Hashed for r in rows} == {"aaa9402664f1a41f40ebbc52c9993eb66aeb366602958fdfaa283b71e64db123"}
     keys = json.loads((root / "output" / "fpe_keys.json").read_text())
     assert not (root / "output" / "token_vault.json").exists() and not (root / "output" / "out.csv").is_file()
-    vault = lambda: tokenize.vault_to_json(spark.read.parquet(str(next((root / "output" / "token_vault").glob("run=*")))))
+    vault = lambda: tokenize.vault_to_json(Vault(spark, str(root / "output" / "token_vault")).rows())
     first = vault()
     assert first["City"]["forward"]["Town, 0"] == "C001"
     (root / "data" / "d.csv").write_text(HEADER + "".join(f"x,s,h,c,m@m,{c},1,n,c,30,Male\n" for c in ("New", '"Town, 1"')))
@@ -220,7 +197,7 @@ def test_main_writes_status_and_log(spark, tmp_path):
     (root / "output" / "token_vault.json").write_text(json.dumps({"City": {"forward": {"Town, 2": "C001"}, "reverse": {"C001": "Town, 2"}}}))
     assert run.main(["--single-file", str(root)]) == 0
     assert (root / "output" / "out.csv").is_file() and '"' not in (root / "output" / "out.csv").read_text()
-    assert spark.read.parquet(str(root / "output" / "token_vault")).where("value = 'Town, 2'").first().token == "C001"
+    assert Vault(spark, str(root / "output" / "token_vault")).rows("City").where("value = 'Town, 2'").first().token == "C001"
     assert json.loads((root / "output" / "status.json").read_text())["status"] == "success"
     assert "best node" in (root / "output" / "pipeline.log").read_text()
 
@@ -244,14 +221,14 @@ def test_run_errors(spark, tmp_path, change, csv, code):
     assert status["error"]["http_status_code"] == errors.http_status(code) and status["error"]["suggested_fix"]
 
 
-def test_config_errors_and_defaults(tmp_path):
+def test_config_errors_and_defaults(spark, tmp_path):
     for body, code in (("{", "CONFIG_PARSE_ERROR"), ("{}", "CONFIG_MISSING_FIELD"), ('{"data_type": "x"}', "CONFIG_MISSING_FIELD")):
         (tmp_path / "c.json").write_text(body)
         with pytest.raises(errors.PipelineError) as e:
-            config.load_config(tmp_path / "c.json")
+            config.load_config(Store(spark), str(tmp_path / "c.json"))
         assert e.value.code == code
     with pytest.raises(errors.PipelineError):
-        config.find_config(tmp_path / "none")
+        config.find_config(Store(spark), str(tmp_path / "none"))
     cfg = config.parse_config({"data_type": "t", "t": {"k_anonymize": {"k": 0}, "size": {"a": 0, "b": 1.5}}})
     assert (cfg.k, cfg.suppression_limit, cfg.output_path, dict(cfg.size)) == (1, 0.0, "generalized.csv", {"a": 1})
     m = Masking.parse({"column": "c", "masking_character": "#x", "characters_to_mask": [2, -1, 0], "regex_patterns": [{"regex": "a", "length": -3, "mask_groups": {"2": "full", "1": "partial", "x": "full"}}]})

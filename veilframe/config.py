@@ -5,10 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from pathlib import Path
 from typing import Any
 
 from veilframe.errors import PipelineError
+from veilframe.sources.store import Store, join
 
 
 def _bad(message: str, details: str) -> PipelineError:
@@ -179,12 +179,12 @@ class Config:
     enable_k_anonymity: bool = True
 
 
-def find_config(folder: str | Path) -> Path:
+def find_config(store: Store, folder: str) -> str:
     """The first ``*.json`` of a folder by name."""
-    found = sorted(Path(folder).glob("*.json")) if Path(folder).is_dir() else []
+    found = store.files(folder, ".json")
     if not found:
         raise PipelineError("CONFIG_NOT_FOUND", "No JSON configuration was found", str(folder))
-    return found[0]
+    return join(folder, found[0][0])
 
 
 def parse_config(body: Mapping[str, Any], source: str = "") -> Config:
@@ -240,9 +240,9 @@ def parse_config(body: Mapping[str, Any], source: str = "") -> Config:
     )
 
 
-def load_config(path: str | Path) -> Config:
+def load_config(store: Store, path: str) -> Config:
     try:
-        body = json.loads(Path(path).read_text(encoding="utf-8"))
+        body = json.loads(store.read(path) or "")
     except ValueError as e:
         raise PipelineError("CONFIG_PARSE_ERROR", "The configuration is not valid JSON", str(e)) from e
     return parse_config(body if isinstance(body, Mapping) else {}, str(path))

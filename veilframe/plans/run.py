@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import json
 import logging
-import shutil
 import sys
 from dataclasses import dataclass
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +17,8 @@ from veilframe.operators import columns, tokenize
 from veilframe.plans.anonymizer import Anonymizer
 from veilframe.shared import cut
 from veilframe.sources import state, tables
+from veilframe.sources.store import Store, join
+from veilframe.sources.vault import Vault
 
 KEY_FILES = ("fpe_keys", "symmetric_keys", "fpe_encrypt_keys")
 VAULT = "token_vault"
@@ -27,48 +27,37 @@ LOG = "output/pipeline.log"
 log = logging.getLogger("veilframe")
 
 
-def _runs(folder: Path) -> list[int]:
-    """Numbers of the runs whose vault was written to its end."""
-    return sorted(int(p.parent.name[4:]) for p in (folder / VAULT).glob("run=*/_SUCCESS"))
-
-
 @dataclass
 class State:
-    """What a run keeps for the next one: the vault and the keys. Salts are new for every run.
+    """What a run keeps for the next one: the vault and the keys, in any store. Salts are new for every run.
 
-    The vault is Parquet, a folder for each run, so that no token passes the driver. Where there is none
-    yet, a ``token_vault.json`` is taken over.
+    Where there is no vault yet, a ``token_vault.json`` is taken over.
     """
 
-    vault: DataFrame
+    vault: Vault
     keys: dict[str, dict[str, str]]
     salts: dict[str, str]
 
     @classmethod
-    def load(cls, spark: SparkSession, folder: str | Path, cfg: Config) -> State:
-        folder = Path(folder)
-        runs = _runs(folder)
-        vault = spark.read.schema(tokenize.VAULT).parquet(str(folder / VAULT / f"run={runs[-1]}")) if runs else tokenize.vault_from_json(spark, state.read_json(folder / "token_vault.json"))
-        keys = {name: state.read_strings(folder / f"{name}.json") for name in KEY_FILES}
+    def load(cls, store: Store, folder: str, cfg: Config) -> State:
+        vault = Vault(store.spark, join(folder, VAULT))
+        if not vault.runs and (body := state.read_json(store, join(folder, "token_vault.json"))):
+            vault.adopt(body)
+        keys = {name: state.read_strings(store, join(folder, f"{name}.json")) for name in KEY_FILES}
         for e in cfg.fpe:
             keys["fpe_keys"].setdefault(e.column, random_hex(16))
         for e in cfg.encrypt:
             keys["fpe_encrypt_keys" if e.format_preserving else "symmetric_keys"].setdefault(e.column, random_hex(16))
         return cls(vault, keys, {c: random_hex(32) for c in cfg.hashing_with_salt})
 
-    def save(self, folder: str | Path, json_vault: bool = False) -> None:
-        """Columns that this run did not configure stay in the vault. ``json_vault``: as a JSON file too, for a vault that fits the driver."""
-        folder = Path(folder)
-        runs = _runs(folder)
-        path = folder / VAULT / f"run={runs[-1] + 1 if runs else 1}"
-        self.vault.write.mode("overwrite").parquet(str(path))
-        self.vault = self.vault.sparkSession.read.schema(tokenize.VAULT).parquet(str(path))
-        for old in runs:
-            shutil.rmtree(folder / VAULT / f"run={old}")
+    def save(self, store: Store, folder: str, json_vault: bool = False) -> None:
+        """The run's new tokens and all keys. ``json_vault``: the vault as a JSON file too, if it fits the driver."""
+        self.vault.commit()
+        self.vault.compact()
         if json_vault:
-            state.write_json(folder / "token_vault.json", tokenize.vault_to_json(self.vault))
+            state.write_json(store, join(folder, "token_vault.json"), tokenize.vault_to_json(self.vault.rows()))
         for name, own in self.keys.items():
-            state.write_json(Path(folder) / f"{name}.json", own)
+            state.write_json(store, join(folder, f"{name}.json"), own)
 
 
 def preprocess(df: DataFrame, cfg: Config, kept: State, order_by: str | None = None) -> DataFrame:
@@ -77,34 +66,37 @@ def preprocess(df: DataFrame, cfg: Config, kept: State, order_by: str | None = N
     if cfg.tokenization:
         require(df.columns, [t.column for t in cfg.tokenization])
         for t in cfg.tokenization:
-            df, kept.vault = tokenize.tokenize(df, t, kept.vault, order_by)
+            df = kept.vault.tokenize(df, t, order_by)
     return columns.after_tokens(df, cfg, kept.keys)
 
 
-def run(spark: SparkSession, root: str | Path, single_file: bool = False, json_vault: bool = False) -> dict[str, Any]:
-    """Returns what goes into ``outputs`` of the status; raises ``PipelineError``. ``single_file`` is for results that one task can write."""
-    root = Path(root)
-    cfg = load_config(find_config(root / "config"))
+def run(spark: SparkSession, root: str, single_file: bool = False, json_vault: bool = False) -> dict[str, Any]:
+    """Over ``root`` in any store that Spark's paths name. Returns what goes into ``outputs`` of the status; raises ``PipelineError``.
+
+    ``single_file`` is for results that one task can write.
+    """
+    root, store = str(root), Store(spark)
+    cfg = load_config(store, find_config(store, join(root, "config")))
     log.info("[config] loaded %s", cfg.source)
-    out = root / "output"
-    out.mkdir(parents=True, exist_ok=True)
-    keep = Path(cfg.output_directory) if Path(cfg.output_directory).is_absolute() else root / cfg.output_directory
-    df = tables.read_csv(spark, tables.find_csv(root / "data"))
-    kept = State.load(spark, keep, cfg)
+    out = join(root, "output")
+    store.make(out)
+    keep = join(root, cfg.output_directory)
+    df = tables.read_csv(spark, tables.find_csv(store, join(root, "data")))
+    kept = State.load(store, keep, cfg)
     df = preprocess(df, cfg, kept)
-    kept.save(keep, json_vault)
+    kept.save(store, keep, json_vault)
     log.info("[preprocess] done")
     # salts and random letters must be the same for search and output, and the CSV is parsed once
     df = cut(df)
     model, result = Anonymizer(cfg).fit_transform(df)
     best = model.found.best
     log.info("[search] best node %s of %d evaluated", list(best.node), len(model.found.evaluated))
-    target = Path(cfg.output_path) if Path(cfg.output_path).is_absolute() else out / cfg.output_path
+    target = join(out, cfg.output_path)
     tables.write_csv(result, target, single_file)
     stats = {str(size): n for size, n in sorted(model.class_sizes.items())}
     top = [s.payload() for s in model.found.top]
-    state.write_json(out / "equivalence_class_stats.json", stats)
-    state.write_json(out / "top_ola2_nodes.json", top)
+    state.write_json(store, join(out, "equivalence_class_stats.json"), stats)
+    state.write_json(store, join(out, "top_ola2_nodes.json"), top)
     log.info("[generalization] written to %s", target)
     sample = [json.loads(r) for r in tables.read_csv(spark, target).limit(SAMPLE_ROWS).toJSON().collect()]
     return {  # fixed values: the names of the fields, which readers of the status rely on
@@ -126,12 +118,12 @@ def run(spark: SparkSession, root: str | Path, single_file: bool = False, json_v
         "equivalence_class_stats": stats,
         "top_ola2_nodes": top,
         "total_records": model.total,
-        "final_output_path": str(target),
+        "final_output_path": target,
         "sample_generalized_rows": sample,
     }
 
 
-def status_of(spark: SparkSession, root: str | Path, single_file: bool = False, json_vault: bool = False) -> dict[str, Any]:
+def status_of(spark: SparkSession, root: str, single_file: bool = False, json_vault: bool = False) -> dict[str, Any]:
     """A run with its errors caught: the body of ``status.json``."""
     error: PipelineError
     try:
@@ -147,13 +139,22 @@ def status_of(spark: SparkSession, root: str | Path, single_file: bool = False,
     return {"status": "error", "error": error.payload(), "log_file": LOG}
 
 
+class _Lines(logging.Handler):
+    def __init__(self) -> None:
+        super().__init__()
+        self.lines: list[str] = []
+
+    def emit(self, record: logging.LogRecord) -> None:
+        self.lines.append(self.format(record))
+
+
 def main(argv: list[str] | None = None) -> int:
-    """``python -m veilframe [--single-file] [--json-vault] [ROOT]``: runs, writes ``output/status.json``; 0 on success, else 1."""
+    """``python -m veilframe [--single-file] [--json-vault] [ROOT]``: runs, writes ``output/status.json`` and the log; 0 on success, else 1."""
     args = sys.argv[1:] if argv is None else argv
     single_file, json_vault = "--single-file" in args, "--json-vault" in args
-    root = Path(next((a for a in args if not a.startswith("--")), "."))
-    (root / "output").mkdir(parents=True, exist_ok=True)
-    handlers: list[logging.Handler] = [logging.StreamHandler(), logging.FileHandler(root / LOG, mode="w", encoding="utf-8")]
+    root = next((a for a in args if not a.startswith("--")), ".")
+    kept = _Lines()
+    handlers: list[logging.Handler] = [logging.StreamHandler(), kept]
     for h in handlers:
         h.setFormatter(logging.Formatter("[+%(relativeCreated)d ms] [%(levelname)s] %(message)s"))
         log.addHandler(h)
@@ -161,7 +162,9 @@ def main(argv: list[str] | None = None) -> int:
     try:
         spark = SparkSession.builder.appName("veilframe").getOrCreate()
         status = status_of(spark, root, single_file, json_vault)
-        state.write_json(root / "output" / "status.json", status)
+        store = Store(spark)
+        state.write_json(store, join(root, "output/status.json"), status)
+        store.write(join(root, LOG), "\n".join([*kept.lines, ""]))
     finally:
         for h in handlers:
             log.removeHandler(h)

@@ -7,8 +7,10 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from veilframe.config import Config, Tokenization
-from veilframe.operators import columns, tokenize
+from veilframe.operators import columns
 from veilframe.plans.anonymizer import Model
+from veilframe.shared import cut
+from veilframe.sources.vault import Vault
 
 
 def row_local(stream: DataFrame, cfg: Config, salts: Mapping[str, str], keys: Mapping[str, Mapping[str, str]], model: Model | None = None) -> DataFrame:
@@ -18,31 +20,29 @@ def row_local(stream: DataFrame, cfg: Config, salts: Mapping[str, str], keys: Ma
 
 
 class TokenSink:
-    """For ``foreachBatch``: tokenizes each batch against a vault kept as Parquet, then hands it on.
+    """For ``foreachBatch``: tokenizes each batch against a vault of deltas, then hands it on.
 
-    A batch writes its vault under its own number and reads the highest below it, so that a batch that
+    A batch writes the values that it adds under its own number and sees what was committed under lower ones, so that a batch that
     is run again starts from the same vault and gives the same tokens.
     """
 
     def __init__(self, entries: list[Tokenization], vault_path: str, write: Callable[[DataFrame, int], None], order_by: str | None = None) -> None:
         self.entries, self.path, self.write, self.order_by = entries, vault_path, write, order_by
 
-    def vault_before(self, batch: DataFrame, no: int) -> DataFrame:
-        spark = batch.sparkSession
-        for earlier in range(no - 1, -1, -1):
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={earlier}/_SUCCESS")
-            if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-                return spark.read.schema(tokenize.VAULT).parquet(f"{self.path}/batch={earlier}")
-        return tokenize.empty_vault(spark)
-
     def __call__(self, batch: DataFrame, no: int) -> None:
-        vault = self.vault_before(batch, no)
+        vault = Vault(batch.sparkSession, self.path, before=no)
+        vault.compact()
+        batch = cut(batch)
+        out = batch
         for t in self.entries:
-            batch, vault = tokenize.tokenize(batch, t, vault, self.order_by)
-        vault.write.mode("overwrite").parquet(f"{self.path}/batch={no}")
-        self.write(batch, no)
+            out = vault.tokenize(out, t, self.order_by)
+        vault.commit()
+        self.write(out, no)
 
 
 def suppressing_sink(model: Model, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: each batch generalized, with the classes that are too small in it suppressed."""
+    """For ``foreachBatch``: each batch generalized, with the classes that are too small in it suppressed.
+
+    Classes are those of the batch alone: a class that never has k rows in one batch is always suppressed.
+    """
     return lambda batch, no: write(model.transform(batch), no)
