@@ -31,6 +31,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps now: it does so when the driver collects its garbage, which may come late."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of whatever store its path names; nothing if there is none."""
     sc = spark.sparkContext

@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import HOT_KEYS, cut, remove, shared_dir, with_unique
+from veilframe.llm.common import HOT_KEYS, cut, remove, shared_dir, sweep, with_unique
 
 #: Words of the grams that anchors are chosen from.
 GRAM = 5
@@ -374,6 +374,7 @@ def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
     spark = docs.sparkSession
     shared = docs.mapInArrow(_count_anchors(n), "a long, low long, high long, n long").groupBy("a").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     shared = cut(shared.where("low < high").select("a", "n"))
+    sweep(spark)
     count, total = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     known = spark.sparkContext.broadcast(bloom(shared, count, BLOOM_BITS))  # BLOOM_BITS at most
     rows = "key long, u long, d long, h long, pos int"
@@ -382,6 +383,7 @@ def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
     path = f"{shared_dir(spark)}/passages-{uuid.uuid4().hex}"
     found.write.parquet(path)
     found = spark.read.parquet(path)
+    sweep(spark)
     crowd = cut(found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"))
     many = crowd.count()
     near = F.broadcast(crowd) if many <= HOT_KEYS else crowd
@@ -399,6 +401,7 @@ def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
         back = ours.groupBy("key", "u").agg(F.max("n").alias("n"), F.collect_list(F.struct("at", F.col("x.first").alias("first"))).alias("hits"))
         hits = cut(hits.unionByName(back))  # the windows' own hits meet no passage
     remove(spark, path)
+    sweep(spark)
     placed = with_unique(docs.mapInArrow(_passages(n, known, False), rows), hits, ["key", "u"], "n", total, F.col("h"))
     earlier = F.transform(F.filter("hits", lambda x: x["first"] < F.col("d")), lambda x: x["at"] + F.col("pos"))
     return placed.select("d", "h", earlier.alias("starts")).where(F.size("starts") > 0).groupBy("d", "h").agg(F.collect_set("starts").alias("starts"))
