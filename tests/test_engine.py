@@ -35,7 +35,7 @@ def scorer(hist, k):
 def test_search_of_one_column():
     qis = [Qi("Age", False, 0, 3)]
     grid = lattice.levels(qis, (1,), {"Age": 2})
-    assert grid == [[(1,)], [(2,)], [(4,)]]
+    assert list(grid) == [[(1,)], [(2,)], [(4,)]]
     found = lattice.search(grid, scorer({(i,): 1 for i in range(4)}, 2), 2, 0.0, 4)
     assert found.best == lattice.Score(8, 0, -2, (2,))
     assert [s.node for s in found.evaluated] == [(2,), (1,)]
@@ -77,7 +77,7 @@ def test_first_widths_and_errors():
         with pytest.raises(errors.PipelineError) as e:
             bad()
         assert e.value.code == code and errors.http_status(code) in (400, 422)
-    assert lattice.levels([Qi("x", False, 0, 5)], (1,), {"x": 1}) == [[(1,)]]
+    assert list(lattice.levels([Qi("x", False, 0, 5)], (1,), {"x": 1})) == [[(1,)]]
     assert Qi("Age_scaled_encoded").name and base_name("Age_scaled_encoded") == "Age" and base_name("Age_scaled") == "Age"
 
 

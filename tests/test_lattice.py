@@ -1,0 +1,107 @@
+import itertools
+import random
+import tracemalloc
+
+import pytest
+
+from veilframe.operators.histogram import Qi
+from veilframe.plans import lattice
+from veilframe.plans.lattice import Lattice, Open
+
+
+def listed_walk(levels):
+    """The walk with all nodes listed and every verdict passed to each of them."""
+    open_ = [set(level) for level in levels]
+    while rest := [i for i, nodes in enumerate(open_) if nodes]:
+        at = rest[len(rest) // 2]
+        nodes = sorted(open_[at], reverse=True)
+        node = nodes[len(nodes) // 2]
+        passed = yield node
+        for level, own in enumerate(open_):
+            if passed and level >= at:
+                own -= {n for n in own if all(a >= b for a, b in zip(n, node))}
+            elif not passed and level <= at:
+                own -= {n for n in own if all(a <= b for a, b in zip(n, node))}
+        open_[at].discard(node)
+
+
+def all_levels(chains):
+    out = [[] for _ in range(sum(len(c) - 1 for c in chains) + 1)]
+    for ranks in itertools.product(*[range(len(c)) for c in chains]):
+        out[sum(ranks)].append(tuple(c[r] for c, r in zip(chains, ranks)))
+    return [sorted(level, reverse=True) for level in out]
+
+
+CHAINS = [[(1, 2, 4, 8, 10)], [(1, 2, 4), (1, 3, 9, 20)], [(1, 2), (1, 2, 3), (1, 5, 7)], [(1,), (1, 2), (1,)], [(1, 2, 3, 4)] * 4]
+
+
+@pytest.mark.parametrize("chains", CHAINS)
+def test_levels_as_listed(chains):
+    assert list(Lattice(chains)) == all_levels(chains)
+
+
+@pytest.mark.parametrize("chains", CHAINS)
+@pytest.mark.parametrize("seed", range(4))
+def test_same_walk_as_with_all_nodes_listed(chains, seed):
+    rnd = random.Random(seed)
+    weights = [rnd.random() for _ in chains]
+    limit = rnd.random() * sum(weights) * 5
+    for verdict in (lambda n: sum(w * v for w, v in zip(weights, n)) > limit, lambda n: rnd.random() < 0.5):
+        given, walk, mine = {}, listed_walk(all_levels(chains)), lattice._walk(Lattice(chains))
+        node, order = next(walk), []
+        while True:
+            given.setdefault(node, verdict(node))
+            order.append(node)
+            try:
+                node = walk.send(given[node])
+            except StopIteration:
+                break
+        got = []
+        for node, near, settle in mine:
+            assert near[0] == node and len(set(near)) == len(near)
+            got.append(node)
+            settle(given[node])
+        assert got == order
+
+
+def test_open_nodes_beside_random_verdicts():
+    rnd = random.Random(9)
+    grid = Lattice([(1, 2, 3, 4), (1, 2, 3), (1, 2, 3, 4, 5)])
+    for _ in range(30):
+        open_ = Open(grid)
+        every = list(itertools.product(*[range(len(c)) for c in grid.chains]))
+        for ranks in rnd.sample(every, 6):
+            open_.settle(ranks, rnd.random() < 0.5)
+        left = [n for n in every if not any(all(a >= b for a, b in zip(n, p)) for p in open_.passed) and not any(all(a <= b for a, b in zip(n, f)) for f in open_.failed)]
+        for level in range(len(grid)):
+            assert list(open_.nodes(level)) == sorted((grid.node(n) for n in left if sum(n) == level), reverse=True)
+
+
+def test_ten_columns_of_ten_levels_in_little_memory():
+    qis = [Qi(f"q{i}", False, 0, 511) for i in range(10)]
+    size = {q.name: 2 for q in qis}
+    tracemalloc.start()
+    grid = lattice.levels(qis, (1,) * 10, size)
+    assert len(grid) == 91 and sum(Open(grid).counts()) == 10**10
+    assert lattice.first_widths(qis, size, 2**80)[:3] == (1, 1, 1)
+    total = 10**6
+    # a node passes if it is coarse enough throughout
+    found = lattice.search(grid, lambda n: (0 if min(n) >= 8 or max(n) == 512 else total, sum(n), 1), 2, 0.0, total, most=60)
+    assert len(found.evaluated) == 60 and found.best.suppressed == 0
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
+def test_first_widths_as_by_trying_all():
+    rnd = random.Random(2)
+    for _ in range(40):
+        qis = [Qi("a", False, 0, rnd.randrange(1, 40)), Qi("b", False, 0, rnd.randrange(1, 9)), Qi("gender", True)]
+        size = {"a": rnd.randrange(2, 4), "b": 2}
+        every = [n for level in lattice.levels(qis, (1, 1, 1), size) for n in level]
+        most = rnd.randrange(1, 120)
+        fits = [n for n in every if lattice.estimated_classes(qis, n) <= most]
+        if fits:
+            assert lattice.first_widths(qis, size, most) == min(fits)
+        else:
+            with pytest.raises(lattice.PipelineError):
+                lattice.first_widths(qis, size, most)

@@ -14,7 +14,7 @@ from veilframe.operators import generalize, histogram
 from veilframe.operators.hierarchy import Hierarchy, hierarchy_of
 from veilframe.operators.histogram import Qi, domain, source_column
 from veilframe.plans import lattice
-from veilframe.plans.rollup import AT_ONCE, Rollup
+from veilframe.plans.rollup import Rollup
 
 
 def quasi_identifiers(df: DataFrame, cfg: Config) -> list[Qi]:
@@ -117,13 +117,11 @@ class Anonymizer:
             return rollup.score([scaled(node)])[scaled(node)]
 
         def ahead(nodes: list[lattice.Node]) -> None:
-            middle = len(nodes) // 2  # the one that is asked for; the next ones are beside it
-            near = sorted(range(len(nodes)), key=lambda i: abs(i - middle))[:AT_ONCE]
-            if scaled(nodes[middle]) not in rollup.scores:
-                rollup.score([scaled(nodes[i]) for i in near])
+            if scaled(nodes[0]) not in rollup.scores:
+                rollup.score([scaled(n) for n in nodes])
 
         try:
-            found = lattice.search(grid, score, cfg.k, cfg.suppression_limit, total, cfg.exhaustive, ahead=ahead)
+            found = lattice.search(grid, score, cfg.k, cfg.suppression_limit, total, cfg.exhaustive, ahead=ahead, most=cfg.max_nodes)
             sizes = rollup.class_sizes(scaled(found.best.node)).orderBy("size").collect()
         finally:
             rollup.close()

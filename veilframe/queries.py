@@ -199,42 +199,62 @@ def q_token_vault_resume(spark, sf_dir):
     return tokenize.tokenize(df, Tokenization("o_orderpriority"), vault, "o_orderkey")[1]
 
 
-@query("select c_custkey, c_mktsegment from customer")
+@query(f"select c_custkey, c_mktsegment, token as hidden from customer join ({_SEGMENT_TOKENS}) using (c_mktsegment)")
 def q_detokenize(spark, sf_dir):
     df, vault = _tokenized(spark, sf_dir)
-    return tokenize.detokenize(df, "c_mktsegment", vault)
+    return tokenize.detokenize(df.withColumn("hidden", F.col("c_mktsegment")), "c_mktsegment", vault)
 
 
 # ---- ciphers
 
 
-@query("select o_orderkey, cast(o_orderkey as varchar) as v, length(cast(o_orderkey as varchar)) as n from orders")
-def q_fpe_digits_roundtrip(spark, sf_dir):
-    df = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("v"))
-    hidden = columns.fpe_columns(df, [Fpe("v", "digits")], {"v": KEY})
-    return hidden.select("o_orderkey", ciphers.digits_column(F.col("v"), KEY, decrypt=True).alias("v"), F.length("v").cast("long").alias("n"))
-
-
-# Known ciphertexts of the cipher (key as hex, alphabet, plaintext, ciphertext).
-_VECTORS = [
-    (b"foo".hex(), values.DIGITS, "123456", "979962"),
-    (b"foo".hex(), values.DIGITS, "000001", "897283"),
-    (b"foo".hex(), values.UPPER + values.DIGITS, "ABCDE1234F", "LQOZ1T7HUQ"),
-    (KEY, values.DIGITS, "9876543210", "9926847934"),
-    (KEY, values.UPPER, "ABCDE", "TOBFD"),
-]
-
-
-@query(f"select * from (values {', '.join(map(str, ((p, c, p) for _, _, p, c in _VECTORS)))}) as t(plain, hidden, again)")
+# For n = 0 to 24 under KEY, what becomes of n in six digits, of ABCDE, n in four digits and the letter after n others,
+# and of NATION_n as the columns "name" (in its format) and "note" (under the keystream).
+_KNOWN = [
+    (0, "788972", "DLALB2521X", "EDVPXJ_9", "ENC$5fe387cb491fb689"),
+    (1, "828860", "DLALB3855Y", "EDVPXJ_0", "ENC$5fe387cb491fb688"),
+    (2, "501424", "DLALB1559Z", "EDVPXJ_1", "ENC$5fe387cb491fb68b"),
+    (3, "740611", "DLALB7001A", "EDVPXJ_2", "ENC$5fe387cb491fb68a"),
+    (4, "321036", "DLALB1375B", "EDVPXJ_3", "ENC$5fe387cb491fb68d"),
+    (5, "477944", "DLALB0392C", "EDVPXJ_4", "ENC$5fe387cb491fb68c"),
+    (6, "609127", "DLALB1863D", "EDVPXJ_5", "ENC$5fe387cb491fb68f"),
+    (7, "532049", "DLALB3372E", "EDVPXJ_6", "ENC$5fe387cb491fb68e"),
+    (8, "658138", "DLALB9394F", "EDVPXJ_7", "ENC$5fe387cb491fb681"),
+    (9, "460451", "DLALB3361G", "EDVPXJ_8", "ENC$5fe387cb491fb680"),
+    (10, "758857", "DLALB3288H", "EDVPXJ_10", "ENC$5fe387cb491fb6883c"),
+    (11, "480564", "DLALB3908I", "EDVPXJ_06", "ENC$5fe387cb491fb6883d"),
+    (12, "980779", "DLALB6035J", "EDVPXJ_24", "ENC$5fe387cb491fb6883e"),
+    (13, "426169", "DLALB7615K", "EDVPXJ_41", "ENC$5fe387cb491fb6883f"),
+    (14, "650105", "DLALB3483L", "EDVPXJ_64", "ENC$5fe387cb491fb68838"),
+    (15, "237090", "DLALB1880M", "EDVPXJ_43", "ENC$5fe387cb491fb68839"),
+    (16, "309618", "DLALB9300N", "EDVPXJ_82", "ENC$5fe387cb491fb6883a"),
+    (17, "340207", "DLALB3725O", "EDVPXJ_94", "ENC$5fe387cb491fb6883b"),
+    (18, "142642", "DLALB4905P", "EDVPXJ_39", "ENC$5fe387cb491fb68834"),
+    (19, "477027", "DLALB1319Q", "EDVPXJ_26", "ENC$5fe387cb491fb68835"),
+    (20, "879846", "DLALB9875R", "EDVPXJ_11", "ENC$5fe387cb491fb68b3c"),
+    (21, "798221", "DLALB2091S", "EDVPXJ_75", "ENC$5fe387cb491fb68b3d"),
+    (22, "393384", "DLALB8193T", "EDVPXJ_20", "ENC$5fe387cb491fb68b3e"),
+    (23, "413045", "DLALB9679U", "EDVPXJ_17", "ENC$5fe387cb491fb68b3f"),
+    (24, "916067", "DLALB7357V", "EDVPXJ_90", "ENC$5fe387cb491fb68b38"),
+]
+_KNOWN_SQL = "(values " + ", ".join(map(str, _KNOWN)) + ") as known(n, digits, pan, name, note)"
+
+
+@query(f"select c_custkey, digits, pan, name, note from customer join {_KNOWN_SQL} on n = c_nationkey")
 def q_fpe_known_vectors(spark, sf_dir):
-    """The cipher on texts whose ciphertexts are known, and back."""
+    """All ciphers on texts whose ciphertexts are known, for every customer by the nation's number and name."""
+    df = read(spark, sf_dir, "customer").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    n, text = F.col("n_nationkey"), F.col("n_nationkey").cast("string")
+    df = df.select("c_custkey", F.lpad(text, 6, "0").alias("digits"), F.concat(F.lit("ABCDE"), F.lpad(text, 4, "0"), F.char(n + 65)).alias("pan"), F.col("n_name").alias("name"), F.col("n_name").alias("note"))
+    df = columns.fpe_columns(df, [Fpe("digits", "digits"), Fpe("pan", "pan")], {"digits": KEY, "pan": KEY})
+    return columns.encrypt_columns(df, [Encrypt("name", True), Encrypt("note")], {"note": KEY}, {"name": KEY})
 
-    def column(cipher):
-        return F.pandas_udf(lambda k, a, t: pd.Series([cipher(bytes.fromhex(x), z, y) for x, y, z in zip(k, a, t)]), "string")
 
-    df = spark.createDataFrame([v[:3] for v in _VECTORS], "k string, a string, plain string")
-    hidden = df.withColumn("hidden", column(ciphers.fpe_encrypt)("k", "a", "plain"))
-    return hidden.select("plain", "hidden", column(ciphers.fpe_decrypt)("k", "a", "hidden").alias("again"))
+@query(f"select o_orderkey, cast(o_orderkey as varchar) as v, length(cast(o_orderkey as varchar)) as n, digits as known from orders join {_KNOWN_SQL} on known.n = o_orderkey % 25")
+def q_fpe_digits_roundtrip(spark, sf_dir):
+    df = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("v"), F.lpad((F.col("o_orderkey") % 25).cast("string"), 6, "0").alias("known"))
+    hidden = columns.fpe_columns(df, [Fpe("v", "digits"), Fpe("known", "digits")], {"v": KEY, "known": KEY})
+    return hidden.select("o_orderkey", ciphers.digits_column(F.col("v"), KEY, decrypt=True).alias("v"), F.length("v").cast("long").alias("n"), "known")
 
 
 @query("select o_orderkey, lpad(cast(o_orderkey as varchar), 12, '7') as v, true as changed, 12::bigint as n, true as digits from orders")
@@ -246,11 +266,13 @@ def q_fpe_digits_change(spark, sf_dir):
     return hidden.select("o_orderkey", back.alias("v"), (F.col("v") != F.col("plain")).alias("changed"), F.length("v").cast("long").alias("n"), F.col("v").rlike("^[0-9]+$").alias("digits"))
 
 
-@query("select length(cast(o_orderkey as varchar)) as n, count(distinct o_orderkey) as plain, count(distinct o_orderkey) as hidden from orders group by 1")
+@query(f"select length(cast(o_orderkey as varchar)) as n, count(distinct o_orderkey) as plain, count(distinct o_orderkey) as hidden, min(digits) as least from orders join {_KNOWN_SQL} on known.n = o_orderkey % 25 group by 1")
 def q_fpe_bijective(spark, sf_dir):
-    df = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("p"), F.col("o_orderkey").cast("string").alias("v"))
-    hidden = columns.fpe_columns(df, [Fpe("v", "digits")], {"v": KEY})
-    return hidden.groupBy(F.length("v").cast("long").alias("n")).agg(F.countDistinct("p").alias("plain"), F.countDistinct("v").alias("hidden"))
+    """As many ciphertexts as texts of each length; and the least ciphertext of known ones."""
+    key = F.col("o_orderkey")
+    df = read(spark, sf_dir, "orders").select(key.cast("string").alias("p"), key.cast("string").alias("v"), F.lpad((key % 25).cast("string"), 6, "0").alias("known"))
+    hidden = columns.fpe_columns(df, [Fpe("v", "digits"), Fpe("known", "digits")], {"v": KEY, "known": KEY})
+    return hidden.groupBy(F.length("v").cast("long").alias("n")).agg(F.countDistinct("p").alias("plain"), F.countDistinct("v").alias("hidden"), F.min("known").alias("least"))
 
 
 _PAN = "'ABCD' || chr(65 + cast(c_custkey % 26 as int)) || lpad(cast(c_custkey % 10000 as varchar), 4, '0') || chr(65 + cast(c_custkey % 17 as int))"
@@ -272,10 +294,15 @@ def q_encrypt_fp_roundtrip(spark, sf_dir):
     return hidden.select("c_custkey", ciphers.general_column(F.col("c_name"), KEY, "c_name", decrypt=True).alias("c_name"), values.mask_class(F.col("c_name")).alias("shape"), (F.col("c_name") != F.col("plain")).alias("changed"))
 
 
-@query("select c_custkey, c_name, 4 + 2 * length(c_name) as n from customer")
+# The first 32 bytes of the keystream of column "c_name" under KEY.
+_STREAM = "42a49b67349c49c5b8b5a3630d0bc0c65ad9658a4bdea048e97101fc1b416bae"
+
+
+@query(f"""select c_custkey, c_name, 'ENC$' || list_aggregate(list_transform(range(length(c_name)),
+lambda i: printf('%02x', xor(('0x' || substr(hex(encode(c_name)), (2 * i + 1)::bigint, 2))::int, ('0x' || substr('{_STREAM}', (2 * i + 1)::bigint, 2))::int))), 'string_agg', '') as hidden from customer""")
 def q_encrypt_xor_roundtrip(spark, sf_dir):
-    hidden = columns.encrypt_columns(_names(spark, sf_dir), [Encrypt("c_name")], {"c_name": KEY}, {})
-    return hidden.select("c_custkey", ciphers.xor_column(F.col("c_name"), KEY, "c_name", decrypt=True).alias("c_name"), F.length("c_name").cast("long").alias("n"))
+    hidden = columns.encrypt_columns(_names(spark, sf_dir), [Encrypt("c_name")], {"c_name": KEY}, {}).withColumnRenamed("c_name", "hidden")
+    return hidden.select("c_custkey", ciphers.xor_column(F.col("hidden"), KEY, "c_name", decrypt=True).alias("c_name"), "hidden")
 
 
 # ---- quasi-identifiers and the histogram
@@ -387,21 +414,27 @@ def q_first_widths(spark, sf_dir):
     return spark.createDataFrame(rows, "most long, a long, b long")
 
 
-#: Small histograms: name, quasi-identifier, size factor, counts from index 0, k, limit.
-_SMALL = [("ages", Qi("Age", False, 0, 3), 2, (1, 1, 1, 1), 2, 0.0), ("two", Qi("Age", False, 20, 21), 2, (2, 1), 2, 1.0), ("blood", Qi("Blood Group", True), 1, (3, 1, 9, 20, 3), 12, 0.2)]
+#: k and the share of rows that may be suppressed.
+_WALKS = [(5, 0.0), (40, 0.2), (90, 0.05)]
 
 
-@query("""select * from (values ('ages', 1, 2, 0, 8, 2), ('ages', 2, 1, 4, 0, 0), ('two', 1, 2, 0, 9, 1), ('two', 2, 1, 1, 4, 1), ('blood', 1, 2, 7, 841, 1), ('blood', 2, 1, 16, 400, 1))
-as t(name, step, node, suppressed, dm_star, classes)""")
+@query(f"""with recursive s as (select min(p_size) as lo, max(p_size) as hi, count(*) as total from part),
+chain(level, w) as (select 0, 1::bigint union all select level + 1, least(w * 2, hi - lo + 1) from chain, s where w < hi - lo + 1),
+sized as (select level, w, (p_size - lo) // w as i, count(*) as n from part, chain, s group by all),
+scores as (select k, share, level, w, coalesce(sum(n) filter (n < k), 0)::bigint as suppressed, coalesce(sum(n * n) filter (n >= k), 0)::bigint as dm_star, count(*) filter (n >= k) as classes
+from sized, (values {", ".join(map(str, _WALKS))}) as t(k, share) group by all),
+walk(k, step, lo, hi) as (select distinct k, 1, 0, (select max(level) from chain) from scores union all
+select walk.k, step + 1, case when suppressed <= share * total then walk.lo else level + 1 end, case when suppressed <= share * total then level - 1 else walk.hi end
+from walk, s, scores where scores.k = walk.k and level = walk.lo + (walk.hi - walk.lo + 1) // 2 and walk.lo <= walk.hi)
+select walk.k::bigint as k, step::bigint as step, w as node, suppressed, dm_star, classes from walk join scores on scores.k = walk.k and level = walk.lo + (walk.hi - walk.lo + 1) // 2 where walk.lo <= walk.hi""")
 def q_walk_evaluated(spark, sf_dir):
-    """Which nodes the walk evaluates, in order, on histograms small enough to work out by hand."""
+    """Which widths of the parts' size the walk evaluates, in order; over one quasi-identifier it halves the open levels."""
+    df = read(spark, sf_dir, "part").select("p_size")
     rows = []
-    for name, qi, factor, counts, k, limit in _SMALL:
-        hist = spark.createDataFrame(list(enumerate(counts)), "i0 long, cnt long")
-        score = lambda node, hist=hist, k=k: tuple(histogram.score_nodes(hist, [node], k).select("suppressed", "dm_star", "classes").first())
-        found = lattice.search(lattice.levels([qi], (1,), {qi.name: factor}), score, k, limit, sum(counts))
-        rows += [(name, step, s.node[0], s.suppressed, s.dm_star, s.classes) for step, s in enumerate(found.evaluated, 1)]
-    return spark.createDataFrame(rows, "name string, step long, node long, suppressed long, dm_star long, classes long")
+    for k, share in _WALKS:
+        model = Anonymizer(Config(k=k, suppression_limit=share, numerical=(NumericQi("p_size"),), size={"p_size": 2})).fit(df)
+        rows += [(k, step, s.node[0], s.suppressed, s.dm_star, s.classes) for step, s in enumerate(model.found.evaluated, 1)]
+    return spark.createDataFrame(rows, "k long, step long, node long, suppressed long, dm_star long, classes long")
 
 
 _SCORES = f"""{_NODES}, hist as ({_HIST}),
