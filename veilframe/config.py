@@ -152,7 +152,7 @@ class Config:
     """Everything a run needs. ``max_equivalence_classes`` bounds the first search; None leaves it unbounded.
 
     Some choices go beyond the JSON file's core: ``exhaustive`` ranks every passing node, ``max_nodes`` bounds
-    how many the search evaluates,
+    how many the search evaluates, ``hierarchies`` names a table for a column (below the root unless absolute),
     ``categorical_scoring`` is "index" or "hierarchy", and ``derived_patterns`` False leaves
     patterns without a length unapplied.
     """
@@ -175,6 +175,7 @@ class Config:
     max_equivalence_classes: int | None = None
     exhaustive: bool = False
     max_nodes: int | None = None
+    hierarchies: Mapping[str, str] = field(default_factory=dict)
     categorical_scoring: str = "index"
     derived_patterns: bool = True
     source: str = ""
@@ -236,6 +237,7 @@ def parse_config(body: Mapping[str, Any], source: str = "") -> Config:
         size={c: max(n, 1) for c, n in get("size", dict, {}).items() if whole(n)},
         max_equivalence_classes=classes if whole(classes) else None,
         exhaustive=section.get("exhaustive_search") is True,
+        hierarchies={c: p for c, p in get("hierarchies", dict, {}).items() if isinstance(p, str)},
         max_nodes=section["max_nodes"] if whole(section.get("max_nodes")) and section["max_nodes"] > 0 else None,
         categorical_scoring="hierarchy" if section.get("categorical_scoring") == "hierarchy" else "index",
         derived_patterns=section.get("regex_compat") != "reference",

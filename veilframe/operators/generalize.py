@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from veilframe.errors import PipelineError
 from veilframe.functions.values import number
 from veilframe.operators import membership
-from veilframe.operators.hierarchy import ANY, Hierarchy, base_name, hierarchy_of
+from veilframe.operators.hierarchy import ANY, Hierarchy, HierarchyTable, base_name, hierarchy_of
 from veilframe.operators.histogram import Qi, source_column
 from veilframe.shared import cut
 
@@ -29,7 +29,7 @@ def generalized(df: DataFrame, qis: Sequence[Qi], node: Sequence[int], own: Mapp
     """The frame with all quasi-identifiers at the node's levels; other columns as they are. Streams too."""
     if len(qis) != len(node):
         raise PipelineError("GENERALIZATION_FAILED", "The node does not fit the quasi-identifiers", f"{len(node)} and {len(qis)}")
-    changed = {}
+    changed, order = {}, df.columns
     for q, level in zip(qis, node):
         name = source_column(df, q.name)
         c = F.col(name)
@@ -37,10 +37,15 @@ def generalized(df: DataFrame, qis: Sequence[Qi], node: Sequence[int], own: Mapp
             changed[name] = numeric_label(c, q.low or 0.0, level)
             continue
         try:
-            changed[name] = hierarchy_of(base_name(q.name), own).column(c.cast("string"), level)
+            h = hierarchy_of(base_name(q.name), own)
         except PipelineError:
             changed[name] = c.cast("string")  # a column without a hierarchy stays as it is
-    return df.withColumns(changed)
+            continue
+        if isinstance(h, HierarchyTable):
+            df = h.joined(df, c.cast("string"), level, name)
+        else:
+            changed[name] = h.column(c.cast("string"), level)
+    return df.withColumns(changed).select(*[F.col(c) for c in order])
 
 
 def class_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

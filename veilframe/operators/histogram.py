@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from veilframe.errors import PipelineError
 from veilframe.functions.values import number, trimmed
-from veilframe.operators.hierarchy import base_name
+from veilframe.operators.hierarchy import HierarchyTable, base_name
 from veilframe.shared import cut, numbered
 
 
@@ -69,16 +69,21 @@ def cells(df: DataFrame, qis: Sequence[Qi], widths: Sequence[int] | None = None)
     return read.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def indexed(found: DataFrame, qis: Sequence[Qi]) -> DataFrame:
-    """``i0, i1, ..., cnt`` of the ``cells`` that have all quasi-identifiers; categories become their place in the domain."""
-    keys = [f"i{n}" for n in range(len(qis))]
+def indexed(found: DataFrame, qis: Sequence[Qi], tables: Mapping[int, HierarchyTable] | None = None) -> DataFrame:
+    """``i0, i1, ..., cnt`` of the ``cells`` that have all quasi-identifiers.
+
+    Categories become their place in the domain or, for those with a hierarchy in ``tables``, the array of their classes.
+    """
+    tables, keys = tables or {}, [f"i{n}" for n in range(len(qis))]
     named = [k for k, q in zip(keys, qis) if q.categorical]
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     out = found.withColumns({k: trimmed(F.col(k)) for k in named}) if named else found
-    domains = {k: numbered(out.where(F.col(k).isNotNull()).select(k).distinct(), [k], "__idx", 0) for k in named}
+    domains = {k: numbered(out.where(F.col(k).isNotNull()).select(k).distinct(), [k], "__idx", 0) for n, k in enumerate(keys) if k in named and n not in tables}
     out = out.where(whole)
     for k, values in domains.items():
         out = out.join(values, k).withColumn(k, F.col("__idx").cast("long")).drop("__idx")
+    for n, table in tables.items():
+        out = table.paths(out, f"i{n}")
     return (out.groupBy(*keys).agg(F.sum("n").alias("cnt")) if named else out.withColumnRenamed("n", "cnt")).select(*keys, "cnt")
 
 

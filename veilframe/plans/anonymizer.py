@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veilframe.config import Config
 from veilframe.errors import PipelineError
 from veilframe.operators import generalize, histogram
-from veilframe.operators.hierarchy import Hierarchy, hierarchy_of
+from veilframe.operators.hierarchy import Hierarchy, HierarchyTable, hierarchy_of
 from veilframe.operators.histogram import Qi, domain, source_column
 from veilframe.plans import lattice
 from veilframe.plans.rollup import Rollup
@@ -38,7 +38,7 @@ class Model:
     found: lattice.Found
     total: int
     class_sizes: Mapping[int, int]
-    own: Mapping[str, Hierarchy] | None = None
+    own: Mapping[str, Hierarchy | HierarchyTable] | None = None
 
     @property
     def node(self) -> lattice.Node:
@@ -72,7 +72,7 @@ def label_counts(model: Model, df: DataFrame, cells: DataFrame, widths: Sequence
 
 
 class Anonymizer:
-    def __init__(self, cfg: Config, hierarchies: Mapping[str, Hierarchy] | None = None) -> None:
+    def __init__(self, cfg: Config, hierarchies: Mapping[str, Hierarchy | HierarchyTable] | None = None) -> None:
         self.cfg, self.own = cfg, hierarchies
 
     def _classes(self, df: DataFrame, qis: list[Qi]) -> dict[int, list[list[int]]]:
@@ -81,6 +81,8 @@ class Anonymizer:
         for i, q in enumerate(qis):
             if q.categorical and self.cfg.categorical_scoring == "hierarchy":
                 h = hierarchy_of(q.name, self.own)
+                if isinstance(h, HierarchyTable):
+                    continue
                 values = [r["value"] for r in domain(df, source_column(df, q.name)).orderBy("idx").collect()]
                 out[i] = []
                 for level in range(1, h.depth + 1):
@@ -104,14 +106,15 @@ class Anonymizer:
         initial = lattice.first_widths(qis, cfg.size, cfg.max_equivalence_classes, self.own)
         unit = [1 if q.categorical else w for q, w in zip(qis, initial)]  # indices are in units of the first widths
         cells = histogram.kept(histogram.cells(df, qis, unit))
-        hist = histogram.indexed(cells, qis)
+        tables = {n: h for n, q in enumerate(qis) if q.categorical and cfg.categorical_scoring == "hierarchy" and isinstance(h := hierarchy_of(q.name, self.own), HierarchyTable)}
+        hist = histogram.indexed(cells, qis, tables)
         hist = histogram.kept(hist) if any(q.categorical for q in qis) else hist
-        most = [F.coalesce(F.max(f"i{n}"), F.lit(0)).alias(f"m{n}") for n in range(len(qis))]
+        most = [(F.lit(0) if n in tables else F.coalesce(F.max(f"i{n}"), F.lit(0))).alias(f"m{n}") for n in range(len(qis))]
         total, count, *last = hist.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total"), F.count("*").alias("count"), *most).first()
         lattice.check(cfg.k, cfg.suppression_limit, total)
         grid = lattice.levels(qis, initial, cfg.size, self.own)
         scaled = lambda node: tuple(max(1, f // u) for f, u in zip(node, unit))
-        rollup = Rollup(hist, count, [m + 1 for m in last], cfg.k, self._classes(df, qis), [scaled(n) for n in grid[1]] if len(grid) > 1 else [])
+        rollup = Rollup(hist, count, [m + 1 for m in last], cfg.k, self._classes(df, qis), [scaled(n) for n in grid[1]] if len(grid) > 1 else [], list(tables))
 
         def score(node: lattice.Node) -> tuple[int, int, int]:
             return rollup.score([scaled(node)])[scaled(node)]

@@ -33,11 +33,12 @@ class Rollup:
     """Over ``hist(i0, i1, ..., cnt)`` of ``cells`` rows, in the units of its indices; quasi-identifier i has ``sizes[i]`` of them.
 
     ``first``: the nodes just above the finest. They are made in the one pass over ``hist``, together with the nodes that
-    are asked for first, so that later ones have a smaller source. Classes of scored nodes are Parquet in the shared
+    are asked for first, so that later ones have a smaller source. The indices of quasi-identifiers in ``paths`` are arrays of nested classes from level 1 up. Classes of scored nodes are Parquet in the shared
     folder, each node's together so that a reader skips the others, until ``close``.
     """
 
-    def __init__(self, hist: DataFrame, cells: int, sizes: Sequence[int], k: int, classes: Classes | None = None, first: Sequence[Node] = ()) -> None:
+    def __init__(self, hist: DataFrame, cells: int, sizes: Sequence[int], k: int, classes: Classes | None = None, first: Sequence[Node] = (), paths: Sequence[int] = ()) -> None:
+        self.paths = set(paths)
         self.sizes, self.k, self.classes, self.first = sizes, k, classes or {}, list(first)
         self.keys = [f"i{n}" for n in range(len(sizes))]
         self.base: Node = (1,) * len(sizes)
@@ -49,6 +50,8 @@ class Rollup:
 
     def step(self, i: int, fine: int, coarse: int) -> list[int] | int | None:
         """How an index at level ``fine`` becomes one at ``coarse``: a divisor (0: all become one), a list of classes, or None if it does not."""
+        if i in self.paths:
+            return coarse - fine + 1
         if i in self.classes:
             to: dict[int, int] = {}
             for a, b in zip(self.classes[i][fine - 1], self.classes[i][coarse - 1]):
@@ -66,6 +69,8 @@ class Rollup:
 
     def _index(self, i: int, fine: int, coarse: int) -> Column:
         how, at = self.step(i, fine, coarse), F.col(self.keys[i])
+        if i in self.paths:
+            return F.slice(at, how, F.size(at)) if how > 1 else at
         if isinstance(how, list):
             return F.element_at(F.lit(how).cast("array<long>"), (at + 1).cast("int"))
         return F.lit(0).cast("long") if how == 0 else at if how == 1 else F.expr(f"{self.keys[i]} div {how}")

@@ -14,6 +14,7 @@ from veilframe.config import Config, find_config, load_config
 from veilframe.errors import PipelineError, from_os_error, require
 from veilframe.functions.values import random_hex
 from veilframe.operators import columns, tokenize
+from veilframe.operators.hierarchy import read_hierarchy
 from veilframe.plans.anonymizer import Anonymizer
 from veilframe.shared import cut
 from veilframe.sources import state, tables
@@ -88,7 +89,8 @@ def run(spark: SparkSession, root: str, single_file: bool = False, json_vault: b
     log.info("[preprocess] done")
     # salts and random letters must be the same for search and output, and the CSV is parsed once
     df = cut(df)
-    model, result = Anonymizer(cfg).fit_transform(df)
+    own = {c: read_hierarchy(spark, join(root, p)) for c, p in cfg.hierarchies.items()}
+    model, result = Anonymizer(cfg, own).fit_transform(df)
     best = model.found.best
     log.info("[search] best node %s of %d evaluated", list(best.node), len(model.found.evaluated))
     target = join(out, cfg.output_path)
