@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,8 +32,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read from there: nothing then holds on to the shuffles that made it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def sweep(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished steps now: it does so when the driver collects its garbage, which may come late."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 

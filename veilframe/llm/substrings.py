@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import HOT_KEYS, cut, remove, shared_dir, sweep, with_unique
+from veilframe.llm.common import HOT_KEYS, cut, remove, shared_dir, stored, sweep, with_unique
 
 #: Words of the grams that anchors are chosen from.
 GRAM = 5
@@ -373,16 +373,15 @@ def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
     """``d, h, starts`` of ``docs(d, h, text)`` with windows that a smaller d has too; ``starts`` holds lists of their first words."""
     spark = docs.sparkSession
     shared = docs.mapInArrow(_count_anchors(n), "a long, low long, high long, n long").groupBy("a").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-    shared = cut(shared.where("low < high").select("a", "n"))
+    path = f"{shared_dir(spark)}/passages-{uuid.uuid4().hex}"
+    shared = stored(shared.where("low < high").select("a", "n"), f"{path}/anchors")
     sweep(spark)
     count, total = shared.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     known = spark.sparkContext.broadcast(bloom(shared, count, BLOOM_BITS))  # BLOOM_BITS at most
     rows = "key long, u long, d long, h long, pos int"
     sums = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")]
     found = docs.mapInArrow(_passages(n, known, True), f"{rows}, text binary").groupBy("key", "u", "text").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n"))
-    path = f"{shared_dir(spark)}/passages-{uuid.uuid4().hex}"
-    found.write.parquet(path)
-    found = spark.read.parquet(path)
+    found = stored(found, f"{path}/passages")
     sweep(spark)
     crowd = cut(found.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"))
     many = crowd.count()
@@ -392,15 +391,18 @@ def repeated_windows(docs: DataFrame, n: int) -> DataFrame:
     one = each.select(F.col("wkey").alias("key"), F.col("wu").alias("u"), "text", "low", "high", "n").groupBy("key", "u", "text").agg(*sums)
     shards = max(1, -(-total // SHARD))
     grouped = cool.unionByName(one).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    hits = cut(grouped.groupBy("shard").applyInArrow(_match(n), f"key long, u long, n long, hits {HITS}"))
+    hits = stored(grouped.groupBy("shard").applyInArrow(_match(n), f"key long, u long, n long, hits {HITS}"), f"{path}/hits")
     # passages of one hash but different words would stand here twice
     hits = hits.groupBy("key", "u").agg(F.sum("n").alias("n"), F.flatten(F.collect_list("hits")).alias("hits"))
     if many:
         ours = with_unique(each.select("key", "u", "at", "n", "wkey", "wu").withColumnRenamed("n", "__n"), hits.select(F.col("key").alias("wkey"), F.col("u").alias("wu"), "n", "hits"), ["wkey", "wu"], "n", total, F.col("u"))
         ours = ours.where("hits is not null").select("key", "u", F.col("__n").alias("n"), F.explode("hits").alias("x"), "at")
         back = ours.groupBy("key", "u").agg(F.max("n").alias("n"), F.collect_list(F.struct("at", F.col("x.first").alias("first"))).alias("hits"))
-        hits = cut(hits.unionByName(back))  # the windows' own hits meet no passage
-    remove(spark, path)
+        hits = stored(hits.unionByName(back), f"{path}/all-hits")  # the windows' own hits meet no passage
+        remove(spark, f"{path}/hits")
+    for name in ("anchors", "passages"):
+        remove(spark, f"{path}/{name}")
+    del found, cool, each, one, grouped
     sweep(spark)
     placed = with_unique(docs.mapInArrow(_passages(n, known, False), rows), hits, ["key", "u"], "n", total, F.col("h"))
     earlier = F.transform(F.filter("hits", lambda x: x["first"] < F.col("d")), lambda x: x["at"] + F.col("pos"))
