@@ -118,7 +118,7 @@ def pack(
     With a given ``length`` only places are made, without that column. A text longer than the largest
     size is cut into parts of that size and a rest; nothing is dropped. Null and empty texts take one token, and so
     does a null or empty array, which gives ``pad``, and a given ``length`` that is null or below one. Ties in
-    rank are equal items. Repeated rows are packed as often as they occur; rows without an id are packed too. An empty
+    rank, by id, part and a hash of what the row holds, are equal items. Repeated rows are packed as often as they occur; rows without an id are packed too. An empty
     table gives an empty result; other columns are not looked at.
     """
     most, no_tokens = max(sizes), F.lit(1).cast("long")
@@ -128,7 +128,8 @@ def pack(
         count, held = F.size(tokens).cast("long"), tokens
     else:
         count, held = byte_tokens(F.col("text")), F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    spread = F.xxhash64(id_col, *(["text"] if "text" in docs.columns else []))  # so that rows without an id are dealt out too
+    # so that rows without an id are dealt out too, and rows of one id that differ stand in one order whenever they are ranked
+    spread = F.xxhash64(id_col, *([F.col("text")] if "text" in docs.columns else []), *([tokens] if tokens is not None else []))
     rows = docs.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(count, no_tokens), no_tokens).alias("count"), held.alias("held"), spread.alias("spread"))
     rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("count") - 1) / most).cast("int"))))
     rows = rows.withColumn("start", F.col("part").cast("long") * most).withColumn("length", F.least(F.lit(most).cast("long"), F.col("count") - F.col("start")))
@@ -142,7 +143,7 @@ def pack(
         ended = F.col("start") + F.col("length") == F.col("count")
         piece = [F.concat(F.substring("held", first, n), F.when(ended, F.lit(b"\0")).otherwise(F.lit(b""))).alias("tokens")]
     names = ["id", "part", "start", "length"]
-    items = cut(rows.select(*names, F.pmod(F.xxhash64("spread", "part"), F.lit(RANK_PARTS)).cast("int").alias("rank_part"), *piece))
+    items = cut(rows.select(*names, "spread", F.pmod(F.xxhash64("spread", "part"), F.lit(RANK_PARTS)).cast("int").alias("rank_part"), *piece))
     sums = cut(items.groupBy("length", "rank_part").count())
     counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most max(sizes) rows
     ranges = sorted(plan(counts, sizes, cost))
@@ -158,7 +159,7 @@ def pack(
 
     before = Window.partitionBy("length").orderBy("rank_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("length", "rank_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "rank_part").orderBy("id", "part")
+    within = Window.partitionBy("length", "rank_part").orderBy("id", "part", "spread")
     ranked = items.withColumn("no", F.row_number().over(within)).join(offsets, ["length", "rank_part"])
     content = ["tokens"] if piece else []
     placed = ranked.select(*names, *content, place("length", (F.col("before") + F.col("no") - 1).cast("long")).alias("at"))
