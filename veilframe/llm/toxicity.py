@@ -35,8 +35,8 @@ IDENTITY_TERMS: dict[str, tuple[str, ...]] = {
 SPACE = 1 << 26
 #: Labelled rows that a model is fitted on, at most: those with the smallest hash of their id.
 TRAIN_ROWS = 20_000
-#: Features of a model unless told otherwise: those of the largest chi-square.
-FEATURES = 4096
+#: Features of a model stand in so many labelled rows and differ so much between the classes, by chi-square.
+LEAST_ROWS, LEAST_CHI = 3, 12
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]+")
 #: Words kept with their features in each Python worker.
@@ -101,10 +101,10 @@ def train_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column |
     return found.groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("n")).agg(F.max(F.struct("y", "text")).alias("r")).select("r.y", "r.text")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column | None = None, rows: int = TRAIN_ROWS, features: int = FEATURES, kinds: Mapping[str, Sequence[str]] = IDENTITY_TERMS, penalty: float = 10.0, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column | None = None, rows: int = TRAIN_ROWS, kinds: Mapping[str, Sequence[str]] = IDENTITY_TERMS, penalty: float = 10.0, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model of ``label`` from the labelled rows that ``keep`` holds for, at most ``rows`` of them.
 
-    The ``features`` of the largest chi-square over the sample, of 12 or more, enter the model. With no rows, or one class only, the
+    All features of ``LEAST_ROWS`` rows of the sample and a chi-square of ``LEAST_CHI`` or more enter the model. With no rows, or one class only, the
     model is a constant. Null texts count as empty; of an id's several labels the largest counts.
     """
 
@@ -124,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column |
     seen = rows_.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("c"), F.sum((F.col("y") != 0).cast("long")).alias("p"))
     total, rate = float(n0 + n1), n1 / (n0 + n1)
     chi = (F.col("p") - F.col("c") * rate) ** 2 / (F.col("c") * rate * (1 - rate) * (1.000001 - F.col("c") / total))
-    best = seen.where("c >= 3").withColumn("chi", chi).where("chi >= 12").orderBy(F.desc("chi"), "f").limit(features)
+    best = seen.where(F.col("c") >= LEAST_ROWS).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI)
     chosen = np.array(sorted(r["f"] for r in best.select("f").collect()), np.int64)
     index = {int(f): i for i, f in enumerate(chosen)}
     keep_f = F.array_intersect("f", F.lit(chosen.tolist()).cast("array<int>"))
