@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from veilframe.llm import substrings
-from veilframe.llm.substrings import Bloom, SuffixAutomaton, Words, anchors
+from veilframe.llm.bloom import Bloom
+from veilframe.llm.substrings import SuffixAutomaton, Words, anchors
 
 SCHEMA = "doc_id long, text string, d int, h string, kept string"
 

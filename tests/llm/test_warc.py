@@ -42,7 +42,7 @@ def test_frames_by_hand(spark, tmp_path):
     spark.createDataFrame(ROWS, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
     warc.write_archives(spark.read.parquet(f"{tmp_path}/pages.parquet"), f"{tmp_path}/w")
     seen = 0
-    for f in glob.glob(f"{tmp_path}/w/part-*"):
+    for f in glob.glob(f"{tmp_path}/w/*/part-*"):
         data = open(f, "rb").read()
         magic, size = struct.unpack_from("<II", data)
         assert magic == warc.DICTIONARY_FRAME
@@ -84,14 +84,44 @@ def test_empty(spark, tmp_path):
 
 @pytest.mark.parametrize("sent", [0, 10**6])
 def test_archives_roll_over(spark, tmp_path, monkeypatch, sent):
-    """Each archive has its own head, whether revisits are sent to the tasks or joined."""
-    monkeypatch.setattr(warc, "ARCHIVE_VALUES", 16)
+    """Each archive has its own head and closes by bytes, whether revisits are sent to the tasks or joined."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 30_000)
     monkeypatch.setattr(warc, "SENT_REVISITS", sent)
     df = spark.createDataFrame(ROWS, "page_id long, url string, html string").coalesce(1)
     warc.write_archives(df, f"{tmp_path}/w")
-    files = [f for f in glob.glob(f"{tmp_path}/w/part-*") if open(f, "rb").read(4)]
-    assert len(files) >= len(ROWS) // 15
+    files = [f for f in glob.glob(f"{tmp_path}/w/*/part-*") if open(f, "rb").read(4)]
+    assert len(files) > 1
+    assert all(len(data) <= 30_000 or len(list(warc.parse(data))) == 1 for data in (open(f, "rb").read() for f in files))
     assert all(struct.unpack("<I", open(f, "rb").read(4))[0] == warc.DICTIONARY_FRAME for f in files)
-    assert all(len(list(warc.parse(open(f, "rb").read()))) <= 15 for f in files)
     got = warc.read_archives(spark, f"{tmp_path}/w").collect()
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected(ROWS)
+
+
+def test_pages_larger_than_an_archive(spark, tmp_path, monkeypatch):
+    """No archive grows beyond one such page, so a reader with a small limit a file reads them all."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1 << 20)
+    rnd = __import__("random").Random(1)
+    rows = [(i, "u", rnd.randbytes(1_500_000).hex()) for i in range(4)] + [(10 + i, "u", f"small {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, f"{tmp_path}/w")
+    sizes = sorted(len(open(f, "rb").read()) for f in glob.glob(f"{tmp_path}/w/*/part-*"))
+    assert len(sizes) >= 5 and sizes[-1] < 2_500_000
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "3000000")
+    try:
+        got = warc.read_archives(spark, f"{tmp_path}/w").collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected(rows)
+
+
+def test_payloads_are_shuffled_for_revisits_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SENT_REVISITS", 0)
+    rows = [(i, "u", f"page {i // 2 if i < 20 else i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    keyed = df.select(F.col("page_id").alias("id"), F.sha1(F.col("html").cast("binary")).alias("sha1"))
+    revisits = keyed.where("id < 20 and id % 2 = 0").select(F.col("id").alias("rid"), F.col("sha1").alias("rsha1"))
+    marked = warc._marked(keyed, revisits, 10)
+    assert marked.where("maybe").count() < 40 and marked.where("maybe and id < 20 and id % 2 = 0").count() == 10
+    warc.write_archives(df, f"{tmp_path}/w")
+    got = warc.read_archives(spark, f"{tmp_path}/w").collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected(rows)

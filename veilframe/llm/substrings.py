@@ -26,6 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.llm.bloom import bloom, mixed
 from veilframe.llm.common import HOT_KEYS, cut, remove, shared_dir, stored, sweep, with_unique
 
 #: Words of the grams that anchors are chosen from.
@@ -39,12 +40,6 @@ SHARD = 4_000
 _LAST = (1 << 63) - 1
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return h ^ h >> np.uint64(31)
-
-
 class Words:
     """The words of some texts, put together: ``buffer`` has each followed by a space, and word w lies at ``at[w]:at[w + 1] - 1``;
     the words of text t are ``first[t]:first[t + 1]``."""
@@ -73,7 +68,7 @@ class Words:
                 within = np.arange(lo, hi) - np.repeat(self.at[w:to], np.diff(self.at[w : to + 1]))
                 out[w:to] = np.add.reduceat((self.buffer[lo:hi].astype(np.uint64) + np.uint64(1)) * powers[within], self.at[w:to] - lo)
                 w = to
-            return _mixed(out)
+            return mixed(out)
 
 
 @dataclass
@@ -98,7 +93,7 @@ def anchors(words: Words, n: int) -> Anchors:
     with np.errstate(over="ignore"):
         g = h[: count - gram + 1].copy()
         for j in range(1, gram):
-            g = _mixed(g * np.uint64(0x9E3779B97F4A7C15) + h[j : count - gram + 1 + j])
+            g = mixed(g * np.uint64(0x9E3779B97F4A7C15) + h[j : count - gram + 1 + j])
     g |= np.uint64(1)
     least, width = g, 1
     while width < span:
@@ -120,58 +115,6 @@ def anchors(words: Words, n: int) -> Anchors:
     return Anchors(at, g[at], low[at], high[at], np.searchsorted(words.first, at, "right") - 1, h)
 
 
-class Bloom:
-    """A filter in blocks: a key's block is told by its upper bits, its three bits in the block by the others."""
-
-    BLOCK = 1 << 16
-
-    def __init__(self, blocks: int, bits: np.ndarray) -> None:
-        self.blocks, self.bits = blocks, bits
-
-    @staticmethod
-    def places(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        with np.errstate(over="ignore"):
-            x = _mixed(keys * np.uint64(0xD6E8FEB86659FD93))
-        return ((x >> np.uint64(48)) % np.uint64(blocks)).astype(np.int64), [((x >> np.uint64(16 * i)) & np.uint64(Bloom.BLOCK - 1)).astype(np.int64) for i in range(3)]
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        if not self.blocks:
-            return np.zeros(keys.size, bool)
-        block, places = self.places(keys, self.blocks)
-        out = np.ones(keys.size, bool)
-        for p in places:
-            out &= (self.bits[block * (self.BLOCK // 8) + (p >> 3)] >> (p & 7).astype(np.uint8) & 1).astype(bool)
-        return out
-
-
-def bloom(keys: DataFrame, count: int, most_bits: int) -> Bloom:
-    """Of the longs ``a`` of a frame with ``count`` rows: 16 bits each, ``most_bits`` altogether at most. Tasks make the blocks."""
-    if not count:
-        return Bloom(0, np.empty(0, np.uint8))
-    blocks = max(1, min(16 * count, most_bits) // Bloom.BLOCK)
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}
-        for b in batches:
-            block, places = Bloom.places(b.column(0).to_numpy().view(np.uint64), blocks)
-            for k in np.unique(block):
-                bits = made.setdefault(int(k), np.zeros(Bloom.BLOCK // 8, np.uint8))
-                for p in places:
-                    mine = p[block == k]
-                    np.bitwise_or.at(bits, mine >> 3, np.uint8(1) << (mine & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int64()), pa.array([v.tobytes() for v in made.values()], pa.binary())], names=["block", "bits"])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(Bloom.places(b.column(0).to_numpy().view(np.uint64), blocks)[0])], names=["a", "block"])
-
-    bits = np.zeros(blocks * Bloom.BLOCK // 8, np.uint8)
-    for r in keys.select("a").mapInArrow(place, "a long, block long").repartition("block").select("a").mapInArrow(fill, "block long, bits binary").collect():  # most_bits altogether
-        at = r["block"] * Bloom.BLOCK // 8
-        bits[at : at + Bloom.BLOCK // 8] |= np.frombuffer(bytes(r["bits"]), np.uint8)
-    return Bloom(blocks, bits)
-
-
 def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Order keys, text hashes and texts of some documents at a time."""
     ids: list[int] = []
@@ -216,7 +159,7 @@ def _hash_of(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarr
             power *= np.uint64(0xC2B2AE3D27D4EB4F)
             on = size > j
             u[on] += words[first[on] + j] * power
-        return _mixed(u + size.astype(np.uint64))
+        return mixed(u + size.astype(np.uint64))
 
 
 def _passages(n: int, shared: Broadcast, with_text: bool):
@@ -258,7 +201,7 @@ def _windows(n: int):
                 wu, raw = _hash_of(words.hashes(), first, first + n), words.buffer.tobytes()
                 text = pa.array([raw[x:y] for x, y in zip(words.at[first].tolist(), (words.at[first + n] - 1).tolist())], pa.binary())
                 own = [part.column(c).take(pa.array(row)) for c in ("key", "u", "low", "high", "n")]
-                keys = [pa.array(x.view(np.int64)) for x in (_mixed(wu), wu)]
+                keys = [pa.array(x.view(np.int64)) for x in (mixed(wu), wu)]
                 yield pa.RecordBatch.from_arrays([*own[:2], pa.array(place.astype(np.int32)), *own[2:], *keys, text], names=["key", "u", "at", "low", "high", "n", "wkey", "wu", "text"])
 
     return run

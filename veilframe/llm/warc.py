@@ -16,12 +16,15 @@ import struct
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilframe.llm.bloom import bloom
 from veilframe.llm.common import cut
 
 # Magic numbers of skippable frames, of a dictionary and of any content.
@@ -29,10 +32,10 @@ DICTIONARY_FRAME, SKIPPED_FRAME = 0x184D2A5D, 0x184D2A50
 LINE_FEED_FRAME = struct.pack("<II", SKIPPED_FRAME, 1)
 #: Records that the dictionary is trained on, at most, the bytes of each that are used, from anywhere in it, and its size.
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 8192, 65_536
-#: Values of an archive, its head included; a task begins a new one after so many.
-ARCHIVE_VALUES = 4096
-#: Revisits that are sent to every task instead of joined by a shuffle of the payloads; of about 100 bytes each.
-SENT_REVISITS = 500_000
+#: Bytes of an archive; a record that would pass them begins a new one, and only a longer record stands in a longer archive.
+ARCHIVE_BYTES = 1 << 26
+#: Revisits that are sent to every task as they are, of about 100 bytes each; of more, a filter of so many bits at most.
+SENT_REVISITS, FILTER_BITS = 500_000, 1 << 28
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 6
@@ -77,7 +80,7 @@ def _payloads(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Dat
 
 
 def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """Write one record for each row into archives of at most ``ARCHIVE_VALUES`` under ``path``.
+    """Write one record for each row into archives of about ``ARCHIVE_BYTES`` under ``path``.
 
     Of rows with equal payloads of at least ``min_revisit_bytes`` the one with the largest id is the
     response, the others are revisits of it; shorter payloads are all responses. Rows that repeat an
@@ -96,29 +99,49 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_c
     newest = keyed.groupBy("sha1").agg(F.max("id").alias("refers_to"))
     revisits = pairs.join(newest, "sha1").where("refers_to is not null and not (id <=> refers_to)").select(F.col("id").alias("rid"), F.col("sha1").alias("rsha1"), "refers_to")
     rows, revisits = rows.withColumn("sha1", F.sha1("payload")), cut(revisits)
-    if revisits.count() <= SENT_REVISITS:
-        revisits = F.broadcast(revisits)
-    rows = rows.join(revisits, F.col("id").eqNullSafe(F.col("rid")) & (F.col("sha1") == F.col("rsha1")), "left").select("id", "url", "payload", "sha1", "refers_to")
+    same = F.col("id").eqNullSafe(F.col("rid")) & (F.col("sha1") == F.col("rsha1"))
+    columns = ["id", "url", "payload", "sha1", "refers_to"]
+    if (count := revisits.count()) <= SENT_REVISITS:
+        rows = rows.join(F.broadcast(revisits), same, "left").select(*columns)
+    else:  # payloads of revisits, and of the few that the filter takes for some, meet them by key; all others stay where they are
+        marked = _marked(rows, revisits, count)
+        rows = marked.where("not maybe").withColumn("refers_to", F.lit(None).cast("long")).select(*columns)
+        rows = rows.unionByName(marked.where("maybe").join(revisits, same, "left").select(*columns))
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = shared.value
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw))
         head = struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw + LINE_FEED_FRAME
-        written = 0
+        archive, size, no = -1, ARCHIVE_BYTES, 0
         for b in batches:
-            out = []
+            out: list[tuple[int, int, bytes]] = []
             for page_id, url, payload, sha1, refers_to in zip(*(c for c in b.columns)):
                 to = refers_to.as_py()
                 digest = base64.b32encode(bytes.fromhex(sha1.as_py())).decode()
-                if written % ARCHIVE_VALUES == 0:  # the writer begins a new file here
-                    out.append(head)
-                    written += 1
-                written += 1
-                out.append(packer.compress(record(page_id.as_py(), url.as_py(), payload.as_py(), digest, to, to is not None)) + LINE_FEED_FRAME)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-
-    frames = rows.mapInArrow(compress, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    frames.write.option("lineSep", "\n").option("maxRecordsPerFile", ARCHIVE_VALUES).text(path)
+                frame = packer.compress(record(page_id.as_py(), url.as_py(), payload.as_py(), digest, to, to is not None)) + LINE_FEED_FRAME
+                if archive < 0 or size + len(frame) + 1 > ARCHIVE_BYTES:
+                    archive, size, no = archive + 1, len(head) + 1, no + 1
+                    out.append((archive, no, head))
+                size, no = size + len(frame) + 1, no + 1  # with the line feed
+                out.append((archive, no, frame))
+            cols = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.binary()))], names=["archive", "no", "frame"])
+
+    # a task's archives, each a file of its own; the writer keeps the order in which it gets the frames
+    frames = rows.mapInArrow(compress, "archive int, no long, frame binary").sortWithinPartitions("archive", "no")
+    frames.select("archive", F.col("frame").cast("string").alias("value")).write.partitionBy("archive").option("lineSep", "\n").text(path)
+
+
+def _marked(rows: DataFrame, revisits: DataFrame, count: int) -> DataFrame:
+    """``rows`` with ``maybe``, true for all revisits and few others."""
+    own = revisits.select(F.xxhash64(F.coalesce("rid", F.lit(0)), F.col("rid").isNull(), "rsha1").alias("a"))
+    known = rows.sparkSession.sparkContext.broadcast(bloom(own, count, FILTER_BITS))  # FILTER_BITS at most
+
+    @F.pandas_udf("boolean")
+    def has(h: pd.Series) -> pd.Series:
+        return pd.Series(known.value.has(h.to_numpy().view(np.uint64)))
+
+    return rows.withColumn("maybe", has(F.xxhash64(F.coalesce("id", F.lit(0)), F.col("id").isNull(), "sha1")))
 
 
 def _fields(head: bytes) -> dict[str, str]:
