@@ -226,8 +226,9 @@ WORDS, PARTS, RADIUS, LIMIT = 5, 2, 8, 23
 SHARE = (4, 5)
 #: Bands of so many least hashes that propose pairs; at a share of 0.8 a pair has no band in common with probability 3e-6.
 BANDS, ROWS = 32, 5
-#: 64-bit parts of the fingerprint over different shingles, and the bits a proposed pair may differ by. A share of 0.8
-#: makes at most 15.2 % differing bits on average: 38.8 of 256, deviation 5.7; the limit is five deviations above.
+#: 64-bit parts of the fingerprint over different shingles, and the bits a proposed pair may differ by. Over many shingles a
+#: share of 0.8 makes about 15 % differing bits, 38.8 of 256, deviation 5.7. Over few it makes more: 4 of 5 shingles differ in
+#: 48 bits, deviation 6.2, and of such pairs 0.08 % are beyond the limit.
 SET_PARTS, SET_LIMIT = 4, 68
 #: Most shingles of a chunk of a component that is checked at a time.
 SHINGLES = 1 << 19
