@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import cut, with_unique
+from veilframe.llm.common import cut, sweep, with_unique
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -31,6 +31,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = with_unique(large, low, ["u"], "n", mark[0], F.col("v")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         mark, before = _mark(e), mark
+        sweep(edges.sparkSession)  # the shuffles of rounds before
         if mark == before:
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
