@@ -185,3 +185,35 @@ def test_null_and_repeated_ids_stay_apart(spark):
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[2].upper()), (1, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]), (8, texts[4]), (None, texts[5]), (None, texts[5])]
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, texts[0]), (0, texts[1]), (1, texts[2]), (7, texts[3]), (7, texts[4]), (0, texts[5])])
+
+
+@pytest.mark.parametrize("crowd", [8, 256])
+def test_grid_proposes_without_bands(spark, monkeypatch, crowd):
+    """Every pair within the radius of the first part comes through the grid, bands or not; nothing else than close pairs is chained."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rng = np.random.default_rng(11)
+    near = lambda x, most: [p ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, m + 1), replace=False)) for p, m in zip(x, most)]
+    rows = []
+    for _ in range(60):
+        base = [int(x) for x in rng.integers(1 << 62, size=simhash.SET_PARTS)]
+        rows += [base, base, near(base, (5, 20, 20, 20)), near(base, (5, 25, 25, 25)), near(base, (9, 5, 5, 5))]
+    hub = [int(x) for x in rng.integers(1 << 62, size=simhash.SET_PARTS)]
+    rows += [near(hub, (3, 4, 4, 4)) for _ in range(60)]
+    names = simhash._names(simhash.SET_PARTS)
+    nodes = spark.createDataFrame([(i, *r, []) for i, r in enumerate(rows)], f"node long, {', '.join(f'{n} long' for n in names)}, bands array<long>")
+    got = {r.node: r.root for r in connected_components(simhash.proposed(nodes)).collect()}
+    for i, x in enumerate(rows):
+        for j, y in enumerate(rows[:i]):
+            far = [(a ^ b).bit_count() for a, b in zip(x, y)]
+            if far[0] <= simhash.GRID_RADIUS and sum(far) <= simhash.SET_LIMIT:
+                assert got[i] == got[j]
+            if i // 5 != j // 5 and j < 300:
+                assert got.get(i, i) != got.get(j, j)
+
+
+def test_bands_propose_beyond_the_radius(spark):
+    names = simhash._names(simhash.SET_PARTS)
+    rows = [(1, 0, 0, 0, 0, [7]), (2, 63, 0, 0, 0, [7]), (3, -1 << 32, -1, -1, 0, [7]), (4, -1 << 32, -1, -1, 63, [8])]
+    nodes = spark.createDataFrame(rows, f"node long, {', '.join(f'{n} long' for n in names)}, bands array<long>")
+    got = {r.node: r.root for r in connected_components(simhash.proposed(nodes)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3}

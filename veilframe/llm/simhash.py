@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe.llm.common import cut, with_unique
+from veilframe.llm.common import cut, sweep, with_unique
 from veilframe.llm.components import connected_components
 
 #: A popcount vector of more fingerprints crowds its cells: they are split into chunks of about so many, and every two chunks meet.
@@ -133,10 +133,11 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _forest(limit: int, parts: int, named: bool = False):
+def _forest(limit: int, parts: int, named: bool = False, beyond: int = -1):
     """Exact check of the lists' pairs; yields an edge from each linked fingerprint to its root in the list.
 
     ``named``: the first list is of the nodes that the fingerprints belong to, and edges join those.
+    ``beyond``: pairs of no more differing bits in the first part are left out.
     """
 
     def edges(flat: list[np.ndarray], no: np.ndarray) -> pa.RecordBatch:
@@ -144,10 +145,10 @@ def _forest(limit: int, parts: int, named: bool = False):
         links, k = [(np.empty(0, np.int64),) * 2], 1
         i = np.arange(no.size - 1)
         while (i := i[i + k < no.size]).size and (i := i[no[i] == no[i + k]]).size:
-            far = np.bitwise_count(bits[0][i] ^ bits[0][i + k])
+            first = far = np.bitwise_count(bits[0][i] ^ bits[0][i + k])
             for b in bits[1:]:
                 far = far + np.bitwise_count(b[i] ^ b[i + k])
-            hit = i[far <= limit]
+            hit = i[(far <= limit) & (first > beyond)] if beyond >= 0 else i[far <= limit]
             links.append((hit, hit + k))
             k += 1
         root = _roots(no.size, *(np.concatenate(x) for x in zip(*links)))
@@ -175,27 +176,32 @@ def _node(names: list[str]) -> Column:
     return F.col(names[0]) if len(names) == 1 else F.xxhash64(*names)
 
 
-def links(fps: DataFrame, radius: int, limit: int, parts: int = 1) -> DataFrame:
+def links(fps: DataFrame, radius: int, limit: int, parts: int = 1, grid: int | None = None, named: bool = False) -> DataFrame:
     """Edges ``u, v`` between nodes that join distinct fingerprints of at most ``limit`` differing bits, through chains.
 
     Every link is checked on the fingerprints themselves; of the links in a cell only a spanning
     forest is returned. All fingerprints are compared that differ by at most ``radius`` bits in any of
     their parts, others only where they happen to share a cell. A cell next to vectors of over
     ``CROWD`` fingerprints is dealt out in chunks, each pair of chunks a group of its own, so that no
-    group grows with the data and nothing is left out.
+    group grows with the data and nothing is left out. Only the first ``grid`` parts, all unless given,
+    are put into cells. ``named``: each fingerprint has a long ``node``, and edges join those.
     """
     names = _names(parts)
-    vectors = [v for p, n in enumerate(names) for v in _vectors(F.col(n), p, radius)]
+    carried = ["node", *names] if named else names
+    vectors = [v for p, n in enumerate(names[:grid]) for v in _vectors(F.col(n), p, radius)]
     fan_out = sum(1 + 2 * len(counts) for _, counts in vectors)
     fps = fps.repartition(fps.count() * fan_out // CELLS_AT_ONCE + 1, *names)
     own = fps.select(F.explode(F.array(*[v for v, _ in vectors])).alias("own")).groupBy("own").count().where(F.col("count") > CROWD)
     crowded = own.select(F.explode(_around(F.col("own"), radius)).alias("cell"), "count").groupBy("cell").agg(F.sum("count").alias("n"))
-    cells = fps.select(*names, F.explode(F.flatten(F.array(*[_ball(v, c) for v, c in vectors]))).alias("cell"))
+    cells = fps.select(*carried, F.explode(F.flatten(F.array(*[_ball(v, c) for v, c in vectors]))).alias("cell"))
     dealt = cells.join(crowded, "cell", "left").withColumn("chunks", F.ceil(F.col("n") / CROWD).cast("int"))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64(*names), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.when(F.col("own").isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
-    groups = dealt.groupBy("cell", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).agg(*[F.collect_list(n).alias(n) for n in names])
-    found = groups.where(F.size("fp") > 1).select(*names).mapInArrow(_forest(limit, parts), ", ".join(f"{side}{p} long" for side in "uv" for p in range(parts)))
+    groups = dealt.groupBy("cell", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).agg(*[F.collect_list(n).alias(n) for n in carried])
+    groups = groups.where(F.size("fp") > 1).select(*carried)
+    if named:
+        return groups.mapInArrow(_forest(limit, parts, named=True), "u long, v long")
+    found = groups.mapInArrow(_forest(limit, parts), ", ".join(f"{side}{p} long" for side in "uv" for p in range(parts)))
     return found.select(*[_node([f"{side}{p}" for p in range(parts)]).alias(side) for side in "uv"])
 
 
@@ -230,6 +236,8 @@ BANDS, ROWS = 32, 5
 #: share of 0.8 makes about 15 % differing bits, 38.8 of 256, deviation 5.7. Over few it makes more: 4 of 5 shingles differ in
 #: 48 bits, deviation 6.2, and of such pairs 0.08 % are beyond the limit.
 SET_PARTS, SET_LIMIT = 4, 68
+#: Differing bits of the first part up to which the grid proposes every pair; what is further apart in it meets in a cell or in a band.
+GRID_RADIUS = 5
 #: Most shingles of a chunk of a component that is checked at a time.
 SHINGLES = 1 << 19
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -366,22 +374,30 @@ def _dealt(rows: DataFrame, chunks: Column) -> DataFrame:
 
 
 def proposed(nodes: DataFrame) -> DataFrame:
-    """Edges ``u, v`` that join nodes with a band in common and fingerprints within ``SET_LIMIT`` bits, through chains.
+    """Edges ``u, v`` that join nodes with fingerprints within ``SET_LIMIT`` bits, through chains.
 
-    A band of over ``CROWD`` nodes is dealt out in chunks, each pair of chunks a group of its own.
+    The grid of popcount vectors proposes all pairs of at most ``GRID_RADIUS`` differing bits in the first
+    part, and those beyond that share a cell. Bands propose only pairs beyond the radius; a band of over
+    ``CROWD`` nodes is dealt out in chunks, each pair of chunks a group of its own.
     """
     names = _names(SET_PARTS)
+    alike = cut(nodes.groupBy(*names).agg(F.min("node").alias("node"), F.count("*").alias("n")))
+    near = cut(links(alike.select("node", *names), GRID_RADIUS, SET_LIMIT, SET_PARTS, grid=1, named=True).distinct())
+    sweep(nodes.sparkSession)  # the shuffle of cells
+    first = alike.withColumnRenamed("node", "v")
+    equal = with_unique(nodes.select(F.col("node").alias("u"), *names), first, names, "n", nodes.count(), F.col("u")).where("u <> v").select("u", "v")
     cells = nodes.select("node", *names, F.explode("bands").alias("band"))
     crowded = cells.groupBy("band").count().where(F.col("count") > CROWD)
     dealt = _dealt(cells.join(crowded, "band", "left"), F.coalesce(F.ceil(F.col("count") / CROWD), F.lit(1)))
     groups = dealt.groupBy("band", "a", "b").agg(*[F.collect_list(n).alias(n) for n in ["node", *names]])
-    return groups.where(F.size("node") > 1).select("node", *names).mapInArrow(_forest(SET_LIMIT, SET_PARTS, named=True), "u long, v long")
+    far = groups.where(F.size("node") > 1).select("node", *names).mapInArrow(_forest(SET_LIMIT, SET_PARTS, named=True, beyond=GRID_RADIUS), "u long, v long")
+    return near.unionByName(equal).unionByName(far)
 
 
 def checked_links(keyed: DataFrame, nodes: DataFrame, words: int, text_col: str) -> DataFrame:
     """Edges ``u, v`` between nodes of ``SHARE`` equal shingles, through chains; every edge is checked on the shingles.
 
-    Bands and fingerprints propose; what they join is gathered with its shingles, in pairs of chunks
+    The grid of fingerprints and, beyond its radius, bands propose; what they join is gathered with its shingles, in pairs of chunks
     of about ``CROWD`` nodes or ``SHINGLES`` shingles, and all close pairs not yet joined are checked.
     """
     members = cut(nodes.select("node", "size", *_names(SET_PARTS), *[F.col(f"best.{r}").alias(r) for r in _ROW]).join(connected_components(proposed(nodes)), "node"))
