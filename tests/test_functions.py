@@ -104,3 +104,19 @@ def test_registered_functions(spark):
     ciphers.register(spark)
     row = spark.sql("select fpe_digits('123456', 'k') a, xor_decrypt(xor_encrypt('hello', 'k', 'c'), 'k', 'c') b, fpe_pan('ABCDE1234F', 'k') c").first()
     assert row.a == ciphers.fpe_digits("123456", "k") and row.b == "hello" and row.c == ciphers.fpe_pan("ABCDE1234F", "k")
+
+
+def test_rounds_of_a_batch_are_worked_out_together(monkeypatch):
+    """Ciphertexts are those of the plain cipher, and no half of many places is turned into digits on its own."""
+    rng, key = random.Random(9), ciphers.derive_key("k", "c")
+    cases = []
+    for alphabet in (values.DIGITS, values.UPPER, values.LOWER):
+        for n in (12, 19, 25, 69, 97, 200):
+            texts = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(20)]
+            cases.append((key, alphabet, texts, [ciphers.fpe_encrypt(key, t, alphabet) for t in texts]))
+    texts = [f"{rng.randrange(10_000):04}" for _ in range(500)]
+    cases.append((b"z" * 100, values.DIGITS, texts, [ciphers.fpe_encrypt(b"z" * 100, t, values.DIGITS) for t in texts]))
+    monkeypatch.setattr(ciphers, "_digits", None)
+    for k, alphabet, plain, hidden in cases:
+        assert ciphers.fpe_batch(k, plain, alphabet) == hidden
+        assert ciphers.fpe_batch(k, hidden, alphabet, decrypt=True) == plain

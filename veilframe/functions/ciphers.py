@@ -7,7 +7,7 @@ import hmac
 import math
 import re
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -151,17 +151,63 @@ def _places(texts: list[str], alphabet: str) -> np.ndarray:
     return np.array(texts).view(np.uint32).reshape(len(texts), -1) - ord(alphabet[0])
 
 
+@lru_cache(maxsize=64)
+def _pads(key: bytes) -> tuple:
+    """SHA-1 with the inner and the outer pad of HMAC taken in, to be copied for each message."""
+    key = (hashlib.sha1(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    return tuple(hashlib.sha1(bytes(k ^ pad for k in key)) for pad in (0x36, 0x5C))
+
+
+def _hmacs(key: bytes, messages: Iterable[bytes]) -> bytes:
+    """The HMAC-SHA1 of each message, one after the other."""
+    inner, outer = _pads(key)
+    out = []
+    for m in messages:
+        i, o = inner.copy(), outer.copy()
+        i.update(m)
+        o.update(i.digest())
+        out.append(o.digest())
+    return b"".join(out)
+
+
+def _taken(digests: bytes, radix: int, n: int) -> np.ndarray:
+    """The last ``n`` places of each digest in the radix, the lowest first: long division by as many places as a word holds."""
+    words = list(np.frombuffer(digests, ">u4").reshape(-1, 5).T.astype(np.uint64))
+    at_once = max(1, int(32 * math.log(2) / math.log(radix) - 1e-9))
+    out = np.empty((len(words[0]), n), np.int64)
+    for first in range(0, n, at_once):
+        count = min(at_once, n - first)
+        by, rest = np.uint64(radix**count), np.zeros(len(words[0]), np.uint64)
+        for w in range(5):
+            words[w], rest = np.divmod(rest << np.uint64(32) | words[w], by)
+        for at in range(first, first + count):
+            rest, out[:, at] = np.divmod(rest, np.uint64(radix))
+    return out
+
+
 def _round(key: bytes, radix: int, no: int, other: np.ndarray, n: int) -> np.ndarray:
-    """The digits of a round for each line: worked out once for each different half, then gathered."""
+    """The digits of a round for each line, as ``_digits`` has them; the blocks of all lines are divided together.
+
+    Halves of few places, which a batch has often, are worked out once and gathered.
+    """
     if not n or not other.shape[1]:
         return np.tile(np.array(_digits(key, radix, no, (), n), np.int64), (len(other), 1))
-    if other.shape[1] * math.log2(radix) < 62:
+    at = None
+    if radix ** other.shape[1] <= 4 * len(other):
         code = other @ (radix ** np.arange(other.shape[1], dtype=np.int64))
         _, first, at = np.unique(code, return_index=True, return_inverse=True)
-    else:
-        _, first, at = np.unique(other, axis=0, return_index=True, return_inverse=True)
-    table = np.array([_digits(key, radix, no, tuple(x), n) for x in other[first].tolist()], np.int64)
-    return table[at.reshape(-1)]
+        other = other[first]
+    lines = np.empty((len(other), 1 + other.shape[1]), "<u4")
+    lines[:, 0], lines[:, 1:] = no, other
+    per_block = max(1, int(20 * math.log(256) / math.log(radix)))
+    raw, size, out = lines.tobytes(), 4 * lines.shape[1], []
+    for block in range(-(-n // per_block)):
+        tail = struct.pack("<I", block)
+        raw = _hmacs(key, (raw[i : i + size] + tail for i in range(0, len(raw), size)))
+        size = 20
+        out.append(_taken(raw, radix, min(per_block, n - block * per_block)))
+    table = np.concatenate(out, 1)
+    return table if at is None else table[at.reshape(-1)]
 
 
 def fpe_batch(key: bytes, texts: list[str], alphabet: str, decrypt: bool = False) -> list[str]:
