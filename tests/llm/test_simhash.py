@@ -217,3 +217,50 @@ def test_bands_propose_beyond_the_radius(spark):
     nodes = spark.createDataFrame(rows, f"node long, {', '.join(f'{n} long' for n in names)}, bands array<long>")
     got = {r.node: r.root for r in connected_components(simhash.proposed(nodes)).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
+def test_near_copies_make_edges_in_proportion(spark, monkeypatch):
+    """No component search gets more edges than a few for each text, however many cells, bands and chunks near copies share."""
+    monkeypatch.setattr(simhash, "CROWD", 16)
+    rng, made = np.random.default_rng(21), []
+    monkeypatch.setattr(simhash, "connected_components", lambda edges: made.append(edges.count()) or connected_components(edges))
+    base = [f"w{x}" for x in range(300)]
+    rows = []
+    for i in range(200):
+        w = base.copy()
+        w[rng.integers(300)] = f"x{i}"
+        rows.append((i + 5, " ".join(w)))
+    rows += [(i, f"quite another text {i}") for i in range(300, 310)]
+    got = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {5, *range(300, 310)}
+    assert max(made) <= 5 * len(rows)
+
+
+def test_crowds_of_groups_and_chains_against_brute_force(spark, monkeypatch):
+    """Chunks of a few texts: what chunks do not join is found between them."""
+    monkeypatch.setattr(simhash, "CROWD", 6)
+    rng, rows = np.random.default_rng(22), []
+    for c in "ab":
+        base = [f"{c}{x}" for x in range(200)]
+        for i in range(50):
+            w = base.copy()
+            for at in rng.choice(200, int(rng.integers(0, 7)), replace=False):
+                w[at] = f"x{rng.integers(1 << 40)}"
+            rows.append((len(rows), " ".join(w)))
+            if i % 10 == 0:
+                base = w
+    sets = [{tuple(w[j : j + 5]) for j in range(196)} for w in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and find(i) != find(j):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    left = {i for i in range(len(rows)) if find(i) == i}
+    assert 2 < len(left) < 80
+    assert {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == left

@@ -133,30 +133,32 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _forest(limit: int, parts: int, named: bool = False, beyond: int = -1):
-    """Exact check of the lists' pairs; yields an edge from each linked fingerprint to its root in the list.
+def _forest(limit: int, named: bool = False, beyond: int = -1):
+    """Exact check of the lists' pairs; yields an edge from each linked node to the least one that its list joins it with.
 
-    ``named``: the first list is of the nodes that the fingerprints belong to, and edges join those.
+    ``named``: the first list is of the nodes that the fingerprints belong to; else the fingerprints are nodes. Rows of
+    one node are joined as they are: only links between nodes are sought.
     ``beyond``: pairs of no more differing bits in the first part are left out.
     """
 
     def edges(flat: list[np.ndarray], no: np.ndarray) -> pa.RecordBatch:
-        bits = [f.view(np.uint64) for f in flat[named:]]
-        links, k = [(np.empty(0, np.int64),) * 2], 1
+        order = np.lexsort((flat[0], no))  # so that the first of what is joined is the least node
+        flat = [f[order] for f in flat]
+        node, bits = flat[0], [f.view(np.uint64) for f in flat[named:]]
+        again = np.r_[False, (no[1:] == no[:-1]) & (node[1:] == node[:-1])]
+        links, k = [(np.flatnonzero(again) - 1, np.flatnonzero(again))], 1
         i = np.arange(no.size - 1)
         while (i := i[i + k < no.size]).size and (i := i[no[i] == no[i + k]]).size:
-            first = far = np.bitwise_count(bits[0][i] ^ bits[0][i + k])
+            j = i[node[i] != node[i + k]]
+            first = far = np.bitwise_count(bits[0][j] ^ bits[0][j + k])
             for b in bits[1:]:
-                far = far + np.bitwise_count(b[i] ^ b[i + k])
-            hit = i[(far <= limit) & (first > beyond)] if beyond >= 0 else i[far <= limit]
+                far = far + np.bitwise_count(b[j] ^ b[j + k])
+            hit = j[(far <= limit) & (first > beyond)] if beyond >= 0 else j[far <= limit]
             links.append((hit, hit + k))
             k += 1
         root = _roots(no.size, *(np.concatenate(x) for x in zip(*links)))
-        own = np.flatnonzero(root != np.arange(no.size))
-        if named:
-            return pa.RecordBatch.from_arrays([pa.array(flat[0][own]), pa.array(flat[0][root[own]])], names=["u", "v"])
-        cols = [pa.array(f[x]) for x in (own, root[own]) for f in flat]
-        return pa.RecordBatch.from_arrays(cols, names=[f"{side}{p}" for side in "uv" for p in range(parts)])
+        own = np.flatnonzero((root != np.arange(no.size)) & ~again)
+        return pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[root[own]])], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -176,6 +178,28 @@ def _node(names: list[str]) -> Column:
     return F.col(names[0]) if len(names) == 1 else F.xxhash64(*names)
 
 
+def _chunked(rows: DataFrame, key: str, spread: Column) -> DataFrame:
+    """Rows with each pair ``a, b`` of chunks of their cell that they belong to; a cell without a number ``n`` is one chunk.
+
+    Of a crowded cell the rows say how many it has, ``n``, its most frequent node ``main`` and that node's rows ``most``. These have chunks of
+    their own, which meet only those of other nodes: where most rows of a crowd are joined already, rows grow with
+    the crowd and with what is left, not with the crowd's square. Links between nodes are sought, so none is lost.
+    """
+    chunks = lambda n: F.greatest(F.ceil(n / CROWD), F.lit(1)).cast("int")
+    rows = rows.withColumn("mains", chunks(F.col("most"))).withColumn("rest", chunks(F.col("n") - F.col("most")))
+    joined = F.col("node") == F.col("main")
+    at = F.xxhash64(spread, F.col(key))
+    own = F.when(joined, F.pmod(at, F.col("mains"))).otherwise(F.col("mains") + F.pmod(at, F.col("rest"))).cast("int")
+    met = F.sequence(F.when(joined, F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("rest") - 1)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(None).cast("int"))).otherwise(met)))
+    return rows.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other"))
+
+
+def _most(counts: DataFrame, key: str) -> DataFrame:
+    """``key, n, main, most`` of ``key, node, count``: the rows of a cell, its most frequent node and that node's rows."""
+    return counts.groupBy(key).agg(F.sum("count").alias("n"), F.max(F.struct("count", "node")).alias("top")).select(key, "n", F.col("top.node").alias("main"), F.col("top.count").alias("most"))
+
+
 def links(fps: DataFrame, radius: int, limit: int, parts: int = 1, grid: int | None = None, named: bool = False) -> DataFrame:
     """Edges ``u, v`` between nodes that join distinct fingerprints of at most ``limit`` differing bits, through chains.
 
@@ -184,25 +208,25 @@ def links(fps: DataFrame, radius: int, limit: int, parts: int = 1, grid: int | N
     their parts, others only where they happen to share a cell. A cell next to vectors of over
     ``CROWD`` fingerprints is dealt out in chunks, each pair of chunks a group of its own, so that no
     group grows with the data and nothing is left out. Only the first ``grid`` parts, all unless given,
-    are put into cells. ``named``: each fingerprint has a long ``node``, and edges join those.
+    are put into cells. ``named``: each fingerprint has a long ``node``, and edges join those; fingerprints
+    of one node count as joined.
     """
     names = _names(parts)
-    carried = ["node", *names] if named else names
+    if not named:
+        fps = fps.withColumn("node", _node(names))
+    carried = ["node", *names] if named or parts > 1 else names
     vectors = [v for p, n in enumerate(names[:grid]) for v in _vectors(F.col(n), p, radius)]
     fan_out = sum(1 + 2 * len(counts) for _, counts in vectors)
     fps = fps.repartition(fps.count() * fan_out // CELLS_AT_ONCE + 1, *names)
-    own = fps.select(F.explode(F.array(*[v for v, _ in vectors])).alias("own")).groupBy("own").count().where(F.col("count") > CROWD)
-    crowded = own.select(F.explode(_around(F.col("own"), radius)).alias("cell"), "count").groupBy("cell").agg(F.sum("count").alias("n"))
-    cells = fps.select(*carried, F.explode(F.flatten(F.array(*[_ball(v, c) for v, c in vectors]))).alias("cell"))
-    dealt = cells.join(crowded, "cell", "left").withColumn("chunks", F.ceil(F.col("n") / CROWD).cast("int"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64(*names), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.when(F.col("own").isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
-    groups = dealt.groupBy("cell", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).agg(*[F.collect_list(n).alias(n) for n in carried])
-    groups = groups.where(F.size("fp") > 1).select(*carried)
-    if named:
-        return groups.mapInArrow(_forest(limit, parts, named=True), "u long, v long")
-    found = groups.mapInArrow(_forest(limit, parts), ", ".join(f"{side}{p} long" for side in "uv" for p in range(parts)))
-    return found.select(*[_node([f"{side}{p}" for p in range(parts)]).alias(side) for side in "uv"])
+    own = fps.select("node", F.explode(F.array(*[v for v, _ in vectors])).alias("own"))
+    full = own.groupBy("own").count().where(F.col("count") > CROWD).select("own")
+    counts = own.join(full, "own", "left_semi").groupBy("own", "node").count()
+    counts = counts.select("node", "count", F.explode(_around(F.col("own"), radius)).alias("cell")).groupBy("cell", "node").agg(F.sum("count").alias("count"))
+    cells = fps.select("node", *names, F.explode(F.flatten(F.array(*[_ball(v, c) for v, c in vectors]))).alias("cell"))
+    dealt = _chunked(cells.join(_most(counts, "cell"), "cell", "left"), "cell", F.xxhash64(*names))
+    groups = dealt.groupBy("cell", "a", "b").agg(*[F.collect_list(n).alias(n) for n in carried])
+    groups = groups.where(F.array_min(carried[0]) < F.array_max(carried[0])).select(*carried)
+    return groups.mapInArrow(_forest(limit, len(carried) > parts), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, words: int, radius: int, limit: int | None = None, parts: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,6 +262,8 @@ BANDS, ROWS = 32, 5
 SET_PARTS, SET_LIMIT = 4, 68
 #: Differing bits of the first part up to which the grid proposes every pair; what is further apart in it meets in a cell or in a band.
 GRID_RADIUS = 5
+#: Bands that join nodes before the grid and all bands are looked through.
+FIRST_BANDS = 4
 #: Most shingles of a chunk of a component that is checked at a time.
 SHINGLES = 1 << 19
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -316,17 +342,22 @@ def _sets(words: int, kept: list[str]):
 
 
 def _check_group(node: np.ndarray, own: np.ndarray, bits: list[np.ndarray], shingles: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Checked links that join a group's members as far as pairs of SHARE do; of two chunks, only pairs across them."""
+    """Checked links that join a group's nodes as far as pairs of SHARE do; of two chunks, only pairs across them.
+
+    Members of one node are joined as they are.
+    """
     i, j = np.triu_indices(node.size, 1)
+    across = node[i] != node[j]
     if own.min() != own.max():
-        across = own[i] != own[j]
-        i, j = i[across], j[across]
+        across &= own[i] != own[j]
+    i, j = i[across], j[across]
     far = np.zeros(i.size, np.int64)
     for b in bits:
         far += np.bitwise_count(b[i] ^ b[j])
     order = np.argsort(far, kind="stable")
     order = order[far[order] <= SET_LIMIT]
-    root, out = list(range(node.size)), []
+    _, first, at = np.unique(node, return_index=True, return_inverse=True)
+    root, out = first[at].tolist(), []
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -367,47 +398,86 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(settle())
 
 
-def _dealt(rows: DataFrame, chunks: Column) -> DataFrame:
-    """Rows with the chunk ``own`` of their node and each pair ``a, b`` of chunks that it belongs to."""
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (chunks - 1).cast("int"))))
-    return rows.select("*", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+def _by_bands(cells: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Edges of the pairs beyond the grid's radius that share a band."""
+    names = _names(SET_PARTS)
+    groups = _chunked(cells.join(crowded, "band", "left"), "band", F.col("id")).groupBy("band", "a", "b").agg(*[F.collect_list(n).alias(n) for n in ["node", *names]])
+    groups = groups.where(F.array_min("node") < F.array_max("node")).select("node", *names)
+    return groups.mapInArrow(_forest(SET_LIMIT, named=True, beyond=GRID_RADIUS), "u long, v long")
+
+
+def _joined_first(nodes: DataFrame, alike: DataFrame) -> DataFrame:
+    """``node, root`` of what equal fingerprints and the first bands join, each band in chunks of about ``CROWD`` nodes.
+
+    Rows grow with the nodes alone. What is joined here need not be joined again by every cell and band that it shares;
+    the grid then compares all that is not joined.
+    """
+    names = _names(SET_PARTS)
+    first = alike.withColumnRenamed("node", "v")
+    equal = with_unique(nodes.select(F.col("node").alias("u"), *names), first, names, "n", nodes.count(), F.col("u")).where("u <> v").select("u", "v")
+    cells = nodes.select("node", *names, F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("band"))
+    crowded = cells.groupBy("band").count().where(F.col("count") > CROWD)
+    dealt = cells.join(crowded, "band", "left").withColumn("chunk", F.pmod(F.xxhash64("node", "band"), F.coalesce(F.ceil(F.col("count") / CROWD), F.lit(1))))
+    groups = dealt.groupBy("band", "chunk").agg(*[F.collect_list(n).alias(n) for n in ["node", *names]])
+    groups = groups.where(F.size("node") > 1).select("node", *names)
+    near = groups.mapInArrow(_forest(SET_LIMIT, named=True), "u long, v long")
+    return connected_components(near.unionByName(equal))
 
 
 def proposed(nodes: DataFrame) -> DataFrame:
     """Edges ``u, v`` that join nodes with fingerprints within ``SET_LIMIT`` bits, through chains.
 
     The grid of popcount vectors proposes all pairs of at most ``GRID_RADIUS`` differing bits in the first
-    part, and those beyond that share a cell. Bands propose only pairs beyond the radius; a band of over
-    ``CROWD`` nodes is dealt out in chunks, each pair of chunks a group of its own.
+    part, and those beyond that share a cell. Beside the grid bands propose only pairs beyond the radius; a band of over
+    ``CROWD`` nodes is dealt out in chunks, each pair of chunks a group of its own. What few bands join first
+    counts as one node in all cells and bands, so that a large group of near copies makes an edge for each of its
+    nodes, not for each cell and band that they share.
     """
     names = _names(SET_PARTS)
     alike = cut(nodes.groupBy(*names).agg(F.min("node").alias("node"), F.count("*").alias("n")))
-    near = cut(links(alike.select("node", *names), GRID_RADIUS, SET_LIMIT, SET_PARTS, grid=1, named=True).distinct())
+    joined = cut(_joined_first(nodes, alike))
+    sweep(nodes.sparkSession)
+    label = F.coalesce("root", "node").alias("node")
+    near = links(alike.join(joined, "node", "left").select(label, *names), GRID_RADIUS, SET_LIMIT, SET_PARTS, grid=1, named=True)
+    near = cut(near.distinct())
     sweep(nodes.sparkSession)  # the shuffle of cells
-    first = alike.withColumnRenamed("node", "v")
-    equal = with_unique(nodes.select(F.col("node").alias("u"), *names), first, names, "n", nodes.count(), F.col("u")).where("u <> v").select("u", "v")
-    cells = nodes.select("node", *names, F.explode("bands").alias("band"))
-    crowded = cells.groupBy("band").count().where(F.col("count") > CROWD)
-    dealt = _dealt(cells.join(crowded, "band", "left"), F.coalesce(F.ceil(F.col("count") / CROWD), F.lit(1)))
-    groups = dealt.groupBy("band", "a", "b").agg(*[F.collect_list(n).alias(n) for n in ["node", *names]])
-    far = groups.where(F.size("node") > 1).select("node", *names).mapInArrow(_forest(SET_LIMIT, SET_PARTS, named=True, beyond=GRID_RADIUS), "u long, v long")
-    return near.unionByName(equal).unionByName(far)
+    named = nodes.join(joined, "node", "left").select(F.col("node").alias("id"), label, *names, "bands")
+    cells = named.select("id", "node", *names, F.explode("bands").alias("band"))
+    full = cells.groupBy("band").count().where(F.col("count") > CROWD).select("band")
+    crowded = _most(cells.join(full, "band", "left_semi").groupBy("band", "node").count(), "band")
+    return near.unionByName(_by_bands(cells, crowded)).unionByName(joined.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
+
+
+def _check(rows: DataFrame) -> DataFrame:
+    """Checked edges within each group ``root, a, b`` of rows ``own, node, fp, ..., shingles``."""
+    groups = rows.select("root", "a", "b", "own", "node", *_names(SET_PARTS), "shingles").repartition("root", "a", "b")
+    return groups.sortWithinPartitions("root", "a", "b").mapInArrow(_checked, "u long, v long")
 
 
 def checked_links(keyed: DataFrame, nodes: DataFrame, words: int, text_col: str) -> DataFrame:
     """Edges ``u, v`` between nodes of ``SHARE`` equal shingles, through chains; every edge is checked on the shingles.
 
-    The grid of fingerprints and, beyond its radius, bands propose; what they join is gathered with its shingles, in pairs of chunks
-    of about ``CROWD`` nodes or ``SHINGLES`` shingles, and all close pairs not yet joined are checked.
+    The grid of fingerprints and, beyond its radius, bands propose; what they join is gathered with its shingles, in chunks of about
+    ``CROWD`` nodes or ``SHINGLES`` shingles. Close pairs are checked within chunks, dealt twice, then between what that
+    has not joined, in pairs of chunks. So a group of near copies of one text makes rows in proportion to it.
     """
-    members = cut(nodes.select("node", "size", *_names(SET_PARTS), *[F.col(f"best.{r}").alias(r) for r in _ROW]).join(connected_components(proposed(nodes)), "node"))
-    parts = members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / CROWD, F.sum("size") / SHINGLES)).alias("chunks"), F.count("*").alias("n"))
+    names = _names(SET_PARTS)
+    members = cut(nodes.select("node", "size", *names, *[F.col(f"best.{r}").alias(r) for r in _ROW]).join(connected_components(proposed(nodes)), "node"))
+    weight = F.ceil(F.greatest(F.count("*"), F.sum("size") * CROWD / SHINGLES))
+    parts = members.groupBy("root").agg(F.ceil(weight / CROWD).cast("int").alias("chunks"), F.count("*").alias("n"))
     dealt = with_unique(members, parts, ["root"], "n", members.count(), F.col("node"))
-    kept = ["root", "chunks", "node", *_names(SET_PARTS)]
+    kept = ["root", "chunks", "node", "size", *names]
     texts = keyed.select(*_ROW, F.col(text_col).alias("text")).join(dealt, _ROW).select("text", *kept)
-    sets = texts.mapInArrow(_sets(words, kept), T.StructType([*texts.schema.fields[1:], T.StructField("shingles", T.BinaryType())]))
-    groups = _dealt(sets, F.col("chunks")).select("root", "a", "b", "own", "node", *_names(SET_PARTS), "shingles")
-    return groups.repartition("root", "a", "b").sortWithinPartitions("root", "a", "b").mapInArrow(_checked, "u long, v long")
+    sets = cut(texts.mapInArrow(_sets(words, kept), T.StructType([*texts.schema.fields[1:], T.StructField("shingles", T.BinaryType())])))
+    twice = sets.withColumn("time", F.explode(F.when(F.col("chunks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    own = F.col("time") * F.col("chunks") + F.pmod(F.xxhash64("node", "time"), F.col("chunks")).cast("int")
+    joined = cut(connected_components(_check(twice.withColumn("own", own).withColumn("a", own).withColumn("b", own))))
+    left = sets.where("chunks > 1").join(joined.select("node", F.col("root").alias("label")), "node", "left")
+    left = left.withColumn("id", F.col("node")).withColumn("node", F.coalesce("label", "id"))
+    counts = left.groupBy("root", "node").agg(weight.alias("count"), F.count("*").alias("rows"))
+    apart = _most(counts, "root").where("most < n").join(counts.groupBy("root").agg(F.sum("rows").alias("rows")), "root")
+    left = with_unique(left.select("id", *kept, "shingles"), apart, ["root"], "rows", members.count(), F.col("id")).where("n is not null")
+    return _check(_chunked(left, "root", F.col("id"))).unionByName(joined.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
